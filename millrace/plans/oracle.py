@@ -85,23 +85,24 @@ HISTORY = f"WITH {history()} SELECT * FROM history"
 
 
 def _customer_details(seed: int = 42) -> str:
-    def draw(salt: str, size: int) -> str:
-        text = f"c_custkey || '-{seed}-{salt}'"
-        return f"('0x' || substr(md5({text}), 1, 8))::BIGINT % {size}"
+    def draw(number: int, size: int) -> str:
+        return f"(('0x' || substr(digest, {number * 4 + 1}, 4))::INTEGER % {size})"
 
-    def pick(salt: str, choices: tuple[str, ...]) -> str:
+    def pick(number: int, choices: tuple[str, ...]) -> str:
         listed = ", ".join(f"'{c}'" for c in choices)
-        return f"([{listed}])[{draw(salt, len(choices))} + 1]"
-
-    name = " || ' ' || ".join(pick(f"n{i}", WORDS) for i in range(3))
-    address = " || '.' || ".join(f"({draw(f'ip{i}', 256)})" for i in range(4))
-    phone = " || '-' || ".join(
-        f"lpad(CAST({draw(s, n)} AS VARCHAR), {w}, '0')"
-        for s, n, w in (("p1", 1000, 3), ("p2", 1000, 3), ("p3", 10000, 4))
-    )
-    email = f"{pick('user', WORDS)} || '@' || {pick('host', WORDS)} || '.' || {pick('domain', DOMAINS)}"
-    return f"""SELECT c_custkey AS customer_id, {name} AS name, {email} AS email,
-      {address} AS ip_addr, {phone} AS phone FROM customer"""
+        return f"([{listed}])[{draw(number, len(choices))} + 1]"
+
+    def digits(number: int, size: int, width: int) -> str:
+        return f"lpad(CAST({draw(number, size)} AS VARCHAR), {width}, '0')"
+
+    name = " || ' ' || ".join(pick(i, WORDS) for i in (0, 1, 2))
+    email = f"{pick(3, WORDS)} || '@' || {pick(4, WORDS)} || '.' || {pick(5, DOMAINS)}"
+    address = " || '.' || ".join(draw(i, 256) for i in (6, 7, 8, 9))
+    phone = f"{digits(10, 1000, 3)} || '-' || {digits(11, 1000, 3)} || '-' || {digits(12, 10000, 4)}"
+    return f"""WITH drawn AS (
+        SELECT c_custkey AS customer_id, sha256(c_custkey || '-{seed}') AS digest FROM customer)
+      SELECT customer_id, {name} AS name, {email} AS email, {address} AS ip_addr, {phone} AS phone
+      FROM drawn"""
 
 
 AS_OF = "TIMESTAMP '2024-01-30 00:00:00' - INTERVAL '3' HOUR"

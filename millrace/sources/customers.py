@@ -9,35 +9,42 @@ WORDS = ("amet", "dolor", "elit", "ipsum", "lorem", "magna", "sit", "tempor")
 DOMAINS = ("com", "net", "org", "co.uk")
 
 
-def _draw(seed: int, salt: str, size: int) -> Column:
-    """A number in [0, size) that depends on the id, the seed and the salt only."""
-    text = F.concat_ws("-", F.col("customer_id").cast("string"), F.lit(str(seed)), F.lit(salt))
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % size).cast("int")
+# Hexadecimal digits of the digest that one draw uses.
+DIGITS = 4
 
 
-def _pick(seed: int, salt: str, choices: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), _draw(seed, salt, len(choices)) + 1)
+def _draw(number: int, size: int) -> Column:
+    """The ``number``-th draw of a row, in [0, size)."""
+    digits = F.substring("_digest", number * DIGITS + 1, DIGITS)
+    return (F.conv(digits, 16, 10).cast("int") % size).cast("int")
+
+
+def _pick(number: int, choices: tuple[str, ...]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in choices]), _draw(number, len(choices)) + 1)
+
+
+def _digits(number: int, size: int, width: int) -> Column:
+    return F.lpad(_draw(number, size).cast("string"), width, "0")
 
 
 def customer_details(ids: DataFrame, seed: int = 42) -> DataFrame:
     """Name, email, address and phone for a frame with ``customer_id``.
 
-    Values follow from the id, so they do not depend on the partitioning and a
-    lost task gives the same rows again.
+    All values come from one digest of id and seed, so they do not depend on the
+    partitioning and a lost task gives the same rows again.
     """
-    octets = [(_draw(seed, f"ip{i}", 256)).cast("string") for i in range(4)]
-    phone = [F.lpad(_draw(seed, s, n).cast("string"), w, "0") for s, n, w in
-             (("p1", 1000, 3), ("p2", 1000, 3), ("p3", 10000, 4))]
-    names = [_pick(seed, f"n{i}", WORDS) for i in range(3)]
-    return ids.select(
+    text = F.concat_ws("-", F.col("customer_id").cast("string"), F.lit(str(seed)))
+    drawn = ids.select("customer_id", F.sha2(text, 256).alias("_digest"))
+    return drawn.select(
         "customer_id",
-        F.concat_ws(" ", *names).alias("name"),
+        F.concat_ws(" ", *[_pick(i, WORDS) for i in (0, 1, 2)]).alias("name"),
         F.concat(
-            _pick(seed, "user", WORDS), F.lit("@"), _pick(seed, "host", WORDS), F.lit("."),
-            _pick(seed, "domain", DOMAINS),
+            _pick(3, WORDS), F.lit("@"), _pick(4, WORDS), F.lit("."), _pick(5, DOMAINS)
         ).alias("email"),
-        F.concat_ws(".", *octets).alias("ip_addr"),
-        F.concat_ws("-", *phone).alias("phone"),
+        F.concat_ws(".", *[_draw(i, 256).cast("string") for i in (6, 7, 8, 9)]).alias("ip_addr"),
+        F.concat_ws("-", _digits(10, 1000, 3), _digits(11, 1000, 3), _digits(12, 10000, 4)).alias(
+            "phone"
+        ),
     )
 
 

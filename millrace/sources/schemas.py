@@ -53,12 +53,19 @@ def widen(a: StructType, b: StructType) -> StructType:
     return StructType([changed.get(f.name, f) for f in a.fields] + new)
 
 
-def schema_versions(spark: SparkSession, schema_log: str) -> dict[int, StructType]:
+def _read_log(spark: SparkSession, schema_log: str) -> tuple[dict[int, StructType], str | None]:
+    """Schema per version, and the time up to which files have been inferred."""
     log = read_if_exists(spark, schema_log, LOG_SCHEMA)
     if log is None:
-        return {}
-    rows = log.groupBy("version").agg(F.first("schema_json").alias("schema_json")).collect()
-    return {r["version"]: StructType.fromJson(json.loads(r["schema_json"])) for r in rows}
+        return {}, None
+    newest = [F.first("schema_json").alias("schema_json"), F.max("read_from").alias("read_from")]
+    rows = log.groupBy("version").agg(*newest).collect()
+    schemas = {r["version"]: StructType.fromJson(json.loads(r["schema_json"])) for r in rows}
+    return schemas, max(r["read_from"] for r in rows)
+
+
+def schema_versions(spark: SparkSession, schema_log: str) -> dict[int, StructType]:
+    return _read_log(spark, schema_log)[0]
 
 
 def infer_and_merge_schema(
@@ -70,12 +77,10 @@ def infer_and_merge_schema(
     schema. Call it before a triggered run: a stream has one schema per run.
     """
     started = datetime.now(timezone.utc)
-    log = read_if_exists(spark, schema_log, LOG_SCHEMA)
-    last = log.agg(F.max("version"), F.max("read_from")).first() if log is not None else None
-    known = schema_versions(spark, schema_log)
+    known, modified_after = _read_log(spark, schema_log)
     version = max(known, default=0)
 
-    found = _infer(spark, path, last[1] if last is not None else None)
+    found = _infer(spark, path, modified_after)
     fixed = {f.name: f for f in (hints.fields if hints else [])}
     found = StructType([fixed.get(f.name, f) for f in found.fields])
     base = known.get(version) or StructType(list(fixed.values()))

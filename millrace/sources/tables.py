@@ -8,7 +8,7 @@ writes leaves the table as it was, and a repeated version replaces itself.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -65,9 +65,14 @@ def start_stream_table(
     return writer.trigger(availableNow=True).start()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
 
 
 def read_if_exists(
@@ -76,46 +81,58 @@ def read_if_exists(
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
-COMMIT_SCHEMA = "part int, live_version long, version long"
+COMMIT_SCHEMA = "part int, live_version long"
+
+
+def _commit_folders(spark: SparkSession, path: str) -> list[int]:
+    """Versions that have a commit folder, newest first."""
+    files, commits = _file_system(spark, f"{path}/commits")
+    if not files.exists(commits):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(commits)]
+    return sorted((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), reverse=True)
 
 
 def live_parts(spark: SparkSession, path: str) -> dict[int, int]:
-    """Part to live version, from the newest commit; at most one row per part."""
-    commits = read_if_exists(spark, f"{path}/commits", COMMIT_SCHEMA)
-    if commits is None:
-        return {}
-    newest = commits.agg(F.max("version")).first()[0]
-    rows = commits.where(F.col("version") == F.lit(newest)).collect()
-    return {row["part"]: row["live_version"] for row in rows}
+    """Part to live version, from the newest commit; one row per part.
+
+    A commit is a single file, so a folder without rows was never committed.
+    """
+    for version in _commit_folders(spark, path):
+        rows = spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/commits/version={version}").collect()
+        if rows:
+            return {row["part"]: row["live_version"] for row in rows}
+    return {}
 
 
-def write_version(df: DataFrame, path: str, version: int, parts: Sequence[int]) -> None:
+def write_version(
+    df: DataFrame, path: str, version: int, parts: Sequence[int], live: Mapping[int, int]
+) -> None:
     """Replace ``parts`` of the table by ``df`` (with a ``part`` column) and commit.
 
-    The rebalance hint gathers a small part into few files and splits a large one
-    over several tasks.
+    ``live`` is what ``live_parts`` gave before. The rebalance hint gathers a
+    small part into few files and splits a large one over several tasks; after a
+    stateful stream it has no effect, there every state partition writes its rows.
     """
     spark = df.sparkSession
-    live = live_parts(spark, path)
-    live.update({part: version for part in parts})
+    live = {**live, **{part: version for part in parts}}
     rebalanced = df.hint("rebalance", F.col("part"))
     rebalanced.write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/version={version}")
-    commit = spark.createDataFrame(sorted(live.items()), "part int, live_version long")
+    commit = spark.createDataFrame(sorted(live.items()), COMMIT_SCHEMA)
     commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
 
 
 def read_versioned(
-    spark: SparkSession, path: str, schema: StructType, parts: Sequence[int] | None = None
+    spark: SparkSession, path: str, schema: StructType, live: Mapping[int, int] | None = None
 ) -> DataFrame:
-    """The live rows, or those of some parts, with their ``part`` column.
+    """The live rows with their ``part`` column.
 
-    Both conditions are on folder names, so only live folders are read.
+    ``live`` narrows the read to some parts. The conditions are on folder names,
+    so only live folders are read.
     """
-    wanted = None if parts is None else set(parts)
     versions: dict[int, list[int]] = {}
-    for part, version in live_parts(spark, path).items():
-        if wanted is None or part in wanted:
-            versions.setdefault(version, []).append(part)
+    for part, version in (live_parts(spark, path) if live is None else live).items():
+        versions.setdefault(version, []).append(part)
     columns = [f.name for f in schema.fields if f.name != "part"]
     stored = StructType([f for f in schema.fields if f.name != "part"])
     stored = stored.add("part", "integer").add("version", "long")

@@ -49,7 +49,8 @@ def scd2_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id in live_parts(spark, target).values():
+        live = live_parts(spark, target)
+        if batch_id in live.values():
             return
         placed = batch.withColumn("part", bucket)
         placed.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(
@@ -66,10 +67,10 @@ def scd2_stream(
         rebuilt = scd2(
             relevant, keys, sequence_by, tie_breakers, except_columns, coalesce_unchanged, hot_rows
         )
-        before = read_versioned(spark, target, result, parts)
+        before = read_versioned(spark, target, result, {p: live[p] for p in parts if p in live})
         copied = before.join(touched, ["part", *keys], "left_anti")
         rows = rebuilt.withColumn("part", bucket).unionByName(copied)
-        write_version(rows, target, batch_id, parts)
+        write_version(rows, target, batch_id, parts, live)
 
     query = (
         changes.writeStream.foreachBatch(apply)

@@ -34,8 +34,9 @@ def write_summary_complete(summary: DataFrame, path: str, checkpoint: str) -> St
     """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        if batch_id not in live_parts(batch.sparkSession, path).values():
-            write_version(batch.withColumn("part", F.lit(0)), path, batch_id, [0])
+        live = live_parts(batch.sparkSession, path)
+        if batch_id not in live.values():
+            write_version(batch.withColumn("part", F.lit(0)), path, batch_id, [0], live)
 
     query = (
         summary.writeStream.outputMode("complete")

@@ -1,0 +1,232 @@
+from __future__ import annotations
+
+import base64
+import json
+import random
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.cursors import cursor_token, decode_cursor, parse_cursor
+from millrace.operators import filters, paging
+from millrace.plans.data_pages import PageRequest, PageService
+
+SCHEMA = "customer_id long, name string, email string, ip_addr string, phone string, modified_ts timestamp"
+
+
+def customer_rows(n=137):
+    rnd = random.Random(4)
+    start = datetime(2025, 10, 1, tzinfo=timezone.utc)
+    return [
+        (
+            i,
+            rnd.choice(["Alice", "Malik", "100% Ali_", "Bob"]),
+            rnd.choice(["A@x.org", "a@X.ORG", "b@y.net"]),
+            f"10.0.0.{i % 5}",
+            f"555-{i % 7}",
+            start + timedelta(microseconds=rnd.randrange(20) * 333_333),
+        )
+        for i in range(n)
+    ]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return customer_rows()
+
+
+@pytest.fixture(scope="module")
+def served(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5).cache()
+
+
+def newest_first(rows):
+    return [r[0] for r in sorted(rows, key=lambda r: (r[5], r[0]), reverse=True)]
+
+
+@pytest.mark.parametrize("limit", [1, 10, 50, 137, 200])
+def test_pages_cover_the_table_in_order(served, rows, limit):
+    if limit == 1:
+        served = served.where("customer_id < 12")
+        rows = rows[:12]
+    walked = []
+    for answer in PageService(served).walk(PageRequest(select_csv="customer_id", limit=limit)):
+        assert answer["count"] == len(answer["items"]) <= limit
+        assert (answer["next_cursor"] is not None) == answer["has_more"]
+        walked += [item["customer_id"] for item in answer["items"]]
+    assert walked == newest_first(rows)
+
+
+def test_export_numbers_the_same_pages(served, rows):
+    exported = paging.export_pages(served, limit=10).collect()
+    assert {r.customer_id: (r.page_no, r.row_in_page) for r in exported} == {
+        c: (i // 10 + 1, i % 10 + 1) for i, c in enumerate(newest_first(rows))
+    }
+
+
+def test_export_of_nothing_is_empty(served):
+    assert paging.export_pages(served.where("false")).count() == 0
+
+
+def test_limit_is_clamped():
+    clamped = [paging.clamp_limit(v) for v in (None, 0, -3, 1, 7, 200, 201, "12")]
+    assert clamped == [50, 50, 1, 1, 7, 200, 200, 12]
+
+
+def test_summary_frame_equals_fetched_answer(served):
+    service = PageService(served)
+    cursor = None
+    for limit in (5, 200):
+        request = PageRequest("customer_id,email", {"email": "a@x.org"}, None, limit, cursor)
+        fetched, frame = service.fetch(request), service.summary(request).first().asDict()
+        frame["items"] = json.loads(frame["items"])
+        assert frame == fetched
+        cursor = fetched["next_cursor"]
+
+
+def test_empty_page(served):
+    service = PageService(served)
+    request = PageRequest(filters_json={"customer_id": -1})
+    expected = {"count": 0, "items": [], "next_cursor": None, "has_more": False}
+    assert service.fetch(request) == expected
+    assert service.summary(request).first().asDict() == {**expected, "items": "[]"}
+
+
+def test_sort_keys_stay_hidden(served):
+    assert paging.page(served, 3, select=["name"]).columns == ["name"]
+    items = PageService(served).fetch(PageRequest(select_csv="phone", limit=2))["items"]
+    assert [list(i) for i in items] == [["phone"], ["phone"]]
+
+
+def test_ascending_and_mixed_keys(served, rows):
+    keys = (("phone", "ASC"), ("customer_id", "DESC"))
+    order = sorted(rows, key=lambda r: (r[4], -r[0]))
+    at = order[40]
+    found = paging.keyset_order(paging.after(served, [at[4], at[0]], keys), keys).collect()
+    assert [r.customer_id for r in found] == [r[0] for r in order[41:]]
+
+
+def test_cursor_needs_all_keys(served):
+    with pytest.raises(ValueError, match="2 key values"):
+        paging.after(served, ["2025-10-01"])
+
+
+def test_page_is_top_k_with_pushed_cursor(served, spark, tmp_path):
+    served.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    page = paging.page(stored, 5, ["2025-10-01T00:00:03Z", 7], select=["name"])
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    assert "LessThanOrEqual(modified_ts" in plan and "Or(LessThan(modified_ts" in plan
+    assert "phone" not in plan
+
+
+# Cursor tokens
+
+
+def test_known_token_is_read():
+    token = "eyJhZnRlciI6WyIyMDI1LTEwLTAzVDIxOjM3OjAzLjc2M1oiLDEwMDA5OTldfQ"
+    expected = ["2025-10-03T21:37:03.763Z", 1000999]
+    assert decode_cursor(token) == expected
+    assert decode_cursor(token + "==") == expected
+
+
+def test_bad_token_raises_unless_lenient():
+    for bad in ("???", "bm90IGpzb24", base64.urlsafe_b64encode(b'{"after":3}').decode()):
+        with pytest.raises(ValueError, match="unreadable cursor"):
+            decode_cursor(bad)
+        assert decode_cursor(bad, lenient=True) is None
+    assert decode_cursor(None) is None and decode_cursor("") is None
+
+
+def test_token_column_round_trip(served):
+    tokens = served.withColumn("t", cursor_token(served.schema, ["modified_ts", "customer_id"]))
+    for row in tokens.limit(20).collect():
+        at, number = decode_cursor(row.t)
+        assert number == row.customer_id
+        python = row.modified_ts.isoformat() + "Z"
+        assert at == python and row.t == base64.urlsafe_b64encode(
+            json.dumps({"after": [python, number]}, separators=(",", ":")).encode()
+        ).decode()
+    dtypes = [served.schema[c].dataType for c in ("modified_ts", "customer_id")]
+    stripped = F.regexp_replace("t", "=+$", "")
+    for text in (F.col("t"), stripped):
+        parsed = tokens.withColumn("k", parse_cursor(text, dtypes))
+        assert parsed.where("k.k0 <> modified_ts OR k.k1 <> customer_id OR k.k0 IS NULL").count() == 0
+
+
+def test_token_of_text_keys_is_escaped(spark):
+    df = spark.createDataFrame([('a"b\\c', 1)], "s string, n int")
+    token = df.select(cursor_token(df.schema, ["s", "n"])).first()[0]
+    assert decode_cursor(token) == ['a"b\\c', 1]
+
+
+# Filters and projection
+
+
+@pytest.mark.parametrize(
+    "request_filters, keep",
+    [
+        ({"name": "Bob"}, lambda r: r[1] == "Bob"),
+        ({"name": "bob"}, lambda r: False),
+        ({"email": "A@X.org"}, lambda r: r[2].lower() == "a@x.org"),
+        ({"name_contains": "ALI"}, lambda r: "ali" in r[1].lower()),
+        ({"name_contains": "%"}, lambda r: "%" in r[1]),
+        ({"name_contains": "i_"}, lambda r: "i_" in r[1]),
+        ({"name_contains": "\\"}, lambda r: False),
+        ({"customer_id": "17"}, lambda r: r[0] == 17),
+        ({"ip_addr": "10.0.0.3", "phone": "555-2"}, lambda r: r[3].endswith(".3") and r[4] == "555-2"),
+        (
+            {"modified_from": "2025-10-01T00:00:01.333332Z", "modified_to": "2025-10-01 00:00:03.333330"},
+            lambda r: 1_333_332 <= r[5].second * 1_000_000 + r[5].microsecond < 3_333_330,
+        ),
+        ({"modified_to": "2025-10-01"}, lambda r: False),
+        ({"email": "", "name": None}, lambda r: True),
+        ({}, lambda r: True),
+    ],
+)
+def test_filters(served, rows, request_filters, keep):
+    for given in (request_filters, json.dumps(request_filters)):
+        found = filters.apply_filters(served, given).select("customer_id").collect()
+        assert sorted(r[0] for r in found) == sorted(r[0] for r in rows if keep(r))
+
+
+def test_unusable_filters_raise_unless_lenient(served):
+    for bad in ("{no json", '["a"]', {"colour": "red"}):
+        with pytest.raises(ValueError):
+            filters.apply_filters(served, bad)
+        assert filters.apply_filters(served, bad, lenient=True).count() == served.count()
+
+
+def test_projection_keeps_known_names_once(served):
+    assert filters.project(served, " phone ,nope,phone,name").columns == ["phone", "name"]
+    assert filters.project(served, "nope").columns == ["customer_id", "name", "email"]
+    assert filters.project(served, None).columns == ["customer_id", "name", "email"]
+
+
+def test_sql_parameters_are_values(spark, served):
+    query = "SELECT count(*) AS n FROM IDENTIFIER(:t) WHERE name = :name LIMIT :n"
+    found = filters.sql_params(spark, query, {"t": "p", "name": "x' OR '1'='1", "n": 5}, p=served)
+    assert found.first().n == 0
+
+
+# JSON items
+
+
+def test_items_are_plain_json(spark):
+    schema = "t timestamp, n timestamp_ntz, d date, m decimal(10,2), b binary, s string, a array<date>, r struct<x:timestamp>"
+    at = datetime(2025, 1, 2, 3, 4, 5, 60)
+    row = (at, at.replace(microsecond=0), at.date(), Decimal("1.50"), b"ab\xffc", None, [at.date()], (at,))
+    df = spark.createDataFrame([row], schema)
+    assert json.loads(paging.items_json(df).first().item) == {
+        "t": "2025-01-02T03:04:05.000060Z",
+        "n": "2025-01-02T03:04:05",
+        "d": "2025-01-02",
+        "m": 1.5,
+        "b": "abc",
+        "s": None,
+        "a": ["2025-01-02"],
+        "r": {"x": "2025-01-02T03:04:05.000060Z"},
+    }
