@@ -199,6 +199,7 @@ ORACLE: dict[str, str] = {
       WHERE window_end <= (SELECT max(event_timestamp) FROM sensor WHERE device_id IS NOT NULL)
                           - INTERVAL '2 minutes'""",
     "stream_summary_complete": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary",
+    "stream_summary_partials": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary",
     "scd2_history": HISTORY,
     "scd2_current": f"""WITH {history()}
       SELECT customer_id, o_orderstatus, o_orderpriority, "__START_AT" AS modified_ts

@@ -32,8 +32,13 @@ from millrace.streaming.metrics import MetricsRecorder, metrics_table
 from millrace.streaming.summary import (
     WATERMARK,
     device_summary_stream,
+    partial_summary,
     read_alerts,
+    read_summary,
+    read_summary_partials,
     write_alerts,
+    write_summary_complete,
+    write_summary_partials,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,11 +379,6 @@ def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].unionByName(both[1])
 
 
-def stream_summary_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = run_in_arrivals(spark, sf_dir)
-    return rounded_summary(pipeline.read_device_summary(spark, tables))
-
-
 def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of every table and rule over all runs, from the metrics table."""
     recorder = MetricsRecorder()
@@ -401,6 +401,28 @@ def _arriving_silver(spark: SparkSession, sf_dir: str, root: str, part: DataFram
     return read_stream_table(spark, f"{root}/silver", timed.schema)
 
 
+def stream_summary_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows from state, replaced by every batch."""
+    root = new_scratch(spark, "complete")
+    schema = None
+    for part in arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS):
+        summary = device_summary_stream(_arriving_silver(spark, sf_dir, root, part))
+        write_summary_complete(summary, f"{root}/summary", f"{root}/checkpoint")
+        schema = summary.schema
+    return rounded_summary(read_summary(spark, f"{root}/summary", schema))
+
+
+def stream_summary_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows from partial summaries, without state."""
+    root = new_scratch(spark, "partials")
+    schema = None
+    for part in arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS):
+        readings = _arriving_silver(spark, sf_dir, root, part)
+        write_summary_partials(readings, f"{root}/summary", f"{root}/checkpoint")
+        schema = partial_summary(readings).schema
+    return rounded_summary(read_summary_partials(spark, f"{root}/summary", schema))
+
+
 def stream_summary_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows closed by the watermark, each emitted once."""
     root = new_scratch(spark, "append")
@@ -465,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "alert_stream": alert_stream,
     "stream_summary_append": stream_summary_append,
     "stream_summary_complete": stream_summary_complete,
+    "stream_summary_partials": stream_summary_partials,
     "scd2_history": scd2_history,
     "scd2_current": scd2_current,
     "scd2_null_update": scd2_null_update,

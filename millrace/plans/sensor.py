@@ -9,15 +9,14 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.projections import READING_SCHEMA, to_silver
 from millrace.operators.quality import expect, expect_or_drop, split_quarantine
-from millrace.operators.windows import device_summary
 from millrace.sources.json_files import INGEST_COLUMNS, ingest_json
 from millrace.sources.schemas import read_evolving
 from millrace.sources.tables import read_if_exists, read_stream_table, start_stream_table
 from millrace.streaming.metrics import MetricsRecorder
 from millrace.streaming.summary import (
-    device_summary_stream,
-    read_summary,
-    write_summary_complete,
+    partial_summary,
+    read_summary_partials,
+    write_summary_partials,
 )
 
 # Names and conditions of the rules.
@@ -120,9 +119,7 @@ def run_pipeline(
     quarantine.awaitTermination()
 
     readings = read_stream_table(spark, tables.silver, silver_schema(spark))
-    write_summary_complete(
-        device_summary_stream(readings), tables.summary, tables.checkpoint("summary")
-    )
+    write_summary_partials(readings, tables.summary, tables.checkpoint("summary"))
     if recorder is not None:
         recorder.flush(spark, tables.metrics, ingest, silver, quarantine)
     if full_refresh:
@@ -145,4 +142,4 @@ def read_quarantine(spark: SparkSession, tables: SensorTables) -> DataFrame:
 
 def read_device_summary(spark: SparkSession, tables: SensorTables) -> DataFrame:
     empty = spark.createDataFrame([], silver_schema(spark))
-    return read_summary(spark, tables.summary, device_summary(empty).schema)
+    return read_summary_partials(spark, tables.summary, partial_summary(empty).schema)

@@ -33,15 +33,18 @@ def ingest_json(
     schema_log: str,
     hints: StructType | None = None,
     name: str = "bronze",
+    evolve: bool = True,
     **options: str,
 ) -> StreamingQuery:
     """Append every landing file not seen before to the bronze table, then stop.
 
-    The schema of the new files is merged with the logged one first. A file that
-    lands between that step and the start of the stream is read with the merged
-    schema; a column only it has is then first known in the next run.
+    The schema of the new files is merged with the logged one first, which parses
+    them one more time. With ``evolve=False`` the columns of ``hints`` are taken as
+    they are. A file that lands between that step and the start of the stream is
+    read with the merged schema; a column only it has is then first known in the
+    next run.
     """
-    version, schema = infer_and_merge_schema(spark, path, schema_log, hints)
+    version, schema = infer_and_merge_schema(spark, path, schema_log, hints, infer=evolve)
     rows = read_landing(spark, path, schema, **options).withColumn(VERSION, F.lit(version))
     rows = rows.observe(name, F.count(F.lit(1)).alias("rows_in"))
     writer = stream_writer(rows, target, checkpoint, partition_by=[VERSION])

@@ -69,18 +69,25 @@ def schema_versions(spark: SparkSession, schema_log: str) -> dict[int, StructTyp
 
 
 def infer_and_merge_schema(
-    spark: SparkSession, path: str, schema_log: str, hints: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema_log: str,
+    hints: StructType | None = None,
+    infer: bool = True,
 ) -> tuple[int, StructType]:
     """Infer the files that arrived since the last call and merge with the log.
 
-    ``hints`` fix the types of known columns. Returns the newest version and its
-    schema. Call it before a triggered run: a stream has one schema per run.
+    ``hints`` fix the types of known columns; without ``infer`` they are the whole
+    schema. Returns the newest version and its schema. Call it before a triggered
+    run: a stream has one schema per run.
     """
     started = datetime.now(timezone.utc)
     known, modified_after = _read_log(spark, schema_log)
     version = max(known, default=0)
 
-    found = _infer(spark, path, modified_after)
+    if not infer and version:
+        return version, known[version]
+    found = _infer(spark, path, modified_after) if infer else StructType()
     fixed = {f.name: f for f in (hints.fields if hints else [])}
     found = StructType([fixed.get(f.name, f) for f in found.fields])
     base = known.get(version) or StructType(list(fixed.values()))

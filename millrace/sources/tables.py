@@ -127,19 +127,16 @@ def read_versioned(
 ) -> DataFrame:
     """The live rows with their ``part`` column.
 
-    ``live`` narrows the read to some parts. The conditions are on folder names,
-    so only live folders are read.
+    ``live`` narrows the read to some parts. Only live folders are listed and read,
+    however many versions came before.
     """
-    versions: dict[int, list[int]] = {}
-    for part, version in (live_parts(spark, path) if live is None else live).items():
-        versions.setdefault(version, []).append(part)
+    if live is None:
+        live = live_parts(spark, path)
     columns = [f.name for f in schema.fields if f.name != "part"]
-    stored = StructType([f for f in schema.fields if f.name != "part"])
-    stored = stored.add("part", "integer").add("version", "long")
-    if not versions:
-        return spark.createDataFrame([], stored).select(*columns, "part")
-    condition = F.lit(False)
-    for version, members in versions.items():
-        condition = condition | ((F.col("version") == version) & F.col("part").isin(members))
-    rows = spark.read.schema(stored).parquet(f"{path}/data").where(condition)
-    return rows.select(*columns, "part")
+    stored = StructType([f for f in schema.fields if f.name != "part"]).add("part", "integer")
+    if not live:
+        return spark.createDataFrame([], stored)
+    base = f"{path}/data"
+    folders = [f"{base}/version={version}/part={part}" for part, version in sorted(live.items())]
+    reader = spark.read.schema(stored.add("version", "long")).option("basePath", base)
+    return reader.parquet(*folders).select(*columns, "part")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from millrace.operators.windows import WINDOW, device_summary, flatten_window, hot_devices
+from millrace.operators.windows import WINDOW, device_summary, hot_devices
 from millrace.sources.tables import live_parts, read_versioned, write_version
 
 # Fixed value: how late a reading may be when a watermark is used.
@@ -49,6 +49,79 @@ def write_summary_complete(summary: DataFrame, path: str, checkpoint: str) -> St
     return query
 
 
+# A table of partial summaries with this many parts is merged into one part.
+MERGE_PARTS = 32
+
+PARTIAL_COLUMNS = {
+    "sum_temp": "sum(temperature_celsius)",
+    "n_temp": "count(temperature_celsius)",
+    "max_temp": "max(temperature_celsius)",
+    "sum_vibration": "sum(vibration_hz)",
+    "n_vibration": "count(vibration_hz)",
+    "reading_count": "count(*)",
+}
+
+
+def partial_summary(readings: DataFrame, window: str = WINDOW) -> DataFrame:
+    """Sums and counts per device, location and window; two of them can be merged."""
+    columns = [F.expr(text).alias(name) for name, text in PARTIAL_COLUMNS.items()]
+    return readings.groupBy(
+        "device_id", "location", F.window("event_timestamp", window)
+    ).agg(*columns)
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    merge = {name: F.max if name == "max_temp" else F.sum for name in PARTIAL_COLUMNS}
+    columns = [function(name).alias(name) for name, function in merge.items()]
+    return partials.groupBy("device_id", "location", "window").agg(*columns)
+
+
+def write_summary_partials(
+    readings: DataFrame, path: str, checkpoint: str, window: str = WINDOW
+) -> StreamingQuery:
+    """Keep the summary of a stream up to date without state, then stop.
+
+    Every batch adds the partial summary of its own rows, so the work of a batch
+    grows with the batch and not with the table, late readings count, and nothing
+    is kept in executors between batches. Parts are merged from time to time.
+    """
+    schema = partial_summary(readings, window).schema
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        live = live_parts(spark, path)
+        if batch_id in live.values():
+            return
+        partials = partial_summary(batch, window)
+        if len(live) >= MERGE_PARTS:
+            before = read_versioned(spark, path, schema, live).drop("part")
+            partials, live = merge_partials(partials.unionByName(before)), {}
+        write_version(partials.withColumn("part", F.lit(batch_id).cast("int")), path, batch_id, [batch_id], live)
+
+    query = (
+        readings.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def read_summary_partials(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The summary of all readings so far; ``schema`` is that of ``partial_summary``."""
+    merged = merge_partials(read_versioned(spark, path, schema).drop("part"))
+    return merged.select(
+        "device_id",
+        "location",
+        "window",
+        (F.col("sum_temp") / F.nullif("n_temp", F.lit(0))).alias("avg_temp"),
+        "max_temp",
+        (F.col("sum_vibration") / F.nullif("n_vibration", F.lit(0))).alias("avg_vibration"),
+        "reading_count",
+    )
+
+
 def read_summary(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return read_versioned(spark, path, schema).drop("part")
 
@@ -85,13 +158,3 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.max_by("max_temp", "batch_id").alias("max_temp"))
     )
 
-
-__all__ = [
-    "WATERMARK",
-    "device_summary_stream",
-    "flatten_window",
-    "read_alerts",
-    "read_summary",
-    "write_alerts",
-    "write_summary_complete",
-]

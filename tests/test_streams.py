@@ -18,6 +18,7 @@ from millrace.sources.tables import (
     write_version,
 )
 from millrace.streaming.history import history_schema, read_history, scd2_stream
+from millrace.streaming import summary as summaries
 from millrace.streaming.summary import (
     device_summary_stream,
     read_alerts,
@@ -81,6 +82,27 @@ def test_complete_counts_late_rows_and_equals_batch(spark, tmp_path):
     assert live_parts(spark, path) == {0: 2}
 
 
+@pytest.mark.parametrize("merge_parts", [2, 32])
+def test_partial_summaries_equal_batch(spark, tmp_path, monkeypatch, merge_parts):
+    monkeypatch.setattr(summaries, "MERGE_PARTS", merge_parts)
+    feed = Feed(spark, str(tmp_path / "in"), READINGS)
+    path, schema = str(tmp_path / "out"), None
+    for rows in (
+        [at(0), at(10), at(10, "b", None)],
+        [at(600, temperature=-5.0)],
+        [at(5, temperature=99.0)],
+        [at(601), at(11, "b", None)],
+        [at(20, "b", 1.0)],
+    ):
+        feed.add(rows)
+        summaries.write_summary_partials(feed.stream(), path, str(tmp_path / "checkpoint"))
+        schema = summaries.partial_summary(feed.stream()).schema
+    order = ["device_id", "window"]
+    batch = device_summary(spark.read.parquet(feed.path)).orderBy(order).collect()
+    assert summaries.read_summary_partials(spark, path, schema).orderBy(order).collect() == batch
+    assert len(live_parts(spark, path)) <= max(merge_parts, 5 if merge_parts > 5 else 0)
+
+
 def test_alerts_keep_the_newest_maximum(spark, tmp_path):
     feed = Feed(spark, str(tmp_path / "in"), READINGS)
     for rows in ([at(0, temperature=39.0)], [at(1, temperature=41.0)], [at(2, temperature=43.0), at(-9000, "old", 50.0)]):
