@@ -38,12 +38,8 @@ def parse_cursor(token: Column, dtypes: Sequence[DataType]) -> Column:
     standard = F.translate(F.rtrim(token, F.lit("=")), "-_", "+/")
     padded = F.rpad(standard, (F.ceil(F.length(standard) / F.lit(4)) * 4).cast("int"), F.lit("="))
     text = F.unbase64(padded).cast("string")
-    return F.struct(
-        *[
-            F.get_json_object(text, f"$.after[{i}]").cast(dtype).alias(f"k{i}")
-            for i, dtype in enumerate(dtypes)
-        ]
-    )
+    values = F.from_json(text, "after array<string>")["after"]
+    return F.struct(*[values[i].cast(dtype).alias(f"k{i}") for i, dtype in enumerate(dtypes)])
 
 
 def decode_cursor(token: str | None, lenient: bool = False) -> list[Any] | None:

@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 Rules = Mapping[str, str | Column]
 
 
+def _condition(rule: str | Column) -> Column:
+    return F.expr(rule) if isinstance(rule, str) else rule
+
+
 def holds(rule: str | Column) -> Column:
-    condition = F.expr(rule) if isinstance(rule, str) else rule
-    return F.coalesce(condition, F.lit(False))
+    return F.coalesce(_condition(rule), F.lit(False))
 
 
 def all_hold(rules: Rules) -> Column:
-    condition = F.lit(True)
-    for rule in rules.values():
-        condition = condition & holds(rule)
-    return condition
+    """TRUE where every rule holds, else FALSE or NULL.
+
+    For ``where`` and ``count_if``, which take NULL as FALSE; without a coalesce
+    around it a rule reaches the scan.
+    """
+    return reduce(Column.__and__, map(_condition, rules.values()), F.lit(True))
 
 
 def failures(rule: str | Column) -> Column:

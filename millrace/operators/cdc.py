@@ -111,7 +111,8 @@ def _history_by_slice(
     """The same history with windows per key and slice.
 
     What a row needs from a neighbour slice (the values before it, the sequence
-    after it) comes from one summary row per key and slice.
+    after it) comes from one summary row per key and slice. The joins with these
+    and the windows use the same partitioning by key and slice.
     """
     chosen = F.max_by(F.struct(*values), F.struct(*ties))
     versions = changes.groupBy(*keys, seq).agg(chosen.alias("_values"))
@@ -123,14 +124,14 @@ def _history_by_slice(
         ends = versions.groupBy(*keys, SLICE).agg(F.max_by("_values", seq).alias("_last"))
         ends = ends.select(*keys, SLICE, F.lag("_last").over(across).alias("_outside"))
         versions = (
-            versions.join(F.broadcast(ends), [*keys, SLICE])
+            versions.join(ends, [*keys, SLICE])
             .withColumn("_before", F.coalesce(F.lag("_values").over(inside), F.col("_outside")))
             .where(~F.col("_before").eqNullSafe(F.col("_values")))
             .select(*keys, seq, SLICE, "_values")
         )
     starts = versions.groupBy(*keys, SLICE).agg(F.min(seq).alias("_first"))
     starts = starts.select(*keys, SLICE, F.lead("_first").over(across).alias("_outside"))
-    versions = versions.join(F.broadcast(starts), [*keys, SLICE]).withColumn(
+    versions = versions.join(starts, [*keys, SLICE]).withColumn(
         END, F.coalesce(F.lead(seq).over(inside), F.col("_outside"))
     )
     columns = [F.col(f"_values.{c}").alias(c) for c in values]

@@ -48,8 +48,8 @@ def expect_or_fail(df: DataFrame, rules: Rules, metrics: Observation | str) -> D
 
 def split_quarantine(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """The rows that pass every rule, and the rest with the names of failed rules."""
-    ok = all_hold(rules)
-    return df.where(ok), df.where(~ok).withColumn("failed_rules", failed_names(rules))
+    failed = ~F.coalesce(all_hold(rules), F.lit(False))
+    return df.where(all_hold(rules)), df.where(failed).withColumn("failed_rules", failed_names(rules))
 
 
 def split_counts(df: DataFrame, rules: Rules) -> DataFrame:

@@ -129,7 +129,7 @@ def run_pipeline(
 
 
 def read_bronze(spark: SparkSession, tables: SensorTables) -> DataFrame:
-    return read_evolving(spark, tables.bronze, tables.schema_log, INGEST_COLUMNS)
+    return read_evolving(spark, tables.bronze, tables.schema_log, READING_SCHEMA, INGEST_COLUMNS)
 
 
 def read_silver(spark: SparkSession, tables: SensorTables) -> DataFrame:

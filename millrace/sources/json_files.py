@@ -7,22 +7,39 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from millrace.sources.audit import with_ingest_meta
-from millrace.sources.schemas import VERSION, infer_and_merge_schema
-from millrace.sources.tables import stream_writer
+from millrace.sources.schemas import (
+    RECORD,
+    field,
+    from_schema_text,
+    infer_and_merge_schema,
+    logged_schema,
+    merge_schema,
+    record_schema,
+    widen,
+)
+from millrace.sources.tables import write_stream_table
 
 INGEST_COLUMNS = (
     StructType().add("ingestion_timestamp", TimestampType()).add("source_file", StringType())
 )
 
 
-def read_landing(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
-    """New landing files as a stream, with audit columns.
+def read_landing(spark: SparkSession, path: str, hints: StructType, **options: str) -> DataFrame:
+    """New landing files as a stream: record, columns of ``hints``, audit columns.
 
-    A file holds JSON objects or JSON arrays of objects, one per line. Options go
-    to the file source, for example ``maxFilesPerTrigger`` to bound a batch.
+    A line of a file is a JSON object, or a JSON array of objects that gives one
+    row per object. Options go to the file source, for example
+    ``maxFilesPerTrigger`` to bound a batch.
     """
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-    return with_ingest_meta(reader.options(**options).json(path))
+    reader = spark.readStream.options(recursiveFileLookup="true", singleVariantColumn=RECORD)
+    lines = with_ingest_meta(reader.options(**options).json(path))
+    objects = F.coalesce(
+        F.try_variant_get(RECORD, "$", "array<variant>"), F.array(RECORD)
+    )
+    rows = lines.withColumn(RECORD, F.explode(objects))
+    return rows.select(
+        RECORD, *[field(f.name, f.dataType) for f in hints.fields], *INGEST_COLUMNS.names
+    )
 
 
 def ingest_json(
@@ -31,23 +48,40 @@ def ingest_json(
     target: str,
     checkpoint: str,
     schema_log: str,
-    hints: StructType | None = None,
+    hints: StructType,
     name: str = "bronze",
-    evolve: bool = True,
     **options: str,
 ) -> StreamingQuery:
     """Append every landing file not seen before to the bronze table, then stop.
 
-    The schema of the new files is merged with the logged one first, which parses
-    them one more time. With ``evolve=False`` the columns of ``hints`` are taken as
-    they are. A file that lands between that step and the start of the stream is
-    read with the merged schema; a column only it has is then first known in the
-    next run.
+    ``hints`` are the columns with fixed types. The schema of the records is
+    collected while they are read, so the files are parsed once.
     """
-    version, schema = infer_and_merge_schema(spark, path, schema_log, hints, infer=evolve)
-    rows = read_landing(spark, path, schema, **options).withColumn(VERSION, F.lit(version))
-    rows = rows.observe(name, F.count(F.lit(1)).alias("rows_in"))
-    writer = stream_writer(rows, target, checkpoint, partition_by=[VERSION])
-    query = writer.queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
+    rows = read_landing(spark, path, hints, **options).observe(
+        name, F.count(F.lit(1)).alias("rows_in"), record_schema().alias("record_schema")
+    )
+    query = write_stream_table(rows, target, checkpoint, name=name)
+    _log_schema(spark, query, name, target, schema_log)
     return query
+
+
+def _log_schema(
+    spark: SparkSession, query: StreamingQuery, name: str, bronze: str, schema_log: str
+) -> None:
+    """Log the schemas of the run's batches.
+
+    A query remembers its last batches only, and a run may have died before it
+    logged. If batches are missing, the schema is taken from the whole table.
+    """
+    batches = {p.batchId: p for p in query.recentProgress if p.numInputRows > 0}
+    if not batches:
+        return
+    logged, _ = logged_schema(spark, schema_log)
+    if set(batches) != set(range(logged + 1, max(batches) + 1)):
+        infer_and_merge_schema(spark, bronze, schema_log, max(batches))
+        return
+    texts = [p.observedMetrics[name]["record_schema"] for p in batches.values()]
+    found = StructType()
+    for text in dict.fromkeys(texts):
+        found = widen(found, from_schema_text(text))
+    merge_schema(spark, schema_log, found, max(batches))

@@ -1,118 +1,84 @@
-"""Schema tracking of a JSON landing folder: new columns and wider types.
+"""Schema tracking of JSON feeds: new columns and wider types.
 
-The log is a small table with one row per schema version. Bronze files carry the
-version they were written with as a partition column, because parquet cannot
-read an old whole-number column as, say, DOUBLE: a batch read takes every version
-with its own types and casts to the newest.
+Bronze keeps every record as one VARIANT, next to the columns whose types are
+fixed. A new field, or a value of another type, is thus stored before anyone
+knows about it, and the schema only decides how the record is shown. The log
+holds the merged schema after each run.
 """
 
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
-from functools import reduce
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import NullType, StringType, StructField, StructType
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    DoubleType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 from millrace.sources.tables import read_if_exists
 
-VERSION = "schema_version"
-LOG_SCHEMA = "version int, schema_json string, read_from string"
+RECORD = "record"
+LOG_SCHEMA = "last_batch long, schema_json string"
 
-# Clock difference allowed between storage and driver when looking for new files.
-OVERLAP = timedelta(minutes=10)
 
+def record_schema(record: str = RECORD) -> Column:
+    """Aggregate: the merged schema of all records, as text."""
+    return F.schema_of_variant_agg(record)
 
-def widen(a: StructType, b: StructType) -> StructType:
-    """A schema that holds both: all columns, with the wider type where they differ.
 
-    Spark's own union rules find the wider type. Types without one become text.
-    """
-    spark = SparkSession.active()
-    left = {f.name: f for f in a.fields}
-    merged = []
-    for field in b.fields:
-        mine = left.get(field.name)
-        if mine is None or mine.dataType == field.dataType:
-            continue
-        text = [isinstance(f.dataType, StringType) for f in (mine, field)]
-        if any(text) and not any(isinstance(f.dataType, NullType) for f in (mine, field)):
-            merged.append(StructField(field.name, StringType()))
-            continue
-        one = [StructType([StructField("c", f.dataType)]) for f in (mine, field)]
-        try:
-            frames = [spark.createDataFrame([], schema) for schema in one]
-            wider = frames[0].unionByName(frames[1], allowMissingColumns=True).schema["c"].dataType
-        except Exception:
-            wider = StringType()
-        merged.append(StructField(field.name, wider))
-    changed = {f.name: f for f in merged}
-    new = [f for f in b.fields if f.name not in left]
-    return StructType([changed.get(f.name, f) for f in a.fields] + new)
-
-
-def _read_log(spark: SparkSession, schema_log: str) -> tuple[dict[int, StructType], str | None]:
-    """Schema per version, and the time up to which files have been inferred."""
-    log = read_if_exists(spark, schema_log, LOG_SCHEMA)
-    if log is None:
-        return {}, None
-    newest = [F.first("schema_json").alias("schema_json"), F.max("read_from").alias("read_from")]
-    rows = log.groupBy("version").agg(*newest).collect()
-    schemas = {r["version"]: StructType.fromJson(json.loads(r["schema_json"])) for r in rows}
-    return schemas, max(r["read_from"] for r in rows)
+def from_schema_text(text: str | None) -> StructType:
+    """The result of ``record_schema`` as a schema; no fields if there are none."""
+    if not text or not text.startswith("OBJECT<"):
+        return StructType()
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", text)
+    parsed = StructType.fromDDL(f"r {ddl}")["r"].dataType
+    return StructType([StructField(f.name, _plain(f.dataType)) for f in parsed.fields])
 
 
-def schema_versions(spark: SparkSession, schema_log: str) -> dict[int, StructType]:
-    return _read_log(spark, schema_log)[0]
+def _plain(dtype: DataType) -> DataType:
+    """Fractions as DOUBLE; mixed or absent types as text."""
+    if isinstance(dtype, DecimalType) and dtype.scale > 0:
+        return DoubleType()
+    if isinstance(dtype, (VariantType, NullType)):
+        return StringType()
+    return dtype
 
 
-def infer_and_merge_schema(
-    spark: SparkSession,
-    path: str,
-    schema_log: str,
-    hints: StructType | None = None,
-    infer: bool = True,
-) -> tuple[int, StructType]:
-    """Infer the files that arrived since the last call and merge with the log.
-
-    ``hints`` fix the types of known columns; without ``infer`` they are the whole
-    schema. Returns the newest version and its schema. Call it before a triggered
-    run: a stream has one schema per run.
-    """
-    started = datetime.now(timezone.utc)
-    known, modified_after = _read_log(spark, schema_log)
-    version = max(known, default=0)
-
-    if not infer and version:
-        return version, known[version]
-    found = _infer(spark, path, modified_after) if infer else StructType()
-    fixed = {f.name: f for f in (hints.fields if hints else [])}
-    found = StructType([fixed.get(f.name, f) for f in found.fields])
-    base = known.get(version) or StructType(list(fixed.values()))
-    merged = widen(base, found)
-    merged = StructType(
-        [StructField(f.name, StringType()) if isinstance(f.dataType, NullType) else f for f in merged]
-    )
-    if version == 0 or merged != known[version]:
-        version += 1
-    read_from = (started - OVERLAP).strftime("%Y-%m-%dT%H:%M:%S")
-    row = spark.createDataFrame([(version, merged.json(), read_from)], LOG_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(schema_log)
-    return version, merged
-
+def widen(a: StructType, b: StructType) -> StructType:
+    """A schema that holds both: all columns, with the wider type where they differ.
 
-def _infer(spark: SparkSession, path: str, modified_after: str | None) -> StructType:
-    reader = spark.read.options(recursiveFileLookup="true", timeZone="UTC")
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
+    Spark's own union rules find the wider type. Types without one become text.
+    """
+    mine = {f.name: f.dataType for f in a.fields}
+    theirs = {f.name: f.dataType for f in b.fields}
+    fields = [
+        StructField(name, _wider(dtype, theirs[name]) if name in theirs else dtype)
+        for name, dtype in mine.items()
+    ]
+    return StructType(fields + [StructField(n, t) for n, t in theirs.items() if n not in mine])
+
+
+def _wider(a: DataType, b: DataType) -> DataType:
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    if isinstance(a, StringType) or isinstance(b, StringType):
+        return StringType()
+    spark = SparkSession.active()
+    one, other = (spark.createDataFrame([], StructType([StructField("c", t)])) for t in (a, b))
     try:
-        return reader.json(path).schema
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return StructType()
-        raise
+        return one.unionByName(other, allowMissingColumns=True).schema["c"].dataType
+    except Exception:
+        return StringType()
 
 
 def evolve_union(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -131,17 +97,52 @@ def _as(df: DataFrame, target: StructType) -> DataFrame:
     )
 
 
-def read_evolving(spark: SparkSession, path: str, schema_log: str, extra: StructType) -> DataFrame:
-    """A bronze table over all its schema versions, under the newest schema.
+def logged_schema(spark: SparkSession, schema_log: str) -> tuple[int, StructType]:
+    """The last batch the log covers (-1 for none), and the schema up to it."""
+    log = read_if_exists(spark, schema_log, LOG_SCHEMA)
+    newest = None
+    if log is not None:
+        newest = log.agg(F.max("last_batch"), F.max_by("schema_json", "last_batch")).first()
+    if newest is None or newest[0] is None:
+        return -1, StructType()
+    return newest[0], StructType.fromJson(json.loads(newest[1]))
+
+
+def merge_schema(
+    spark: SparkSession, schema_log: str, found: StructType, last_batch: int
+) -> StructType:
+    """Merge a found schema into the log."""
+    merged = widen(logged_schema(spark, schema_log)[1], found)
+    row = spark.createDataFrame([(last_batch, merged.json())], LOG_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(schema_log)
+    return merged
+
+
+def infer_and_merge_schema(
+    spark: SparkSession, bronze: str, schema_log: str, last_batch: int
+) -> StructType:
+    """Infer the schema of all records of a bronze table and merge it with the log."""
+    rows = spark.read.schema(f"{RECORD} variant").parquet(bronze)
+    found = from_schema_text(rows.agg(record_schema()).first()[0])
+    return merge_schema(spark, schema_log, found, last_batch)
+
+
+def field(name: str, dtype: DataType) -> Column:
+    """A field of the record; NULL where it is missing or of another type."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(RECORD, f"$['{quoted}']", dtype.simpleString()).alias(name)
+
+
+def read_evolving(
+    spark: SparkSession, path: str, schema_log: str, hints: StructType, extra: StructType
+) -> DataFrame:
+    """A bronze table under the newest schema.
 
-    ``extra`` are the columns the ingest added. Every version reads only its own
-    folders.
+    The columns of ``hints`` and ``extra`` are stored; the others come from the
+    record, which is read only if one of them is asked for.
     """
-    versions = schema_versions(spark, schema_log)
-    newest = StructType(versions[max(versions)].fields + extra.fields)
-    frames = []
-    for version, schema in sorted(versions.items()):
-        stored = StructType(schema.fields + extra.fields).add(VERSION, "integer")
-        rows = spark.read.schema(stored).parquet(path).where(F.col(VERSION) == version)
-        frames.append(_as(rows, newest))
-    return reduce(DataFrame.unionByName, frames)
+    stored = StructType([*hints.fields, *extra.fields]).add(RECORD, VariantType())
+    _, schema = logged_schema(spark, schema_log)
+    fixed = {f.name for f in stored.fields}
+    grown = [field(f.name, f.dataType) for f in schema.fields if f.name not in fixed]
+    return spark.read.schema(stored).parquet(path).select(*hints.names, *grown, *extra.names)

@@ -110,14 +110,14 @@ def write_version(
 ) -> None:
     """Replace ``parts`` of the table by ``df`` (with a ``part`` column) and commit.
 
-    ``live`` is what ``live_parts`` gave before. The rebalance hint gathers a
-    small part into few files and splits a large one over several tasks; after a
-    stateful stream it has no effect, there every state partition writes its rows.
+    ``live`` is what ``live_parts`` gave before. With several parts, the rebalance
+    hint gathers a small part into few files and splits a large one over several
+    tasks.
     """
     spark = df.sparkSession
     live = {**live, **{part: version for part in parts}}
-    rebalanced = df.hint("rebalance", F.col("part"))
-    rebalanced.write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/version={version}")
+    placed = df.hint("rebalance", F.col("part")) if len(parts) > 1 else df
+    placed.write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/version={version}")
     commit = spark.createDataFrame(sorted(live.items()), COMMIT_SCHEMA)
     commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
 

@@ -38,9 +38,10 @@ class MetricsRecorder(StreamingQueryListener):
     def onQueryProgress(self, event: QueryProgressEvent) -> None:
         progress = event.progress
         rows = [
-            (str(progress.runId), progress.batchId, progress.timestamp, table, metric, int(value))
+            (str(progress.runId), progress.batchId, progress.timestamp, table, metric, value)
             for table, metrics in progress.observedMetrics.items()
             for metric, value in metrics.asDict().items()
+            if isinstance(value, int)
         ]
         with self._lock:
             self._rows.extend(rows)

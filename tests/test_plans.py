@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from millrace.operators.windows import alert_state, device_summary, hot_devices
 from millrace.plans import sensor as pipeline
 from millrace.plans.customers import current_customers, customer_history, raw_customers
-from millrace.sources.schemas import VERSION
 from millrace.streaming.metrics import MetricsRecorder, metrics_table
 
 

@@ -1,8 +1,8 @@
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
-import time
 from datetime import datetime
 
 import pytest
@@ -16,7 +16,7 @@ from millrace.session import materialize, scratch_root
 from millrace.sources.audit import with_ingest_meta
 from millrace.sources.customers import synthetic_customers
 from millrace.sources.json_files import ingest_json
-from millrace.sources.schemas import evolve_union, schema_versions, widen
+from millrace.sources.schemas import evolve_union, from_schema_text, logged_schema, widen
 
 
 def reading(n, **more):
@@ -80,7 +80,45 @@ def test_schema_grows_and_widens(spark, tables, tmp_path):
     assert found == {
         "1": (1.0, None, None, "1"), "2": (2.0, 40.5, 1.5, "a"), "3": (2.5, None, None, None),
     }
-    assert sorted(schema_versions(spark, tables.schema_log)) == [1, 2, 3]
+    assert logged_schema(spark, tables.schema_log)[0] == 2
+
+
+def test_schema_is_found_when_the_log_missed_batches(spark, tables, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(landing, "1.json", [reading(1, first=1)])
+    run(spark, landing, tables)
+    lost = dataclasses.replace(tables)
+    land(landing, "2.json", [reading(2, second=2.5)])
+    ingest_json(
+        spark, landing, lost.bronze, lost.checkpoint("bronze"), str(tmp_path / "lost_log"), READING_SCHEMA
+    )
+    land(landing, "3.json", [reading(3, third={"x": 1})])
+    run(spark, landing, tables)
+    rows = {r.device_id[-1]: r for r in pipeline.read_bronze(spark, tables).collect()}
+    assert (rows["1"].first, rows["2"].second, rows["3"].third.x) == (1, 2.5, 1)
+    assert rows["3"].first is None
+
+
+def test_values_of_another_type_stay_in_the_record(spark, tables, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(landing, "1.json", [reading(1, temperature_celsius="hot")])
+    os.makedirs(landing, exist_ok=True)
+    with open(os.path.join(landing, "2.json"), "w") as file:
+        file.write(json.dumps(reading(2)) + "\n" + "{broken\n" + json.dumps([reading(3), reading(4)]) + "\n")
+    run(spark, landing, tables)
+    rows = pipeline.read_bronze(spark, tables)
+    assert rows.count() == 5
+    assert rows.where("temperature_celsius IS NULL").count() == 2
+    stored = spark.read.parquet(tables.bronze)
+    assert stored.where("try_variant_get(record, '$.temperature_celsius', 'string') = 'hot'").count() == 1
+
+
+def test_schema_texts():
+    text = "OBJECT<a: BIGINT, `b c`: DECIMAL(4,2), c: VARIANT, d: VOID, e: OBJECT<f: STRING>, g: ARRAY<BIGINT>>"
+    assert from_schema_text(text).simpleString() == (
+        "struct<a:bigint,b c:double,c:string,d:string,e:struct<f:string>,g:array<bigint>>"
+    )
+    assert from_schema_text("VOID") == from_schema_text(None) == StructType()
 
 
 def test_hints_win_over_inference(spark, tables, tmp_path):
