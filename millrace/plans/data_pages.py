@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from millrace.functions.cursors import cursor_token, decode_cursor
 from millrace.functions.jsonsafe import item_json
@@ -22,9 +22,11 @@ from millrace.operators.paging import (
     MAX_LIMIT,
     clamp_limit,
     key_names,
+    order_columns,
     page_summary,
     page_with_lookahead,
 )
+from millrace.operators.quality import expect_or_fail
 
 
 @dataclass(frozen=True)
@@ -99,10 +101,14 @@ class PageService:
             )
 
 
-def served_order(df: DataFrame) -> DataFrame:
-    """Store a table for page requests: ordered by the leading sort key.
+def write_served(df: DataFrame, path: str) -> None:
+    """Store a table for page requests, newest rows first.
 
-    Range-ordered files have narrow key statistics, so a cursor skips most files.
+    Rows without a sort key could not be reached by any cursor, so they stop the
+    write. Range-ordered files have narrow key statistics: a cursor skips most of
+    them.
     """
-    return df.repartitionByRange(F.col(KEYSET[0][0]).desc(), F.col(KEYSET[1][0]).desc()) \
-        .sortWithinPartitions(*[F.col(name).desc() for name, _ in KEYSET])
+    names = key_names(KEYSET)
+    rules = {f"{name}_given": F.col(name).isNotNull() for name in names}
+    checked = expect_or_fail(df, rules, Observation())
+    checked.orderBy(*order_columns(KEYSET)).write.mode("overwrite").parquet(path)

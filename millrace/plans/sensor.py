@@ -94,31 +94,37 @@ def run_pipeline(
     root: str,
     full_refresh: bool = False,
     recorder: MetricsRecorder | None = None,
-    **source_options: str,
+    **batch_options: str,
 ) -> SensorTables:
     """One triggered run: process the files that are new, then stop.
 
     A full refresh fills new tables with new checkpoints from every landing file;
-    readers keep the old tables until it is finished.
+    readers keep the old tables until it is finished. ``batch_options`` such as
+    ``maxBytesPerTrigger`` bound the batches of every stream of the run, so that a
+    large backlog does not become one batch.
     """
     generation = _generation(spark, root) + (1 if full_refresh else 0)
     tables = SensorTables(f"{root}/generation-{generation}")
 
     ingest = ingest_json(
         spark, landing, tables.bronze, tables.checkpoint("bronze"), tables.schema_log,
-        hints=READING_SCHEMA, **source_options,
+        hints=READING_SCHEMA, **batch_options,
     )
-    bronze = read_stream_table(spark, tables.bronze, BRONZE_SCHEMA)
+    bronze = read_stream_table(spark, tables.bronze, BRONZE_SCHEMA, **batch_options)
     silver = start_stream_table(
         silver_rows(bronze), tables.silver, tables.checkpoint("silver"), name="silver"
     )
     quarantine = start_stream_table(
         quarantine_rows(bronze), tables.quarantine, tables.checkpoint("quarantine"), name="quarantine"
     )
-    silver.awaitTermination()
-    quarantine.awaitTermination()
-
-    readings = read_stream_table(spark, tables.silver, silver_schema(spark))
+    try:
+        silver.awaitTermination()
+        quarantine.awaitTermination()
+    finally:
+        silver.stop()
+        quarantine.stop()
+
+    readings = read_stream_table(spark, tables.silver, silver_schema(spark), **batch_options)
     write_summary_partials(readings, tables.summary, tables.checkpoint("summary"))
     if recorder is not None:
         recorder.flush(spark, tables.metrics, ingest, silver, quarantine)
@@ -137,7 +143,8 @@ def read_silver(spark: SparkSession, tables: SensorTables) -> DataFrame:
 
 
 def read_quarantine(spark: SparkSession, tables: SensorTables) -> DataFrame:
-    return spark.read.parquet(tables.quarantine)
+    schema = quarantine_rows(spark.createDataFrame([], BRONZE_SCHEMA)).schema
+    return spark.read.schema(schema).parquet(tables.quarantine)
 
 
 def read_device_summary(spark: SparkSession, tables: SensorTables) -> DataFrame:

@@ -139,10 +139,15 @@ def read_evolving(
     """A bronze table under the newest schema.
 
     The columns of ``hints`` and ``extra`` are stored; the others come from the
-    record, which is read only if one of them is asked for.
+    record, which is read only if one of them is asked for. Of fields that differ
+    in case only, the first is shown, as column names ignore case.
     """
     stored = StructType([*hints.fields, *extra.fields]).add(RECORD, VariantType())
     _, schema = logged_schema(spark, schema_log)
-    fixed = {f.name for f in stored.fields}
-    grown = [field(f.name, f.dataType) for f in schema.fields if f.name not in fixed]
+    taken = {f.name.lower() for f in stored.fields}
+    grown = []
+    for f in schema.fields:
+        if f.name.lower() not in taken:
+            taken.add(f.name.lower())
+            grown.append(field(f.name, f.dataType))
     return spark.read.schema(stored).parquet(path).select(*hints.names, *grown, *extra.names)

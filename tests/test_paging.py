@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.cursors import cursor_token, decode_cursor, parse_cursor
 from millrace.operators import filters, paging
-from millrace.plans.data_pages import PageRequest, PageService
+from millrace.plans.data_pages import PageRequest, PageService, write_served
 
 SCHEMA = "customer_id long, name string, email string, ip_addr string, phone string, modified_ts timestamp"
 
@@ -123,6 +123,32 @@ def test_page_is_top_k_with_pushed_cursor(served, spark, tmp_path):
     assert "phone" not in plan
 
 
+def test_served_table_is_ordered_and_has_all_keys(served, spark, rows, tmp_path):
+    path = str(tmp_path / "served")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_served(served, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    walked = [
+        item["customer_id"]
+        for answer in PageService(spark.read.parquet(path)).walk(PageRequest(limit=60))
+        for item in answer["items"]
+    ]
+    assert walked == newest_first(rows)
+    spans = (
+        spark.read.parquet(path)
+        .groupBy(F.col("_metadata.file_path"))
+        .agg(F.min("modified_ts").alias("low"), F.max("modified_ts").alias("high"))
+        .orderBy("low", "high")
+        .collect()
+    )
+    assert len(spans) > 1 and all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+    lost = served.withColumn("modified_ts", F.expr("if(customer_id = 7, NULL, modified_ts)"))
+    with pytest.raises(Exception, match="modified_ts_given"):
+        write_served(lost, str(tmp_path / "lost"))
+
+
 # Cursor tokens
 
 

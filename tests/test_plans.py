@@ -4,11 +4,17 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
-from millrace.operators.windows import alert_state, device_summary, hot_devices
+from millrace.operators.quality import expect_or_fail
+from millrace.operators.windows import alert_state, hot_devices
 from millrace.plans import sensor as pipeline
-from millrace.plans.customers import current_customers, customer_history, raw_customers
+from millrace.plans.customers import (
+    FAIL_RULES,
+    current_customers,
+    customer_history,
+    raw_customers,
+)
 from millrace.streaming.metrics import MetricsRecorder, metrics_table
 
 
@@ -78,6 +84,28 @@ def test_pipeline_from_files_to_alert(spark, tmp_path):
     assert again == rebuilt and pipeline.read_silver(spark, again).count() == 4
 
 
+def test_pipeline_without_files(spark, tmp_path):
+    os.makedirs(tmp_path / "landing")
+    for _ in range(2):
+        tables = pipeline.run_pipeline(spark, str(tmp_path / "landing"), str(tmp_path / "tables"))
+    assert pipeline.read_bronze(spark, tables).count() == 0
+    assert pipeline.read_silver(spark, tables).count() == 0
+    assert pipeline.read_quarantine(spark, tables).count() == 0
+    assert pipeline.read_device_summary(spark, tables).count() == 0
+
+
+def test_bounded_batches_give_the_same_tables(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    for i in range(5):
+        batch(landing, f"{i}.json", [reading(f"d{i % 2}", f"2025-01-01T12:00:{i:02}", 20.0 + i, **{f"n{i}": i})])
+    tables = pipeline.run_pipeline(spark, landing, str(tmp_path / "tables"), maxFilesPerTrigger="2")
+    summary = pipeline.read_device_summary(spark, tables)
+    assert sorted((r.device_id, r.avg_temp, r.reading_count) for r in summary.collect()) == [
+        ("d0", 22.0, 3), ("d1", 22.0, 2),
+    ]
+    assert {f"n{i}" for i in range(5)} <= set(pipeline.read_bronze(spark, tables).columns)
+
+
 def test_customer_tables(spark):
     raw = raw_customers(spark, rows=500)
     changed = raw.where("customer_id < 20").withColumns(
@@ -99,11 +127,6 @@ def test_customer_tables(spark):
 
 
 def test_missing_customer_id_stops_the_load(spark):
-    from pyspark.sql import Observation
-
-    from millrace.operators.quality import expect_or_fail
-    from millrace.plans.customers import FAIL_RULES
-
     bad = raw_customers(spark, 5).withColumn("customer_id", F.lit(None).cast("long"))
     with pytest.raises(Exception, match="expectation failed: null_id"):
         expect_or_fail(bad, FAIL_RULES, Observation("bad_customers")).collect()

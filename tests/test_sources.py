@@ -113,6 +113,15 @@ def test_values_of_another_type_stay_in_the_record(spark, tables, tmp_path):
     assert stored.where("try_variant_get(record, '$.temperature_celsius', 'string') = 'hot'").count() == 1
 
 
+def test_field_names_that_differ_in_case(spark, tables, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(landing, "1.json", [reading(1, Level=1, LOCATION="elsewhere"), reading(2, level=2)])
+    run(spark, landing, tables)
+    rows = pipeline.read_bronze(spark, tables)
+    assert [c.lower() for c in rows.columns].count("level") == 1
+    assert rows.where("location = 'Factory Floor A'").count() == 2
+
+
 def test_schema_texts():
     text = "OBJECT<a: BIGINT, `b c`: DECIMAL(4,2), c: VARIANT, d: VOID, e: OBJECT<f: STRING>, g: ARRAY<BIGINT>>"
     assert from_schema_text(text).simpleString() == (

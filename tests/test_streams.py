@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import random
-import time
 from datetime import datetime, timedelta
 
 import pytest
