@@ -65,6 +65,10 @@ def _with_key(df: DataFrame, keys: list[str]) -> DataFrame:
 # Rows of a hot key that the search for hot keys expects to see.
 HOT_SIGHTINGS = 1000
 
+# So many hot keys at most are sent to every task. More of them are joined with a
+# shuffle, where adaptive execution splits the partitions of the hot keys.
+BROADCAST_KEYS = 100_000
+
 
 def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     """Keys with more than about ``hot_rows`` changes, a few per ``hot_rows`` rows.
@@ -83,7 +87,10 @@ def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | Non
         .select(*keys)
     )
     rows = found.collect()
-    return log.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    if not rows:
+        return None
+    hot = log.sparkSession.createDataFrame(rows, found.schema)
+    return F.broadcast(hot) if len(rows) <= BROADCAST_KEYS else hot
 
 
 def _history_by_key(
@@ -110,32 +117,40 @@ def _history_by_slice(
 ) -> DataFrame:
     """The same history with windows per key and slice.
 
-    What a row needs from a neighbour slice (the values before it, the sequence
-    after it) comes from one summary row per key and slice. The joins with these
-    and the windows use the same partitioning by key and slice.
+    What a row needs from a neighbour slice comes from one border row per key and
+    slice. The joins with these and the windows use the same partitioning.
     """
-    chosen = F.max_by(F.struct(*values), F.struct(*ties))
-    versions = changes.groupBy(*keys, seq).agg(chosen.alias("_values"))
-    versions = ordered_slices(versions, [F.col(c) for c in (*keys, seq)], "hot-history").drop(POSITION)
-
-    inside = Window.partitionBy(*keys, SLICE).orderBy(seq)
+    order = [F.col(c) for c in (*keys, seq, *ties)]
+    changes = ordered_slices(changes, order, "hot-history")
+    part = [*keys, SLICE]
+    inside = Window.partitionBy(*part).orderBy(POSITION)
     across = Window.partitionBy(*keys).orderBy(SLICE)
+
+    def following(rows: DataFrame) -> DataFrame:
+        """Per key and slice: the sequence value that comes after the slice."""
+        firsts = rows.groupBy(*part).agg(F.min(seq).alias("_first"))
+        return firsts.select(*part, F.lead("_first").over(across).alias("_outside"))
+
+    rows = changes.join(following(changes), part)
+    following_seq = F.coalesce(F.lead(seq).over(inside), F.col("_outside"))
+    versions = rows.withColumn("_next", following_seq).where(~F.col("_next").eqNullSafe(F.col(seq)))
+    versions = versions.drop("_next", "_outside")
     if coalesce:
-        ends = versions.groupBy(*keys, SLICE).agg(F.max_by("_values", seq).alias("_last"))
-        ends = ends.select(*keys, SLICE, F.lag("_last").over(across).alias("_outside"))
+        # The last version of a slice is its last row that the next slice leaves alone.
+        lasts = rows.where(~F.col(seq).eqNullSafe(F.col("_outside")))
+        lasts = lasts.groupBy(*part).agg(F.max(POSITION).alias(POSITION))
+        lasts = rows.join(lasts, [*part, POSITION]).select(*part, F.struct(*values).alias("_last"))
+        preceding = lasts.select(*part, F.lag("_last").over(across).alias("_outside"))
+        before = F.coalesce(F.lag("_values").over(inside), F.col("_outside"))
         versions = (
-            versions.join(ends, [*keys, SLICE])
-            .withColumn("_before", F.coalesce(F.lag("_values").over(inside), F.col("_outside")))
+            versions.join(preceding, part)
+            .withColumn("_values", F.struct(*values))
+            .withColumn("_before", before)
             .where(~F.col("_before").eqNullSafe(F.col("_values")))
-            .select(*keys, seq, SLICE, "_values")
+            .drop("_values", "_before", "_outside")
         )
-    starts = versions.groupBy(*keys, SLICE).agg(F.min(seq).alias("_first"))
-    starts = starts.select(*keys, SLICE, F.lead("_first").over(across).alias("_outside"))
-    versions = versions.join(starts, [*keys, SLICE]).withColumn(
-        END, F.coalesce(F.lead(seq).over(inside), F.col("_outside"))
-    )
-    columns = [F.col(f"_values.{c}").alias(c) for c in values]
-    return versions.select(*keys, *columns, F.col(seq).alias(START), F.col(END))
+    versions = versions.join(following(versions), part).withColumn(END, following_seq)
+    return versions.select(*keys, *values, F.col(seq).alias(START), F.col(END))
 
 
 def current_rows(history: DataFrame, start_as: str = "modified_ts") -> DataFrame:
