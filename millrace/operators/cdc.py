@@ -43,9 +43,7 @@ def scd2(
     ties = list(dict.fromkeys([*tie_breakers, *values]))
     needed = list(dict.fromkeys([*keys, sequence_by, *ties]))
 
-    missing = F.raise_error(F.lit("change without a sequence value"))
-    sequence = F.coalesce(F.col(sequence_by), missing.cast(log.schema[sequence_by].dataType))
-    changes = _with_key(log.select(*needed), keys).withColumn(sequence_by, sequence)
+    changes = with_key(with_sequence(log.select(*needed), sequence_by), keys)
 
     plan = dict(keys=keys, seq=sequence_by, values=values, coalesce=coalesce_unchanged)
     hot = _hot_keys(log, keys, hot_rows) if hot_rows is not None else None
@@ -56,7 +54,15 @@ def scd2(
     return cold_part.unionByName(hot_part)
 
 
-def _with_key(df: DataFrame, keys: list[str]) -> DataFrame:
+def with_sequence(df: DataFrame, sequence_by: str) -> DataFrame:
+    """The same rows; one without a sequence value stops the job."""
+    missing = F.raise_error(F.lit("change without a sequence value"))
+    sequence = F.coalesce(F.col(sequence_by), missing.cast(df.schema[sequence_by].dataType))
+    return df.withColumn(sequence_by, sequence)
+
+
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that have every key column."""
     for key in keys:
         df = df.where(F.col(key).isNotNull())
     return df
@@ -77,7 +83,7 @@ def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | Non
     so a sample of the key columns is enough; it spares a shuffle of all keys.
     """
     share = min(1.0, HOT_SIGHTINGS / hot_rows) if hot_rows else 1.0
-    seen = _with_key(log.select(*keys), keys)
+    seen = with_key(log.select(*keys), keys)
     if share < 1.0:
         seen = seen.sample(share, seed=0)
     found = (

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
-from millrace.operators.cdc import END, HOT_ROWS, START, scd2
+from millrace.operators.cdc import END, HOT_ROWS, START, scd2, with_key, with_sequence
 from millrace.sources.tables import live_parts, read_versioned, write_version
 
 BUCKETS = 64
@@ -22,6 +22,18 @@ def history_schema(
     return StructType([*(log[k] for k in keys), *values]).add(START, bound).add(END, bound)
 
 
+def _at_least(column: str, dtype: DataType, rows: DataFrame) -> Column:
+    """``column >=`` the least value of the same column in ``rows``, as a constant."""
+    least = F.min(column)
+    if isinstance(dtype, TimestampType):
+        micros = rows.agg(F.unix_micros(least)).first()[0]
+        return F.col(column) >= F.timestamp_micros(F.lit(micros))
+    if isinstance(dtype, TimestampNTZType):
+        text = rows.agg(least.cast("string")).first()[0]
+        return F.col(column) >= F.lit(text).cast(dtype)
+    return F.col(column) >= F.lit(rows.agg(least).first()[0]).cast(dtype)
+
+
 def scd2_stream(
     changes: DataFrame,
     target: str,
@@ -36,40 +48,62 @@ def scd2_stream(
 ) -> StreamingQuery:
     """Add the new changes to the history at ``target``, then stop.
 
-    The change log is kept under ``target/log``, by batch and key bucket. A batch
-    recomputes the history of the keys it touches from their whole log, so late
-    changes need no special case; the other keys of the same buckets are copied,
-    and untouched buckets are not read. Use a new ``target`` with a new
-    ``checkpoint``: batch numbers name the versions.
+    The change log is kept under ``target/log``, by batch and key bucket. For a
+    key of the batch, the versions that ended before its first new change stay.
+    The rest is computed again from the version before that change and the log
+    from there on, so late changes need no special case, and changes in order
+    cost what is new. Other keys of the same buckets are copied, and untouched
+    buckets are not read. Use a new ``target`` with a new ``checkpoint``: batch
+    numbers name the versions.
     """
     keys = list(keys)
+    by_key = ["part", *keys]
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     log_schema = StructType([*changes.schema.fields]).add("part", "integer").add("batch_id", "long")
+    sequence_type = changes.schema[sequence_by].dataType
     result = history_schema(changes.schema, keys, sequence_by, except_columns)
+    first = F.col("_first_change")
+
+    def as_change(version: DataFrame) -> DataFrame:
+        """A version as the change that began it."""
+        given = {sequence_by: F.col(START), **{c: F.col(c) for c in (*keys, *result.names)}}
+        return version.select(
+            *[
+                given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in changes.schema.fields
+            ]
+        )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         live = live_parts(spark, target)
         if batch_id in live.values():
             return
-        placed = batch.withColumn("part", bucket)
+        placed = with_sequence(with_key(batch, keys), sequence_by).withColumn("part", bucket)
         placed.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(
             f"{target}/log/batch_id={batch_id}"
         )
         log = spark.read.schema(log_schema).parquet(f"{target}/log")
-        log = log.where(F.col("batch_id") <= batch_id)
-        touched = log.where(F.col("batch_id") == batch_id).select("part", *keys).distinct()
-        parts = sorted(row["part"] for row in touched.select("part").distinct().collect())
+        new = log.where(F.col("batch_id") == batch_id)
+        parts = sorted(row["part"] for row in new.select("part").distinct().collect())
         if not parts:
             return
-        in_parts = log.where(F.col("part").isin(parts))
-        relevant = in_parts.join(touched, ["part", *keys], "left_semi").select(*changes.columns)
+        touched = new.groupBy(*by_key).agg(F.min(sequence_by).alias("_first_change"))
+
+        in_parts = log.where((F.col("batch_id") <= batch_id) & F.col("part").isin(parts))
+        in_parts = in_parts.where(_at_least(sequence_by, sequence_type, new))
+        later = in_parts.join(touched, by_key).where(F.col(sequence_by) >= first)
+
+        before = read_versioned(spark, target, result, {p: live[p] for p in parts if p in live})
+        marked = before.join(touched, by_key, "left")
+        kept = marked.where(first.isNull() | (F.col(END) < first)).drop("_first_change")
+        begun = marked.where((F.col(START) < first) & (F.col(END).isNull() | (F.col(END) >= first)))
+
+        again = as_change(begun).unionByName(later.select(*changes.columns))
         rebuilt = scd2(
-            relevant, keys, sequence_by, tie_breakers, except_columns, coalesce_unchanged, hot_rows
+            again, keys, sequence_by, tie_breakers, except_columns, coalesce_unchanged, hot_rows
         )
-        before = read_versioned(spark, target, result, {p: live[p] for p in parts if p in live})
-        copied = before.join(touched, ["part", *keys], "left_anti")
-        rows = rebuilt.withColumn("part", bucket).unionByName(copied)
+        rows = rebuilt.withColumn("part", bucket).unionByName(kept)
         write_version(rows, target, batch_id, parts, live)
 
     query = (

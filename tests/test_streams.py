@@ -121,22 +121,57 @@ def history(spark, feed, target):
     return read_history(spark, target, feed.schema, ["id"], "at", ["at", "tie"])
 
 
-@pytest.mark.parametrize("hot_rows", [None, 40])
-def test_incremental_history_equals_rebuild(spark, tmp_path, hot_rows):
+@pytest.mark.parametrize("hot_rows, coalesce, step", [(None, True, 0), (40, True, 30), (None, False, 30)])
+def test_incremental_history_equals_rebuild(spark, tmp_path, hot_rows, coalesce, step):
+    """Batches in any order of their sequence values, or (with a step) mostly in order."""
     rnd = random.Random(9)
     feed, target = Feed(spark, str(tmp_path / "in"), LOG), str(tmp_path / "table")
     everything = []
-    for keys in (range(8), range(3), [5, 11]):
-        rows = [(rnd.choice(list(keys)), rnd.randrange(50), i, rnd.choice("xyz")) for i in range(120)]
+    for number, keys in enumerate((range(8), range(3), [5, 11], range(8))):
+        rows = [
+            (rnd.choice(list(keys)), step * number + rnd.randrange(50), i, rnd.choice("xyz"))
+            for i in range(120)
+        ]
         rows.append((None, 1, 0, "x"))
         everything += rows
         feed.add(rows)
         scd2_stream(
-            feed.stream(), target, str(tmp_path / "checkpoint"), buckets=4, hot_rows=hot_rows, **OPTIONS
+            feed.stream(), target, str(tmp_path / "checkpoint"), buckets=4, hot_rows=hot_rows,
+            coalesce_unchanged=coalesce, **OPTIONS,
         )
-    rebuilt = scd2(spark.createDataFrame(everything, LOG), **OPTIONS)
-    found = history(spark, feed, target)
-    assert found.exceptAll(rebuilt).count() == 0 and rebuilt.exceptAll(found).count() == 0
+        rebuilt = scd2(spark.createDataFrame(everything, LOG), coalesce_unchanged=coalesce, **OPTIONS)
+        assert sorted(history(spark, feed, target).collect(), key=str) == sorted(rebuilt.collect(), key=str)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_incremental_history_by_time(spark, tmp_path, kind):
+    """Sequence values around the hour that repeats when daylight saving ends."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        schema = f"id int, at {kind}, tie int, a string"
+        feed, target = Feed(spark, str(tmp_path / "in"), schema), str(tmp_path / "table")
+        hours = [5, 7, 6, 4] if kind != "date" else [24, 72, 48, 0]
+        everything = None
+        for i, hour in enumerate(hours):
+            at = F.timestamp_seconds(F.lit(1762041600 + hour * 3600 + 1800)).cast(kind)
+            rows = spark.range(3).select(
+                F.col("id").cast("int").alias("id"), at.alias("at"), F.lit(0).alias("tie"), F.lit(f"v{i}").alias("a")
+            )
+            rows.coalesce(1).write.mode("append").parquet(feed.path)
+            everything = rows if everything is None else everything.unionByName(rows)
+            scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), buckets=2, **OPTIONS)
+        rebuilt, found = scd2(everything, **OPTIONS), history(spark, feed, target)
+        assert found.exceptAll(rebuilt).isEmpty() and rebuilt.exceptAll(found).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_change_without_sequence_stops_the_stream(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path / "in"), LOG)
+    feed.add([(1, None, 0, "x")])
+    with pytest.raises(Exception, match="without a sequence value"):
+        scd2_stream(feed.stream(), str(tmp_path / "t"), str(tmp_path / "c"), buckets=2, **OPTIONS)
 
 
 def test_batch_that_died_before_its_commit_runs_again(spark, tmp_path):
