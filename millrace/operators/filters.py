@@ -9,18 +9,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# What a request may select, what it gets by default, and the
-# SQL types of the request parameters.
+# What a request may select, and what it gets by default.
 ALLOWED_COLUMNS = ("customer_id", "name", "email", "ip_addr", "phone", "modified_ts")
 DEFAULT_COLUMNS = ("customer_id", "name", "email")
-PARAMETER_TYPES = {
-    "customer_id": "BIGINT",
-    "name": "STRING",
-    "email": "STRING",
-    "ip_addr": "STRING",
-    "phone": "STRING",
-    "modified_ts": "TIMESTAMP",
-}
 
 
 def parse_select(

@@ -38,32 +38,25 @@ def keyset_order(df: DataFrame, keys: Keyset = KEYSET) -> DataFrame:
 def after(df: DataFrame, values: Sequence[Any], keys: Keyset = KEYSET) -> DataFrame:
     """The rows strictly after the given key values, in keyset order.
 
-    The first condition follows from the second; it is stated for itself because
-    it alone can skip files and partitions by the leading key.
+    The condition on the leading key alone follows from the other one; it is stated
+    for itself because it can skip files and partitions.
     """
     if len(values) != len(keys):
         raise ValueError(f"a cursor needs {len(keys)} key values, got {len(values)}")
-    typed = [F.lit(v).cast(df.schema[name].dataType) for v, (name, _) in zip(values, keys)]
-
-    def beyond(i: int, strict: bool) -> Column:
-        name, direction = keys[i]
-        column = F.col(name)
-        if _descending(direction):
-            return column < typed[i] if strict else column <= typed[i]
-        return column > typed[i] if strict else column >= typed[i]
-
-    condition = F.lit(False)
-    for i in range(len(keys)):
-        alternative = beyond(i, strict=True)
-        for j in range(i):
-            alternative = (F.col(keys[j][0]) == typed[j]) & alternative
-        condition = condition | alternative
-    return df.where(beyond(0, strict=False)).where(condition)
+    beyond = F.lit(False)
+    for (name, direction), value in reversed(list(zip(keys, values))):
+        column, bound = F.col(name), F.lit(value).cast(df.schema[name].dataType)
+        past = column < bound if _descending(direction) else column > bound
+        beyond = past | ((column == bound) & beyond)
+    # The loop ends with the leading key.
+    reached = column <= bound if _descending(direction) else column >= bound
+    return df.where(reached).where(beyond)
 
 
 def clamp_limit(limit: Any, cap: int = MAX_LIMIT) -> int:
     """Nothing or 0 means the default; else at least 1 and at most ``cap``."""
-    return max(1, min(int(limit or DEFAULT_LIMIT), cap))
+    asked = int(limit) if limit else DEFAULT_LIMIT
+    return min(max(asked, 1), cap)
 
 
 def page_with_lookahead(
