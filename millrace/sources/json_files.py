@@ -19,8 +19,14 @@ from millrace.sources.schemas import (
 )
 from millrace.sources.tables import write_stream_table
 
+# Text of a line that is no JSON.
+UNPARSED = "unparsed"
+
 INGEST_COLUMNS = (
-    StructType().add("ingestion_timestamp", TimestampType()).add("source_file", StringType())
+    StructType()
+    .add("ingestion_timestamp", TimestampType())
+    .add("source_file", StringType())
+    .add(UNPARSED, StringType())
 )
 
 
@@ -28,10 +34,12 @@ def read_landing(spark: SparkSession, path: str, hints: StructType, **options: s
     """New landing files as a stream: record, columns of ``hints``, audit columns.
 
     A line of a file is a JSON object, or a JSON array of objects that gives one
-    row per object. Options go to the file source, for example
-    ``maxFilesPerTrigger`` to bound a batch.
+    row per object. A line that cannot be read gives a row with its text. Options
+    go to the file source, for example ``maxFilesPerTrigger`` to bound a batch.
     """
-    reader = spark.readStream.options(recursiveFileLookup="true", singleVariantColumn=RECORD)
+    reader = spark.readStream.schema(f"{RECORD} variant, {UNPARSED} string").options(
+        recursiveFileLookup="true", singleVariantColumn=RECORD, columnNameOfCorruptRecord=UNPARSED
+    )
     lines = with_ingest_meta(reader.options(**options).json(path))
     objects = F.coalesce(
         F.try_variant_get(RECORD, "$", "array<variant>"), F.array(RECORD)

@@ -109,10 +109,19 @@ def test_values_of_another_type_stay_in_the_record(spark, tables, tmp_path):
     rows = pipeline.read_bronze(spark, tables)
     assert rows.count() == 5
     assert rows.where("temperature_celsius IS NULL").count() == 2
+    assert [r.unparsed for r in rows.where("unparsed IS NOT NULL").collect()] == ["{broken"]
     stored = spark.read.parquet(tables.bronze)
     assert stored.where("try_variant_get(record, '$.temperature_celsius', 'string') = 'hot'").count() == 1
 
 
+def test_arrays_over_several_lines(spark, tables, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "1.json").write_text(json.dumps([reading(i) for i in range(4)], indent=2))
+    run(spark, str(landing), tables, multiLine="true")
+    assert pipeline.read_bronze(spark, tables).where("device_id IS NOT NULL").count() == 4
+
+
 def test_field_names_that_differ_in_case(spark, tables, tmp_path):
     landing = str(tmp_path / "landing")
     land(landing, "1.json", [reading(1, Level=1, LOCATION="elsewhere"), reading(2, level=2)])
