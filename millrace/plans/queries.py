@@ -36,6 +36,7 @@ from millrace.streaming.summary import (
     read_alerts,
     read_summary,
     read_summary_partials,
+    state_partitions,
     write_alerts,
     write_summary_complete,
     write_summary_partials,
@@ -394,7 +395,7 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _arriving_silver(spark: SparkSession, sf_dir: str, root: str, part: DataFrame) -> DataFrame:
+def _arriving_silver(spark: SparkSession, root: str, part: DataFrame) -> DataFrame:
     """Appends one arrival to a silver folder and opens the folder as a stream."""
     timed = part.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
     timed.where(quality.all_hold(DROP_RULES)).write.mode("append").parquet(f"{root}/silver")
@@ -406,8 +407,9 @@ def stream_summary_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch(spark, "complete")
     schema = None
     for part in arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS):
-        summary = device_summary_stream(_arriving_silver(spark, sf_dir, root, part))
-        write_summary_complete(summary, f"{root}/summary", f"{root}/checkpoint")
+        summary = device_summary_stream(_arriving_silver(spark, root, part))
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            write_summary_complete(summary, f"{root}/summary", f"{root}/checkpoint")
         schema = summary.schema
     return rounded_summary(read_summary(spark, f"{root}/summary", schema))
 
@@ -417,7 +419,7 @@ def stream_summary_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch(spark, "partials")
     schema = None
     for part in arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS):
-        readings = _arriving_silver(spark, sf_dir, root, part)
+        readings = _arriving_silver(spark, root, part)
         write_summary_partials(readings, f"{root}/summary", f"{root}/checkpoint")
         schema = partial_summary(readings).schema
     return rounded_summary(read_summary_partials(spark, f"{root}/summary", schema))
@@ -427,8 +429,9 @@ def stream_summary_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows closed by the watermark, each emitted once."""
     root = new_scratch(spark, "append")
     for part in arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS):
-        summary = device_summary_stream(_arriving_silver(spark, sf_dir, root, part), WATERMARK)
-        write_stream_table(summary, f"{root}/summary", f"{root}/checkpoint")
+        summary = device_summary_stream(_arriving_silver(spark, root, part), WATERMARK)
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            write_stream_table(summary, f"{root}/summary", f"{root}/checkpoint")
     return rounded_summary(spark.read.parquet(f"{root}/summary"))
 
 
@@ -436,11 +439,12 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hot windows reported while the readings arrive."""
     root = new_scratch(spark, "alerts")
     for part in arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS):
-        summary = device_summary_stream(_arriving_silver(spark, sf_dir, root, part))
-        write_alerts(
-            summary, f"{root}/alerts", f"{root}/checkpoint",
-            windows.HOT_CELSIUS, windows.ALERT_HOURS, AS_OF,
-        )
+        summary = device_summary_stream(_arriving_silver(spark, root, part))
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            write_alerts(
+                summary, f"{root}/alerts", f"{root}/checkpoint",
+                windows.HOT_CELSIUS, windows.ALERT_HOURS, AS_OF,
+            )
     hot = read_alerts(spark, f"{root}/alerts")
     return hot.select("device_id", "location", ntz("window_start"), "max_temp")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -13,6 +16,21 @@ from millrace.sources.tables import live_parts, read_versioned, write_version
 WATERMARK = "2 minutes"
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int) -> Iterator[None]:
+    """Start a stateful stream inside with ``count`` state partitions.
+
+    The first run of a checkpoint fixes the number for good, so choose it for the
+    cluster (a small multiple of its cores) and not for the first batch.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def device_summary_stream(
     readings: DataFrame, watermark: str | None = None, window: str = WINDOW
 ) -> DataFrame:
