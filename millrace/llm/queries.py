@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, chat_format, language_id, quality_rules, warc_index
+from millrace.llm import byte_bpe, chat_format, language_id, packing, quality_rules, warc_index
 from millrace.llm.common import fold, table
 
 
@@ -69,10 +69,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.drop("clean_text")
 
 
+def word_tokenizer() -> str:
+    with open(public_tokenizers.path("word_bpe_49k.json")) as definition:
+        return definition.read()
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
     "op3_warc_index": op3_warc_index,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op10_packing": op10_packing,
 }
