@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, chat_format, language_id, packing, quality_rules, warc_index
+from millrace.llm import byte_bpe, chat_format, language_id, packing, probminhash, quality_rules, warc_index
 from millrace.llm.common import fold, table
 
 
@@ -69,6 +69,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.drop("clean_text")
 
 
+def op9_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(table(spark, sf_dir, "documents"))
+
+
 def word_tokenizer() -> str:
     with open(public_tokenizers.path("word_bpe_49k.json")) as definition:
         return definition.read()
@@ -84,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_index": op3_warc_index,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
 }
