@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, chat_format, language_id, packing, probminhash, quality_rules, warc_index
+from millrace.llm import byte_bpe, chat_format, language_id, lm_scoring, packing, probminhash, quality_rules, warc_index
 from millrace.llm.common import fold, table
 
 
@@ -51,6 +51,15 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 7)
+    scored = lm_scoring.score(docs, train=part != 2, deleted=part == 3)
+    return scored.select(
+        "doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
@@ -86,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
     "op3_warc_index": op3_warc_index,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op9_probminhash": op9_probminhash,
