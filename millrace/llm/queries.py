@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm import byte_bpe, chat_format, language_id, lm_scoring, packing, probminhash, quality_rules, warc_index
+from millrace.llm import byte_bpe, chat_format, imatch, language_id, lm_scoring, packing, probminhash, quality_rules, warc_index
 from millrace.llm.common import fold, table
 
 
@@ -78,6 +78,31 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.drop("clean_text")
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    half = F.expr("n_chars div 2").cast("int")
+    kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
+    taken = F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half)
+    rows = imatch.with_neighbours(docs).withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("edited", F.concat(kept, taken)).drop("next_text")
+    rows = rows.withColumn("edited_sha256", F.unhex(F.sha2("edited", 256)))
+    found = imatch.fingerprint_columns(rows, ["slice", "row"], ["text", "edited"], imatch.lexicon(docs))
+    following = F.lead("text_hashes").over(Window.partitionBy("slice").orderBy("row"))
+    return (
+        found.withColumn("next_hashes", following)
+        .where("ghost = 0")
+        .select(
+            "doc_id",
+            "n_chars",
+            F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+            imatch.as_text(F.col("text_hashes")).alias("fingerprint"),
+            imatch.as_text(F.col("edited_hashes")).alias("edited_fingerprint"),
+            imatch.likeness(F.col("text_hashes"), F.col("edited_hashes")).alias("near_edited"),
+            imatch.likeness(F.col("text_hashes"), F.col("next_hashes")).alias("near_next"),
+        )
+    )
+
+
 def op9_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(table(spark, sf_dir, "documents"))
 
@@ -98,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm_scoring": op4_lm_scoring,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op8_imatch": op8_imatch,
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
 }
