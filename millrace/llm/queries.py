@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm import byte_bpe, chat_format, imatch, language_id, lm_scoring, packing, probminhash, quality_rules, warc_index
+from millrace.llm import byte_bpe, chat_format, imatch, language_id, lm_scoring, packing, probminhash, quality_rules, suffix_dedup, warc_index
 from millrace.llm.common import fold, table
 
 
@@ -78,6 +78,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.drop("clean_text")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeated(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     half = F.expr("n_chars div 2").cast("int")
@@ -123,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm_scoring": op4_lm_scoring,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_imatch": op8_imatch,
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
