@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -44,3 +44,46 @@ def row_struct(fields: dict[str, str], one: Callable[[str], tuple]):
 
     schema = ", ".join(f"{name}: {kind}" for name, kind in fields.items())
     return F.arrow_udf(batch, f"struct<{schema}>")
+
+
+#: Pieces that a Python worker remembers: as many recent ones, and as many before them.
+MEMORY_PIECES = 1 << 18
+CHUNK_CHARS = 1_000_000
+
+
+def in_chunks(values: Iterable[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
+    """Lists of texts of about ``chars`` characters; a longer text is a list of its own."""
+    chunk, size = [], 0
+    for text in values:
+        if chunk and size + len(text) > chars:
+            yield chunk
+            chunk, size = [], 0
+        chunk.append(text)
+        size += len(text)
+    if chunk:
+        yield chunk
+
+
+class PieceMemory:
+    """Encodes lists of pieces; a piece seen a short while ago is not encoded again."""
+
+    def __init__(self, encode_new: Callable[[list], Iterable[bytes]], limit: int = MEMORY_PIECES):
+        self.encode_new, self.limit = encode_new, limit
+        self.recent: dict = {}
+        self.older: dict = {}
+
+    def encode(self, pieces: list[list]) -> list[bytes]:
+        """The joined codes of each list."""
+        if len(self.recent) >= self.limit:
+            self.older, self.recent = self.recent, {}
+        new = []
+        for piece in set().union(*pieces).difference(self.recent):
+            code = self.older.get(piece)
+            if code is None:
+                new.append(piece)
+            else:
+                self.recent[piece] = code
+        new.sort()
+        self.recent.update(zip(new, self.encode_new(new)))
+        code_of = self.recent.__getitem__
+        return [b"".join(map(code_of, own)) for own in pieces]

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm.common import PieceMemory, in_chunks, texts
 from millrace.session import materialize
 
 SEQUENCE = 4096
@@ -36,9 +37,11 @@ END_ID = 2
 CLASS_STEPS = 64
 #: Column generation ends when the program is at most this far from its bound.
 GAP = 0.0003
-#: Words that a Python worker remembers: as many recent ones, and as many before them.
-MEMORY_WORDS = 1 << 18
-MEMORY_WORD_BYTES = 64
+#: A degenerate program may turn in a circle; every step is a cover, so it can be left.
+STEPS_PER_CLASS = 4
+#: Stands between words that are encoded in one call; it never joins with a word.
+BETWEEN = "\x01"
+WORDS_PER_CALL = 64
 
 
 class WordTokenizer:
@@ -59,26 +62,30 @@ class WordTokenizer:
         if key not in _READY:
             _READY.clear()
             self.tokenizer = Tokenizer.from_str(self.definition)
-            self.recent: dict[bytes, bytes] = {}
-            self.older: dict[bytes, bytes] = {}
+            self.memory = PieceMemory(self._encode_words)
+            (self.between,) = self._ids(BETWEEN)
             _READY[key] = self
         return _READY[key]
 
-    def _word(self, word: bytes) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
-        if len(word) <= MEMORY_WORD_BYTES:
-            if len(self.recent) >= MEMORY_WORDS:
-                self.older, self.recent = self.recent, {}
-            self.recent[word] = ids
-        return ids
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids as packed little-endian unsigned 32-bit integers."""
-        word = self._word
-        return b"".join([self.recent[w] if w in self.recent else word(w) for w in text.encode().split()])
+    def _encode_words(self, words: list[bytes]) -> Iterator[bytes]:
+        """Codes of words, many in one call; ids of the mark between them cut the result."""
+        for at in range(0, len(words), WORDS_PER_CALL):
+            some = [word.decode() for word in words[at : at + WORDS_PER_CALL]]
+            ids = np.array(self._ids(f" {BETWEEN} ".join(some)), "<u4")
+            cuts = np.flatnonzero(ids == self.between)
+            if len(cuts) != len(some) - 1:
+                yield from (np.array(self._ids(word), "<u4").tobytes() for word in some)
+                continue
+            code = ids.tobytes()
+            edges = [-1, *cuts.tolist(), len(ids)]
+            yield from (code[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:]))
+
+    def encode(self, values: list[str]) -> list[bytes]:
+        """Ids of each text as packed little-endian unsigned 32-bit integers."""
+        return self.memory.encode([text.encode().split() for text in values])
 
 
 _READY: dict[int, WordTokenizer] = {}
@@ -100,8 +107,9 @@ def _cut(tokenizer: WordTokenizer, sequence: int, keep_ids: bool, id_type: pa.Da
         ready, part, ranks = tokenizer.ready(), TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = ready.encode(text.as_py() or "") + end
+            coded = (ids for chunk in in_chunks(texts(batch.column(1))) for ids in ready.encode(chunk))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coded):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, sequence):
                     piece = ids[4 * start : 4 * (start + sequence)]
@@ -174,6 +182,26 @@ def greedy_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[
     return columns, amounts
 
 
+def invert(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by elimination. It is small, and this needs no threads of a library,
+    which may stop for good in a driver that has forked."""
+    m = len(matrix)
+    left, right = matrix.astype(float), np.eye(m)
+    for k in range(m):
+        pivot = k + int(np.argmax(np.abs(left[k:, k])))
+        for side in (left, right):
+            side[[k, pivot]] = side[[pivot, k]]
+        scale = left[k, k]
+        left[k] /= scale
+        right[k] /= scale
+        factors = left[:, k].copy()
+        factors[k] = 0
+        rows = np.flatnonzero(factors)
+        left[rows] -= factors[rows, None] * left[k]
+        right[rows] -= factors[rows, None] * right[k]
+    return right
+
+
 def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP) -> list[tuple[np.ndarray, int]]:
     """Patterns with their number of copies that cover ``demand`` exactly.
 
@@ -187,8 +215,8 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
     ideal = sizes / capacity
     least = float(ideal @ demand)
     columns, amounts = greedy_basis(sizes, demand, capacity)
-    inverse = np.linalg.inv(columns.astype(float))
-    while True:
+    inverse = invert(columns)
+    for _ in range(STEPS_PER_CLASS * m):
         prices = inverse.sum(axis=0)
         if amounts.sum() <= (1 + gap) * least:
             break
@@ -199,7 +227,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
                 break
         if value <= 1 + gap:
             break
-        direction = inverse @ pattern
+        direction = (inverse * pattern).sum(axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
             ratios = np.where(direction > 1e-9, amounts / direction, np.inf)
         leaving = int(np.argmin(ratios))
