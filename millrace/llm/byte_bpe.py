@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -24,11 +24,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, functions as F
 
-from millrace.llm.common import texts
+from millrace.llm.common import PieceMemory, in_chunks, texts
 
-#: Pieces that a Python worker remembers: as many recent ones, and as many before them.
-MEMORY_PIECES = 1 << 18
-MEMORY_PIECE_CHARS = 64
+#: Checked neighbours of tokens that a Python worker remembers.
+MEMORY_BORDERS = 1 << 19
 
 INFINITE = 1 << 62
 
@@ -105,7 +104,7 @@ class Vocabulary:
             for a, end_a in self._edge(left, 1)
             for b, end_b in self._edge(right, 0)
         )
-        if len(self.borders) >= 2 * MEMORY_PIECES:
+        if len(self.borders) >= MEMORY_BORDERS:
             self.borders.clear()
         self.borders[left, right] = answer
         return answer
@@ -206,34 +205,35 @@ class Codec:
             _READY.clear()
             self.vocabulary = Vocabulary(self.ranks)
             self.split = regex.compile(self.pattern).findall
-            self.memory: dict[str, bytes] = {}
-            self.older: dict[str, bytes] = {}
+            self.memory = PieceMemory(self._encode_pieces)
             _READY[key] = self
         return _READY[key]
 
-    def _piece(self, piece: str) -> bytes:
-        packed = self.older.get(piece)
-        if packed is None:
-            packed = self._compute(piece.encode())
-        if len(piece) <= MEMORY_PIECE_CHARS:
-            if len(self.memory) >= MEMORY_PIECES:
-                self.older, self.memory = self.memory, {}
-            self.memory[piece] = packed
-        return packed
-
-    def _compute(self, data: bytes) -> bytes:
-        whole = self.vocabulary.ranks.get(data)
-        if whole is not None:
-            return whole.to_bytes(4, "little")
+    def _encode_pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        """Codes of sorted pieces; a piece keeps the entries of the prefix it shares
+        with the one before."""
         last: list[int] = []
-        add_last_tokens(self.vocabulary, data, last)
-        tokens = read_back(self.vocabulary, last)
-        return struct.pack(f"<{len(tokens)}i", *tokens)
-
-    def encode(self, text: str) -> bytes:
-        """Token ids as packed little-endian 32-bit integers."""
-        piece = self._piece
-        return b"".join([self.memory.get(p) or piece(p) for p in self.split(text)])
+        before = b""
+        for piece in pieces:
+            data = piece.encode()
+            whole = self.vocabulary.ranks.get(data)
+            if whole is not None:
+                yield whole.to_bytes(4, "little")
+                continue
+            shared = 0
+            for a, b in zip(before, data):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared:]
+            add_last_tokens(self.vocabulary, data, last)
+            before = data
+            tokens = read_back(self.vocabulary, last)
+            yield struct.pack(f"<{len(tokens)}i", *tokens)
+
+    def encode(self, values: list[str]) -> list[bytes]:
+        """Token ids of each text as packed little-endian 32-bit integers."""
+        return self.memory.encode([self.split(text) for text in values])
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.vocabulary.token_bytes.__getitem__, ids.tolist()))
@@ -247,7 +247,7 @@ def encode(text: Column, codec: Codec) -> Column:
 
     def batch(values: pa.Array) -> pa.Array:
         ready = codec.ready()
-        packed = [ready.encode(text) for text in texts(values)]
+        packed = [ids for chunk in in_chunks(texts(values)) for ids in ready.encode(chunk)]
         ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)])
         flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
