@@ -4,11 +4,14 @@ Each distinct text is a set of five-word shingles weighted by their number. Ever
 shingle is a Poisson process whose rate is its weight: an arrival falls into a random
 slot, and a slot keeps its earliest arrival. Arrivals later than the latest slot cannot
 matter, so a process ends there. Slots of two texts agree with the probability Jaccard
-of their weights. Bands of slots give buckets, and in each bucket the texts are linked to
-a leader, not to each other. Links are verified on the whole texts; texts that fail
-with their leader get a new leader among themselves until none is left, or until other links
-have joined the bucket. Bands take their leaders by different orders, so a text meets
-several of them. Linked texts form classes.
+of their weights. Bands of slots give buckets; buckets with the same texts count once.
+
+A bucket is not expanded into pairs. Its greatest spanning tree by slot agreement names
+the pairs to verify on whole texts: a tree joins what any threshold joins. What the
+verified pairs left apart is looked at again: each text names its nearest texts of other
+components, first a few, then more, until none that may be similar is left untested.
+Buckets above CHUNK texts are cut by a hash of text and band, so that texts that share
+several bands meet in different company. Linked texts form classes.
 
 A pair is linked when its plain or its probability Jaccard reaches the threshold.
 
@@ -35,7 +38,11 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: A pair at the threshold misses all bands with probability 5e-8.
 BANDS, ROWS = 32, 4
-LEADER_ORDERS = 4
+#: Slots of a pair at the threshold agree less often than this with probability 3e-6.
+LEAST_AGREEMENT = 0.64
+#: Most texts of a bucket in one task, and how many neighbours a text names per round.
+CHUNK = 1024
+NEIGHBOURS = (2, 16, 128, CHUNK)
 
 
 def signature(weighted: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarray:
@@ -65,16 +72,16 @@ def signature(weighted: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarr
     return owner
 
 
-def band_hashes(text: str) -> np.ndarray:
-    """One bucket number per band; none for a text without a word."""
+def sign(text: str) -> tuple[np.ndarray, bytes]:
+    """One bucket number per band (none for a text without a word), and a byte per slot."""
     found = shingles(text, SHINGLE_WORDS)
     if not len(found):
-        return np.empty(0, np.int64)
-    owner = signature(*np.unique(found, return_counts=True), BANDS * ROWS).reshape(BANDS, ROWS)
+        return np.empty(0, np.int64), b""
+    owner = signature(*np.unique(found, return_counts=True), BANDS * ROWS)
     code = np.arange(BANDS, dtype=np.uint64)
     for row in range(ROWS):
-        code = mix(code ^ owner[:, row])
-    return code.view(np.int64)
+        code = mix(code ^ owner.reshape(BANDS, ROWS)[:, row])
+    return code.view(np.int64), (mix(owner) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
@@ -108,12 +115,73 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).alias("doc_id"), words.alias("text"), F.unhex(F.md5(words)).alias("key"))
 
 
-def _bands(rows: DataFrame) -> DataFrame:
-    def batch(values: pa.Array) -> pa.Array:
-        return pa.array([band_hashes(text) for text in texts(values)], pa.list_(pa.int64()))
+def _signed(rows: DataFrame) -> DataFrame:
+    """``key``, ``bands`` and ``sketch`` of distinct texts."""
 
-    hashed = rows.select("key", F.arrow_udf(batch, "array<bigint>")("text").alias("bands"))
-    return hashed.select("key", F.posexplode("bands").alias("number", "band"))
+    def batch(values: pa.Array) -> pa.Array:
+        found = [sign(text) for text in texts(values)]
+        bands = pa.array([bands for bands, _ in found], pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([bands, pa.array([s for _, s in found], pa.binary())], ["bands", "sketch"])
+
+    kind = "struct<bands: array<bigint>, sketch: binary>"
+    return rows.select("key", F.arrow_udf(batch, kind)("text").alias("s")).select("key", "s.*")
+
+
+def _members(signed: DataFrame) -> DataFrame:
+    """``band``, ``chunk``, ``key`` and ``sketch`` of all buckets with two texts or more."""
+    banded = signed.select("key", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("content"))
+    unique = buckets.where("n > 1").groupBy("content", "n").agg(F.min("band").alias("band"))
+    chunk = F.pmod(F.xxhash64("key", "band"), F.ceil(F.col("n") / CHUNK))
+    met = banded.join(unique.select("band", "n"), "band").select("band", chunk.alias("chunk"), "key")
+    return met.join(signed.select("key", "sketch"), "key")
+
+
+def _sketches(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    keys = group.column("key").to_pylist()
+    return keys, np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
+
+
+def _pairs(pairs: set[tuple[bytes, bytes]]) -> pa.Table:
+    return pa.table({
+        "leader": pa.array([a for a, _ in pairs], pa.binary()), "key": pa.array([b for _, b in pairs], pa.binary())
+    })
+
+
+def _tree(group: pa.Table) -> pa.Table:
+    """Edges of the greatest spanning forest by agreement, above the least one."""
+    keys, sketches = _sketches(group)
+    least = LEAST_AGREEMENT * sketches.shape[1]
+    best, parent = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+    outside, at, pairs = np.ones(len(keys), bool), 0, set()
+    for _ in range(len(keys) - 1):
+        outside[at] = False
+        agreed = (sketches == sketches[at]).sum(axis=1)
+        nearer = agreed > best
+        best[nearer], parent[nearer] = agreed[nearer], at
+        at = int(np.argmax(np.where(outside, best, -2)))
+        if best[at] >= least:
+            pairs.add((min(keys[at], keys[parent[at]]), max(keys[at], keys[parent[at]])))
+    return _pairs(pairs)
+
+
+def _neighbours(count: int):
+    def near(group: pa.Table) -> pa.Table:
+        """For each text, the nearest ones of other components, above the least agreement."""
+        keys, sketches = _sketches(group)
+        least = LEAST_AGREEMENT * sketches.shape[1]
+        numbers: dict[bytes, int] = {}
+        roots = np.array([numbers.setdefault(r, len(numbers)) for r in group.column("root").to_pylist()])
+        pairs = set()
+        for i in range(len(keys) if len(numbers) > 1 else 0):
+            others = np.flatnonzero(roots != roots[i])
+            agreed = (sketches[others] == sketches[i]).sum(axis=1)
+            nearest = np.argsort(-agreed, kind="stable")[:count]
+            for j in others[nearest[agreed[nearest] >= least]]:
+                pairs.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
+        return _pairs(pairs)
+
+    return near
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,51 +200,42 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_leaders(buckets: DataFrame) -> DataFrame:
-    """Buckets of two texts or more, with a leader: the first by the order of the band."""
-    order = F.struct(F.xxhash64("key", F.col("number") % LEADER_ORDERS), "key")
-    leaders = buckets.groupBy("band").agg(F.min(order)["key"].alias("leader"), F.count("*").alias("n"))
-    return buckets.join(leaders.where("n > 1").drop("n"), "band")
+def _check(pairs: DataFrame, involved: DataFrame) -> DataFrame:
+    """Similarities of pairs, from the whole texts."""
+    both = pairs.join(involved.withColumnRenamed("text", "other"), "key").join(
+        involved.select(F.col("key").alias("leader"), F.col("text").alias("mine")), "leader"
+    )
+    checked = both.select("leader", "key", "mine", "other").mapInArrow(
+        _verify, "leader binary, key binary, plain double, probable double"
+    )
+    return materialize(checked, "checked")
 
 
-def _apart(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Bands whose texts belong to more than one component."""
-    rooted = buckets.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    root = F.coalesce("root", "key")
-    ends = rooted.groupBy("band").agg(F.min(root).alias("low"), F.max(root).alias("high"))
-    return ends.where("low != high").select("band")
+def _components(tested: DataFrame) -> DataFrame:
+    linked = tested.where(F.greatest("plain", "probable") >= THRESHOLD)
+    return materialize(components(linked.select(F.col("leader").alias("a"), F.col("key").alias("b"))), "roots")
 
 
 def roots(rows: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of every text that is linked, from ``keyed`` documents.
-
-    A round tests all members of a bucket with its leader. Those that fail go on to
-    the next round, unless links found elsewhere have already joined the whole bucket.
-    """
+    """``node`` and ``root`` of every text that is linked, from ``keyed`` documents."""
     distinct = rows.select("key", "text").dropDuplicates(["key"])
-    buckets = materialize(_with_leaders(_bands(distinct)), "buckets")
-    named = buckets.select("key").distinct()
-    involved = materialize(distinct.join(named, "key", "left_semi"), "texts")
-    waiting, tested = buckets, None
-    while True:
-        pairs = waiting.where("key != leader").select("leader", "key").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["leader", "key"], "left_anti")
-        both = pairs.join(involved.withColumnRenamed("text", "other"), "key").join(
-            involved.select(F.col("key").alias("leader"), F.col("text").alias("mine")), "leader"
-        )
-        checked = both.select("leader", "key", "mine", "other").mapInArrow(
-            _verify, "leader binary, key binary, plain double, probable double"
+    members = materialize(_members(materialize(_signed(distinct), "signed")), "members")
+    involved = materialize(distinct.join(members.select("key").distinct(), "key", "left_semi"), "texts")
+    named = members.groupBy("band", "chunk").applyInArrow(_tree, "leader binary, key binary")
+    tested = _check(named.distinct(), involved)
+    found = _components(tested)
+    for count in NEIGHBOURS:
+        rooted = members.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
+            "root", F.coalesce("root", "key")
         )
-        checked = materialize(checked, "checked")
-        tested = checked if tested is None else tested.union(checked)
-        linked = tested.where(F.greatest("plain", "probable") >= THRESHOLD)
-        found = materialize(components(linked.select(F.col("leader").alias("a"), F.col("key").alias("b"))), "roots")
-        failed = waiting.where("key != leader").join(linked, ["leader", "key"], "left_anti").drop("leader")
-        apart = failed.join(_apart(buckets, found), "band", "left_semi")
-        waiting = materialize(_with_leaders(apart), "buckets")
-        if waiting.isEmpty():
-            return found
+        named = rooted.groupBy("band", "chunk").applyInArrow(_neighbours(count), "leader binary, key binary")
+        pairs = materialize(named.distinct(), "pairs")
+        if pairs.isEmpty():
+            break
+        more = _check(pairs.join(tested, ["leader", "key"], "left_anti"), involved)
+        tested = materialize(tested.union(more), "tested")
+        found = _components(tested)
+    return found
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
