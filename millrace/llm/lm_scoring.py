@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.hashing import mix
 from millrace.session import materialize
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 ROUNDS = 12
 #: Weights stop when the mean log10 likelihood of the deleted part gains less.
 LEAST_GAIN = 1e-5
@@ -183,6 +183,18 @@ def _answer(requests: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_record(rows, _ANSWER_TYPES)])
 
 
+def _distinct(triples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns of a table of counts, and the number of each column's one."""
+    code = np.zeros(triples.shape[1], np.int64)
+    for row in triples:
+        if (int(code.max(initial=0)) + 1) * (int(row.max(initial=0)) + 1) >= 1 << 62:
+            code = np.unique(code, return_inverse=True)[1]
+            row = np.unique(row, return_inverse=True)[1]
+        code = code * (int(row.max(initial=0)) + 1) + row
+    _, first, of = np.unique(code, return_index=True, return_inverse=True)
+    return triples[:, first], of
+
+
 def _cells(schema: pa.Schema, types: int, tokens: int):
     """Per block, the distinct count triples (predecessor, token, pair) and where they occur."""
 
@@ -202,17 +214,17 @@ def _cells(schema: pa.Schema, types: int, tokens: int):
                 starts = np.concatenate([[0], block.ends[:-1]])
                 total = np.stack([words[0][before], words[0][after], by_kind[2][0]])
                 less = np.stack([words[1][before], words[1][after], by_kind[2][1]])
-                cells, cell_of_pair = np.unique(total, axis=1, return_inverse=True)
+                cells, cell_of_pair = _distinct(total)
                 base = np.log10((total[1] + 1) / (tokens + types + 1))[block.pair_of]
                 known = (total[1] > 0)[block.pair_of]
                 times = np.bincount(block.pair_of, np.repeat(row["deleted"], row["lengths"]), len(block.pair_keys))
                 held = times > 0
-                kept, kept_of = np.unique((total - less)[:, held], axis=1, return_inverse=True)
-                kept_times = np.bincount(kept_of.ravel(), times[held], kept.shape[1]).astype(np.int64)
+                kept, kept_of = _distinct((total - less)[:, held])
+                kept_times = np.bincount(kept_of, times[held], kept.shape[1]).astype(np.int64)
                 yield _record([(
                     row["doc_ids"], block.ends.tolist(), np.add.reduceat(known, starts, dtype=np.int64).tolist(),
                     np.add.reduceat(base, starts).tolist(),
-                    zstandard.compress(cell_of_pair.ravel().astype("<u4")[block.pair_of].tobytes(), 1),
+                    zstandard.compress(cell_of_pair.astype("<u4")[block.pair_of].tobytes(), 1),
                     _shrink(cells.ravel()), _shrink(np.concatenate([kept, kept_times[None]]).ravel()),
                 )], schema)
 
