@@ -54,7 +54,7 @@ def lexicon(texts: DataFrame, text: str = "text") -> DataFrame:
 
 def _hashes(entries: Column, everything: Column) -> Column:
     """One hash per lexicon of the sorted (term, mask) entries."""
-    sorted_entries = F.array_sort(F.filter(entries, lambda e: e["mask"] > 0))
+    sorted_entries = F.sort_array(F.filter(entries, lambda e: e["mask"] > 0))
 
     def of(k: int) -> Column:
         chosen = F.filter(sorted_entries, lambda e: e["mask"].bitwiseAND(1 << k) != 0)
@@ -89,10 +89,10 @@ def fingerprint_columns(rows: DataFrame, key: list[str], variants: list[str], he
 
     none = F.array(F.lit(_NONE).cast("long"))
     entries = F.flatten(F.array(*(F.transform(F.concat(name, none), entry(i)) for i, name in enumerate(variants))))
-    exploded = listed.select(
-        *key, *rest,
-        *(F.xxhash64(F.array_sort(name)).alias(f"{name}_all") for name in variants),
-        F.explode(entries).alias("e"),
+    # The hash of all terms is taken before the terms become rows.
+    hashed = listed.select("*", *(F.xxhash64(F.sort_array(name)).alias(f"{name}_all") for name in variants))
+    exploded = hashed.select(
+        *key, *rest, *(f"{name}_all" for name in variants), F.explode(entries).alias("e")
     ).select("*", "e.variant", "e.term").drop("e")
     met = exploded.join(F.broadcast(held), "term")
     carried = rest + [f"{name}_all" for name in variants]
