@@ -28,6 +28,8 @@ from millrace.llm.common import PieceMemory, in_chunks, texts
 
 #: Checked neighbours of tokens that a Python worker remembers.
 MEMORY_BORDERS = 1 << 19
+#: Ids that are decoded at a time.
+DECODE_IDS = 1 << 20
 
 INFINITE = 1 << 62
 
@@ -46,6 +48,13 @@ class Vocabulary:
             raise ValueError("a byte-level vocabulary needs a token for each byte")
         self.ranks = ranks
         self.token_bytes = {rank: token for token, rank in ranks.items()}
+        #: All tokens one after another, with the place and the size of each rank.
+        ordered = sorted(self.token_bytes.items())
+        self.blob = np.frombuffer(b"".join(token for _, token in ordered), np.uint8)
+        self.sizes, self.places = np.zeros((2, max(self.token_bytes) + 1), np.int64)
+        numbers = [rank for rank, _ in ordered]
+        self.sizes[numbers] = [len(token) for _, token in ordered]
+        self.places[numbers] = np.cumsum(self.sizes[numbers]) - self.sizes[numbers]
         self.halves: dict[int, tuple[int, int]] = {}
         self.pairs: dict[tuple[int, int], int] = {}
         self.reached: dict[bytes, int] = {}
@@ -235,8 +244,16 @@ class Codec:
         """Token ids of each text as packed little-endian 32-bit integers."""
         return self.memory.encode([self.split(text) for text in values])
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.vocabulary.token_bytes.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids, and the size of each id's token."""
+        vocabulary, out = self.vocabulary, []
+        sizes = vocabulary.sizes[ids]
+        for at in range(0, len(ids), DECODE_IDS):
+            size = sizes[at : at + DECODE_IDS]
+            ends = np.cumsum(size)
+            shift = vocabulary.places[ids[at : at + DECODE_IDS]] - (ends - size)
+            out.append(vocabulary.blob[np.arange(ends[-1]) + np.repeat(shift, size)].tobytes())
+        return b"".join(out), sizes
 
 
 _READY: dict[tuple, Codec] = {}
@@ -259,9 +276,9 @@ def decode(ids: Column, codec: Codec) -> Column:
     """The bytes of an array of token ids; null stands for no tokens."""
 
     def batch(values: pa.Array) -> pa.Array:
-        ready = codec.ready()
-        out = [ready.decode(v.values.to_numpy(zero_copy_only=False) if v.is_valid else np.empty(0, int))
-               for v in values]
-        return pa.array(out, pa.binary())
+        data, sizes = codec.ready().decode(values.flatten().to_numpy(zero_copy_only=False))
+        ends = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy())])
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
     return F.arrow_udf(batch, "binary")(ids)

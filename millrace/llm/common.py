@@ -47,7 +47,7 @@ def row_struct(fields: dict[str, str], one: Callable[[str], tuple]):
 
 
 #: Pieces that a Python worker remembers: as many recent ones, and as many before them.
-MEMORY_PIECES = 1 << 18
+MEMORY_PIECES = 3 << 17
 CHUNK_CHARS = 1_000_000
 
 
