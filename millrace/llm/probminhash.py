@@ -8,8 +8,10 @@ of their weights. Bands of slots give buckets; buckets with the same texts count
 
 A bucket is not expanded into pairs. Its greatest spanning tree by slot agreement names
 the pairs to verify on whole texts: a tree joins what any threshold joins. What the
-verified pairs left apart is looked at again: each text names its nearest texts of other
-components, first a few, then more, until none that may be similar is left untested.
+verified pairs left apart is looked at again: in each of its buckets a text names its
+nearest texts of other components, as long as a round of this finds a link. (A link is
+missed if slot agreement ranks it behind other pairs below the threshold in all of
+the up to 32 buckets that two texts share.)
 Buckets above CHUNK texts are cut by a hash of text and band, so that texts that share
 several bands meet in different company. Linked texts form classes.
 
@@ -40,9 +42,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 #: Slots of a pair at the threshold agree less often than this with probability 3e-6.
 LEAST_AGREEMENT = 0.64
-#: Most texts of a bucket in one task, and how many neighbours a text names per round.
+#: Most texts of a bucket in one task, and how many neighbours a text names in a round.
 CHUNK = 1024
-NEIGHBOURS = (2, 16, 128, CHUNK)
+NEIGHBOURS = 2
 
 
 def signature(weighted: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarray:
@@ -165,23 +167,20 @@ def _tree(group: pa.Table) -> pa.Table:
     return _pairs(pairs)
 
 
-def _neighbours(count: int):
-    def near(group: pa.Table) -> pa.Table:
-        """For each text, the nearest ones of other components, above the least agreement."""
-        keys, sketches = _sketches(group)
-        least = LEAST_AGREEMENT * sketches.shape[1]
-        numbers: dict[bytes, int] = {}
-        roots = np.array([numbers.setdefault(r, len(numbers)) for r in group.column("root").to_pylist()])
-        pairs = set()
-        for i in range(len(keys) if len(numbers) > 1 else 0):
-            others = np.flatnonzero(roots != roots[i])
-            agreed = (sketches[others] == sketches[i]).sum(axis=1)
-            nearest = np.argsort(-agreed, kind="stable")[:count]
-            for j in others[nearest[agreed[nearest] >= least]]:
-                pairs.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
-        return _pairs(pairs)
-
-    return near
+def _neighbours(group: pa.Table) -> pa.Table:
+    """For each text, the nearest ones of other components, above the least agreement."""
+    keys, sketches = _sketches(group)
+    least = LEAST_AGREEMENT * sketches.shape[1]
+    numbers: dict[bytes, int] = {}
+    roots = np.array([numbers.setdefault(r, len(numbers)) for r in group.column("root").to_pylist()])
+    pairs = set()
+    for i in range(len(keys) if len(numbers) > 1 else 0):
+        others = np.flatnonzero(roots != roots[i])
+        agreed = (sketches[others] == sketches[i]).sum(axis=1)
+        nearest = np.argsort(-agreed, kind="stable")[:NEIGHBOURS]
+        for j in others[nearest[agreed[nearest] >= least]]:
+            pairs.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
+    return _pairs(pairs)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,18 +223,16 @@ def roots(rows: DataFrame) -> DataFrame:
     named = members.groupBy("band", "chunk").applyInArrow(_tree, "leader binary, key binary")
     tested = _check(named.distinct(), involved)
     found = _components(tested)
-    for count in NEIGHBOURS:
+    while True:
         rooted = members.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
             "root", F.coalesce("root", "key")
         )
-        named = rooted.groupBy("band", "chunk").applyInArrow(_neighbours(count), "leader binary, key binary")
-        pairs = materialize(named.distinct(), "pairs")
-        if pairs.isEmpty():
-            break
-        more = _check(pairs.join(tested, ["leader", "key"], "left_anti"), involved)
+        named = rooted.groupBy("band", "chunk").applyInArrow(_neighbours, "leader binary, key binary")
+        more = _check(named.distinct().join(tested, ["leader", "key"], "left_anti"), involved)
+        if more.where(F.greatest("plain", "probable") >= THRESHOLD).isEmpty():
+            return found
         tested = materialize(tested.union(more), "tested")
         found = _components(tested)
-    return found
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
