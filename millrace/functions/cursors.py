@@ -39,7 +39,12 @@ def parse_cursor(token: Column, dtypes: Sequence[DataType]) -> Column:
     padded = F.rpad(standard, (F.ceil(F.length(standard) / F.lit(4)) * 4).cast("int"), F.lit("="))
     text = F.unbase64(padded).cast("string")
     values = F.from_json(text, "after array<string>")["after"]
-    return F.struct(*[values[i].cast(dtype).alias(f"k{i}") for i, dtype in enumerate(dtypes)])
+
+    def typed(parsed: Column) -> Column:
+        return F.struct(*[parsed[i].cast(dtype).alias(f"k{i}") for i, dtype in enumerate(dtypes)])
+
+    # A lambda's argument is computed once, however many keys are taken from it.
+    return F.transform(F.array(values), typed)[0]
 
 
 def decode_cursor(token: str | None, lenient: bool = False) -> list[Any] | None:

@@ -130,8 +130,12 @@ def sql_params(
     """SQL text with named parameters (``:name``, ``IDENTIFIER(:name)``, ``LIMIT :n``).
 
     Parameters are never pasted into the text. ``tables`` are registered as
-    temporary views under their names.
+    temporary views under their names while the text is analysed, and dropped again.
     """
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    return spark.sql(query, args=dict(params))
+    try:
+        return spark.sql(query, args=dict(params))
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)

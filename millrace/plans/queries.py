@@ -445,7 +445,7 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                 summary, f"{root}/alerts", f"{root}/checkpoint",
                 windows.HOT_CELSIUS, windows.ALERT_HOURS, AS_OF,
             )
-    hot = read_alerts(spark, f"{root}/alerts")
+    hot = read_alerts(spark, f"{root}/alerts", windows.ALERT_HOURS, AS_OF)
     return hot.select("device_id", "location", ntz("window_start"), "max_temp")
 
 

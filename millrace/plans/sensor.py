@@ -20,7 +20,11 @@ from millrace.streaming.summary import (
 )
 
 # Names and conditions of the rules.
-DROP_RULES = {"valid_device_id": "device_id IS NOT NULL"}
+DROP_RULES = {
+    "valid_device_id": "device_id IS NOT NULL",
+    # A reading without a time would vanish in the windows; it is quarantined instead.
+    "valid_event_time": "event_timestamp IS NOT NULL",
+}
 WARN_RULES = {"warn_on_high_temp": "temperature_celsius < 40"}
 
 # What silver reads of bronze. The types are fixed, so a wider bronze schema does
@@ -126,11 +130,11 @@ def run_pipeline(
 
     readings = read_stream_table(spark, tables.silver, silver_schema(spark), **batch_options)
     write_summary_partials(readings, tables.summary, tables.checkpoint("summary"))
-    if recorder is not None:
-        recorder.flush(spark, tables.metrics, ingest, silver, quarantine)
     if full_refresh:
         pointer = spark.createDataFrame([(generation,)], "generation int")
         pointer.coalesce(1).write.mode("append").parquet(f"{root}/generations")
+    if recorder is not None:
+        recorder.flush(spark, tables.metrics, ingest, silver, quarantine)
     return tables
 
 

@@ -76,11 +76,11 @@ def served(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arrivals(df: DataFrame, column: str, cuts: tuple[str, str]) -> list[DataFrame]:
-    """The whole of ``df`` in three time ranges."""
+    """The whole of ``df`` in three time ranges; rows without a time come last."""
     first, second = (F.lit(c).cast("timestamp_ntz") for c in cuts)
     time = F.col(column)
     return [
         df.where(time < first),
         df.where((time >= first) & (time < second)),
-        df.where(time >= second),
+        df.where((time >= second) | time.isNull()),
     ]

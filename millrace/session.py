@@ -38,7 +38,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return sc.getCheckpointDir().rstrip("/")

@@ -3,7 +3,8 @@
 A versioned table keeps its rows under ``data/version=N/part=P`` and one small
 commit per version under ``commits/version=N`` that names the live version of
 every part. Readers follow the newest commit, so a job that dies between the two
-writes leaves the table as it was, and a repeated version replaces itself.
+writes leaves the table as it was, and a repeated version replaces itself. A part that
+got no rows has no folder; its commit row holds ``~version``, which readers skip.
 """
 
 from __future__ import annotations
@@ -105,6 +106,17 @@ def live_parts(spark: SparkSession, path: str) -> dict[int, int]:
     return {}
 
 
+def is_committed(live: Mapping[int, int], version: int) -> bool:
+    """Whether ``version`` is the live version of a part, with rows or without."""
+    return version in live.values() or ~version in live.values()
+
+
+def _written_parts(spark: SparkSession, folder: str) -> set[int]:
+    files, path = _file_system(spark, folder)
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    return {int(n.removeprefix("part=")) for n in names if n.startswith("part=")}
+
+
 def write_version(
     df: DataFrame, path: str, version: int, parts: Sequence[int], live: Mapping[int, int]
 ) -> None:
@@ -115,9 +127,10 @@ def write_version(
     tasks.
     """
     spark = df.sparkSession
-    live = {**live, **{part: version for part in parts}}
     placed = df.hint("rebalance", F.col("part")) if len(parts) > 1 else df
     placed.write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/version={version}")
+    written = _written_parts(spark, f"{path}/data/version={version}")
+    live = {**live, **{part: version if part in written else ~version for part in parts}}
     commit = spark.createDataFrame(sorted(live.items()), COMMIT_SCHEMA)
     commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
 
@@ -134,6 +147,7 @@ def read_versioned(
         live = live_parts(spark, path)
     columns = [f.name for f in schema.fields if f.name != "part"]
     stored = StructType([f for f in schema.fields if f.name != "part"]).add("part", "integer")
+    live = {part: version for part, version in live.items() if version >= 0}
     if not live:
         return spark.createDataFrame([], stored)
     base = f"{path}/data"

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
 from millrace.operators.cdc import END, HOT_ROWS, START, scd2, with_key, with_sequence
-from millrace.sources.tables import live_parts, read_versioned, write_version
+from millrace.sources.tables import is_committed, live_parts, read_versioned, write_version
 
 BUCKETS = 64
 
@@ -34,6 +34,10 @@ def _at_least(column: str, dtype: DataType, rows: DataFrame) -> Column:
     return F.col(column) >= F.lit(rows.agg(least).first()[0]).cast(dtype)
 
 
+#: Names of working columns; a change log must not have them.
+RESERVED = {"part", "batch_id", "version", "_first_change", "_slice", "_position", "_next", "_values"}
+
+
 def scd2_stream(
     changes: DataFrame,
     target: str,
@@ -56,6 +60,9 @@ def scd2_stream(
     buckets are not read. Use a new ``target`` with a new ``checkpoint``: batch
     numbers name the versions.
     """
+    taken = RESERVED & set(changes.columns)
+    if taken:
+        raise ValueError(f"columns with reserved names: {sorted(taken)}")
     keys = list(keys)
     by_key = ["part", *keys]
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
@@ -77,7 +84,7 @@ def scd2_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         live = live_parts(spark, target)
-        if batch_id in live.values():
+        if is_committed(live, batch_id):
             return
         placed = with_sequence(with_key(batch, keys), sequence_by).withColumn("part", bucket)
         placed.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(

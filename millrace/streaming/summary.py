@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from millrace.functions.times import since
 from millrace.operators.windows import WINDOW, device_summary, hot_devices
-from millrace.sources.tables import live_parts, read_versioned, write_version
+from millrace.sources.tables import is_committed, live_parts, read_versioned, write_version
 
 # Fixed value: how late a reading may be when a watermark is used.
 WATERMARK = "2 minutes"
@@ -53,7 +54,7 @@ def write_summary_complete(summary: DataFrame, path: str, checkpoint: str) -> St
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         live = live_parts(batch.sparkSession, path)
-        if batch_id not in live.values():
+        if not is_committed(live, batch_id):
             write_version(batch.withColumn("part", F.lit(0)), path, batch_id, [0], live)
 
     query = (
@@ -108,7 +109,7 @@ def write_summary_partials(
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         live = live_parts(spark, path)
-        if batch_id in live.values():
+        if is_committed(live, batch_id):
             return
         partials = partial_summary(batch, window)
         if len(live) >= MERGE_PARTS:
@@ -168,11 +169,19 @@ def write_alerts(
     return query
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of every hot device window."""
+def read_alerts(
+    spark: SparkSession, path: str, hours: int | None = None, as_of: str | None = None
+) -> DataFrame:
+    """The newest state of every hot device window.
+
+    With ``hours`` only windows that start at most so long before ``as_of`` (default:
+    now), so that an alert clears when its window has become old.
+    """
+    alerts = spark.read.parquet(path)
+    if hours is not None:
+        alerts = alerts.where(since(F.col("window_start"), hours, as_of))
     return (
-        spark.read.parquet(path)
-        .groupBy("device_id", "location", "window_start")
+        alerts.groupBy("device_id", "location", "window_start")
         .agg(F.max_by("max_temp", "batch_id").alias("max_temp"))
     )
 

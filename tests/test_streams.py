@@ -113,6 +113,51 @@ def test_alerts_keep_the_newest_maximum(spark, tmp_path):
     assert [(r.device_id, r.max_temp) for r in read_alerts(spark, str(tmp_path / "alerts")).collect()] == [("a", 43.0)]
 
 
+def test_alerts_clear_when_their_window_is_old(spark, tmp_path):
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "alerts")
+    seen = []
+    for rows, as_of in (
+        ([at(0, temperature=39.0)], "2024-01-01 11:00:00"),
+        ([at(1, temperature=41.0)], "2024-01-01 11:00:00"),
+        ([at(2, temperature=20.0)], "2024-01-03 11:00:00"),
+    ):
+        feed.add(rows)
+        write_alerts(
+            device_summary_stream(feed.stream()), path, str(tmp_path / "checkpoint"),
+            threshold=40.0, hours=2, as_of=as_of,
+        )
+        seen.append(read_alerts(spark, path, 2, as_of).count() > 0)
+    assert seen == [False, True, False]
+
+
+@pytest.mark.parametrize("empty", [0, 1, 3])
+def test_partials_take_a_batch_without_valid_rows(spark, tmp_path, monkeypatch, empty):
+    monkeypatch.setattr(summaries, "MERGE_PARTS", 3)
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "summary")
+    for number in range(5):
+        row = at(number)
+        feed.add([(row[0], row[1], None, *row[3:]) if number == empty else row])
+        readings = feed.stream().where("event_timestamp IS NOT NULL")
+        summaries.write_summary_partials(readings, path, str(tmp_path / "checkpoint"))
+        schema = summaries.partial_summary(readings).schema
+        found = summaries.read_summary_partials(spark, path, schema)
+        assert (found.agg(F.sum("reading_count")).first()[0] or 0) == number + 1 - (number >= empty)
+
+
+def test_complete_takes_no_rows(spark, tmp_path):
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "summary")
+    feed.add([at(0)])
+    summary = device_summary_stream(feed.stream().where("device_id IS NULL"))
+    summaries.write_summary_complete(summary, path, str(tmp_path / "checkpoint"))
+    assert summaries.read_summary(spark, path, summary.schema).count() == 0
+
+
+def test_history_refuses_reserved_names(spark, tmp_path):
+    changes = spark.readStream.schema("id int, at int, part string").parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="part"):
+        scd2_stream(changes, str(tmp_path / "t"), str(tmp_path / "c"), ["id"], "at")
+
+
 LOG = "id int, at int, tie int, a string"
 OPTIONS = dict(keys=["id"], sequence_by="at", tie_breakers=["tie"], except_columns=["at", "tie"])
 
