@@ -130,6 +130,15 @@ ORACLE: dict[str, str] = {
     "synthetic_customers": _customer_details(),
     "stream_silver": f"""WITH {SENSOR} SELECT {SILVER},
       CASE WHEN device_id IS NULL THEN 'quarantine' ELSE 'silver' END AS target FROM sensor""",
+    "bad_times_quarantined": f"""WITH {SENSOR}, landed AS (
+        SELECT *, device_id IS NOT NULL AND event_id % 7 <> 0 AS valid FROM sensor
+        WHERE device_id IS NULL OR event_timestamp >= TIMESTAMP '2024-01-11')
+      SELECT target, count(*) FILTER (WHERE target = 'bronze' OR valid = (target <> 'quarantine')) AS n
+      FROM landed CROSS JOIN (VALUES ('bronze'), ('silver'), ('quarantine'), ('summary')) AS targets(target)
+      GROUP BY target""",
+    "pipeline_empty_batch": f"""WITH {SUMMARY.replace("WHERE device_id IS NOT NULL", """WHERE device_id IS NOT NULL
+        AND event_id % 7 <> 0 AND event_timestamp >= TIMESTAMP '2024-01-11'""")}
+      SELECT {SUMMARY_COLUMNS} FROM summary""",
     "incremental_equals_full": f"""WITH {SUMMARY}
       SELECT {SUMMARY_COLUMNS}, run FROM summary
       CROSS JOIN (VALUES ('incremental'), ('full')) AS runs(run)""",

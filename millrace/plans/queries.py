@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -364,6 +365,41 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad.withColumn("target", F.lit("quarantine")))
 
 
+def _run_flawed(spark: SparkSession, sf_dir: str) -> pipeline.SensorTables:
+    """Three runs: the first one brings only readings without a device, and all of
+    them some whose time cannot be read."""
+    root = new_scratch(spark, "flawed")
+    tables = None
+    for number, part in enumerate(arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS)):
+        unreadable = F.when(F.col("event_id") % 7 == 0, F.lit("no time")).otherwise(F.col("timestamp"))
+        rows = landed(part).withColumn("timestamp", unreadable).drop("event_id")
+        if number == 0:
+            rows = rows.where("device_id IS NULL")
+        rows.write.mode("append").json(f"{root}/landing")
+        tables = pipeline.run_pipeline(spark, f"{root}/landing", f"{root}/tables")
+    return tables
+
+
+def bad_times_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table; silver and quarantine together are bronze."""
+    tables = _run_flawed(spark, sf_dir)
+    frames = {
+        "bronze": pipeline.read_bronze(spark, tables),
+        "silver": pipeline.read_silver(spark, tables),
+        "quarantine": pipeline.read_quarantine(spark, tables),
+    }
+    counts = [df.agg(F.count("*").alias("n")).withColumn("target", F.lit(name)) for name, df in frames.items()]
+    summary = pipeline.read_device_summary(spark, tables)
+    readings = summary.agg(F.coalesce(F.sum("reading_count"), F.lit(0)).alias("n"))
+    counts.append(readings.withColumn("target", F.lit("summary")))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def pipeline_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The device summary after a first run without a valid reading."""
+    return rounded_summary(pipeline.read_device_summary(spark, _run_flawed(spark, sf_dir)))
+
+
 def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same landing files after three runs and after a full refresh."""
     root = new_scratch(spark, "refresh")
@@ -455,6 +491,8 @@ QUERIES: dict[str, Query] = {
     "ingest_meta": ingest_meta,
     "synthetic_customers": details,
     "stream_silver": stream_silver,
+    "bad_times_quarantined": bad_times_quarantined,
+    "pipeline_empty_batch": pipeline_empty_batch,
     "incremental_equals_full": incremental_equals_full,
     "silver_clean": silver_clean,
     "parse_event_time": parse_times,
