@@ -17,6 +17,8 @@ neighbour. An empty table gives an empty table. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Band of the share of documents that hold a term.
@@ -30,6 +32,10 @@ SLICE_ROWS, MOST_SLICES = 2000, 1000
 #: Stands for "no term" so that every text keeps a row; it is in no lexicon.
 _NONE = 0
 
+#: Layout of an entry: the high bits of the term's hash, then the variant, then the mask.
+_MASK_BITS, _VARIANT_BITS = LEXICONS, 2
+_LOW_BITS = _MASK_BITS + _VARIANT_BITS
+
 
 def terms(text: Column) -> Column:
     """Hashes of the distinct terms: runs of letters and digits in lower case."""
@@ -52,15 +58,19 @@ def lexicon(texts: DataFrame, text: str = "text") -> DataFrame:
     return masked.where(F.col("term") != _NONE).union(none)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _hashes(entries: Column, everything: Column) -> Column:
-    """One hash per lexicon of the sorted (term, mask) entries."""
-    sorted_entries = F.sort_array(F.filter(entries, lambda e: e["mask"] > 0))
+    """One hash per lexicon of the sorted entries of one text."""
 
-    def of(k: int) -> Column:
-        chosen = F.filter(sorted_entries, lambda e: e["mask"].bitwiseAND(1 << k) != 0)
-        return F.when(F.size(chosen) > 0, F.xxhash64(F.transform(chosen, lambda e: e["term"]))).otherwise(everything)
+    def of(ordered: Column, k: int) -> Column:
+        chosen = F.filter(ordered, lambda e: e.bitwiseAND(F.lit(1 << k).cast("long")) != 0)
+        return _once(chosen, lambda c: F.when(F.size(c) > 0, F.xxhash64(c)).otherwise(everything))
 
-    return F.array(*map(of, range(LEXICONS)))
+    return _once(F.sort_array(entries), lambda ordered: F.array(*(of(ordered, k) for k in range(LEXICONS))))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -77,7 +87,9 @@ def fingerprint_columns(rows: DataFrame, key: list[str], variants: list[str], he
 
     ``key`` names the rows; the other columns are kept. The terms are exploded, met
     with the broadcast lexicon and gathered again by ``key``; this needs no shuffle
-    when the rows are already partitioned by one of the key columns.
+    when the rows are already partitioned by one of the key columns. At most
+    2**_VARIANT_BITS columns at a time. The first key column should tell rows apart,
+    as it is what rows are sorted by.
     """
     rest = [c for c in rows.columns if c not in key and c not in variants]
     listed = rows.select(
@@ -85,7 +97,7 @@ def fingerprint_columns(rows: DataFrame, key: list[str], variants: list[str], he
     )
 
     def entry(i: int):
-        return lambda t: F.struct(F.lit(i).alias("variant"), t.alias("term"))
+        return lambda t: F.struct(t.alias("term"), F.lit(i).cast("long").alias("variant"))
 
     none = F.array(F.lit(_NONE).cast("long"))
     entries = F.flatten(F.array(*(F.transform(F.concat(name, none), entry(i)) for i, name in enumerate(variants))))
@@ -96,14 +108,18 @@ def fingerprint_columns(rows: DataFrame, key: list[str], variants: list[str], he
     ).select("*", "e.variant", "e.term").drop("e")
     met = exploded.join(F.broadcast(held), "term")
     carried = rest + [f"{name}_all" for name in variants]
+    high = F.shiftleft(F.shiftright("term", _LOW_BITS), _LOW_BITS)
+    packed = high.bitwiseOR(F.shiftleft("variant", _MASK_BITS)).bitwiseOR(F.col("mask").cast("long"))
     gathered = met.groupBy(*key).agg(
-        F.collect_list(F.struct("variant", "term", "mask")).alias("entries"),
+        F.collect_list(F.when(F.col("mask") > 0, packed)).alias("entries"),
         *(F.first(c).alias(c) for c in carried),
     )
 
     def one(i: int, name: str) -> Column:
-        own = F.filter("entries", lambda e: e["variant"] == i)
-        return _hashes(F.transform(own, lambda e: F.struct(e["term"], e["mask"])), F.col(f"{name}_all"))
+        bits = F.lit(((1 << _VARIANT_BITS) - 1) << _MASK_BITS).cast("long")
+        own = F.filter("entries", lambda e: e.bitwiseAND(bits) == i << _MASK_BITS)
+        # Entries of one text differ in nothing but term and mask once the variant is cleared.
+        return _hashes(F.transform(own, lambda e: e.bitwiseAND(F.bitwise_not(bits))), F.col(f"{name}_all"))
 
     return gathered.select(*key, *rest, *(one(i, name).alias(f"{name}_hashes") for i, name in enumerate(variants)))
 
@@ -120,7 +136,7 @@ def _slices(docs: DataFrame) -> tuple[list[int], int | None]:
 
 
 def with_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``slice``, ``row`` (place in the slice), ``doc_id``, ``text``, ``next_text`` and
+    """``slice``, ``row`` (a number that grows along the order), ``doc_id``, ``text``, ``next_text`` and
     ``ghost``: documents by falling id with the text of the next one; the first one
     follows the last.
 
@@ -148,7 +164,10 @@ def with_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "ghost", F.col("doc_id").desc_nulls_last(), F.xxhash64("text")
     )
     return placed.select("p.*", "doc_id", "text").select(
-        "slice", F.row_number().over(order).alias("row"), "doc_id", "text",
+        "slice",
+        (F.shiftleft(F.col("slice").cast("long"), 32) + F.row_number().over(order)).alias("row"),
+        "doc_id",
+        "text",
         F.lead("text").over(order).alias("next_text"), "ghost",
     )
 

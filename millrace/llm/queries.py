@@ -97,7 +97,7 @@ def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = imatch.with_neighbours(docs).withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("edited", F.concat(kept, taken)).drop("next_text")
     rows = rows.withColumn("edited_sha256", F.unhex(F.sha2("edited", 256)))
-    found = imatch.fingerprint_columns(rows, ["slice", "row"], ["text", "edited"], imatch.lexicon(docs))
+    found = imatch.fingerprint_columns(rows, ["row", "slice"], ["text", "edited"], imatch.lexicon(docs))
     following = F.lead("text_hashes").over(Window.partitionBy("slice").orderBy("row"))
     return (
         found.withColumn("next_hashes", following)
