@@ -57,9 +57,10 @@ def test_pipeline_from_files_to_alert(spark, tmp_path):
 
     bronze = pipeline.read_bronze(spark, tables)
     silver, quarantine = pipeline.read_silver(spark, tables), pipeline.read_quarantine(spark, tables)
-    assert (bronze.count(), silver.count(), quarantine.count()) == (5, 4, 1)
+    assert (bronze.count(), silver.count(), quarantine.count()) == (5, 3, 2)
     assert "pressure" in bronze.columns and "pressure" not in silver.columns
-    assert quarantine.first().failed_rules == ["valid_device_id"]
+    failed = sorted(rule for row in quarantine.collect() for rule in row.failed_rules)
+    assert failed == ["valid_device_id", "valid_event_time"]
     hot = hot_devices(pipeline.read_device_summary(spark, tables), as_of=as_of)
     assert [(r.device_id, str(r.window_start)) for r in hot.collect()] == [("MFG-B-2000", "2025-01-01 12:30:00")]
     assert alert_state(hot).first().alert is True
@@ -70,7 +71,9 @@ def test_pipeline_from_files_to_alert(spark, tmp_path):
         .groupBy("table_name", "metric").agg(F.sum("value").alias("n")).collect()
     }
     assert counts[("bronze", "rows_in")] == 5
-    assert counts[("silver_drop", "failed__valid_device_id")] == counts[("quarantine", "rows_in")] == 1
+    assert counts[("silver_drop", "failed__valid_device_id")] == 1
+    assert counts[("silver_drop", "failed__valid_event_time")] == 1
+    assert counts[("quarantine", "rows_in")] == 2
     assert counts[("silver", "failed__warn_on_high_temp")] == 1
 
     rebuilt = pipeline.run_pipeline(spark, landing, root, full_refresh=True)
@@ -81,7 +84,7 @@ def test_pipeline_from_files_to_alert(spark, tmp_path):
     )
     assert sorted(one.collect(), key=str) == sorted(two.collect(), key=str)
     again = pipeline.run_pipeline(spark, landing, root)
-    assert again == rebuilt and pipeline.read_silver(spark, again).count() == 4
+    assert again == rebuilt and pipeline.read_silver(spark, again).count() == 3
 
 
 def test_pipeline_without_files(spark, tmp_path):
