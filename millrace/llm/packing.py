@@ -293,7 +293,7 @@ def pack(
     table = spark.createDataFrame(
         slots(sizes, plan), "size long, low long, high long, count long, base long, place long"
     )
-    ranked = cut.join(firsts, ["size", "part"]).withColumn("rank", F.col("first") + F.col("local_rank"))
+    ranked = cut.drop("ids").join(firsts, ["size", "part"]).withColumn("rank", F.col("first") + F.col("local_rank"))
     placed = ranked.join(
         F.broadcast(table).withColumnRenamed("size", "class_size"),
         (F.col("size") == F.col("class_size")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")),
@@ -304,13 +304,16 @@ def pack(
     )
     order = Window.partitionBy("sequence_id").orderBy("slot")
     total = F.sum("length").over(Window.partitionBy("sequence_id"))
+    piece = ["part", "size", "local_rank"]
     is_power = F.bit_count(F.col("total")) == 1
-    return (
+    packed = (
         placed.withColumn("offset", F.sum("length").over(order) - F.col("length"))
         .withColumn("total", total)
         .select(
             "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
             F.when(is_power, 0).otherwise(sequence - F.col("total")).cast("long").alias("padding"),
-            *(["ids"] if keep_ids else []),
+            *piece,
         )
     )
+    # The ids join last, so they are shuffled once and not with each step.
+    return packed.join(cut.select(*piece, "ids"), piece).drop(*piece) if keep_ids else packed.drop(*piece)
