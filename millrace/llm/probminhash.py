@@ -7,13 +7,12 @@ matter, so a process ends there. Slots of two texts agree with the probability J
 of their weights. Bands of slots give buckets; buckets with the same texts count once.
 
 A bucket is not expanded into pairs. Its greatest spanning tree by slot agreement names
-the pairs to verify on whole texts: a tree joins what any threshold joins. What the
-verified pairs left apart is looked at again: in each of its buckets a text names its
-nearest texts of other components, as long as a round of this finds a link. (A link is
-missed if slot agreement ranks it behind other pairs below the threshold in all of
-the up to 32 buckets that two texts share.)
-Buckets above CHUNK texts are cut by a hash of text and band, so that texts that share
-several bands meet in different company. Linked texts form classes.
+the pairs to verify on whole texts: a tree joins what any threshold joins. (For the
+trees alone, buckets above CHUNK texts are cut by a hash of text and band.) Then the
+rest: in a bucket that still holds several components, every text outside the largest
+one is compared with all texts of other components, in blocks of bounded size; each
+pair with the least slot agreement is verified, once, in the first bucket it shares.
+Linked texts form classes.
 
 A pair is linked when its plain or its probability Jaccard reaches the threshold.
 
@@ -42,9 +41,11 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 #: Slots of a pair at the threshold agree less often than this with probability 3e-6.
 LEAST_AGREEMENT = 0.64
-#: Most texts of a bucket in one task, and how many neighbours a text names in a round.
+#: Most texts of one tree; about how many texts and bytes of text a side of a block holds.
 CHUNK = 1024
-NEIGHBOURS = 2
+BLOCK, BLOCK_BYTES = 512, 1 << 24
+#: Candidates of a text that are verified at a time.
+STEP = 64
 
 
 def signature(weighted: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarray:
@@ -118,7 +119,7 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """``key``, ``bands`` and ``sketch`` of distinct texts."""
+    """``key``, ``bytes``, ``bands`` and ``sketch`` of distinct texts."""
 
     def batch(values: pa.Array) -> pa.Array:
         found = [sign(text) for text in texts(values)]
@@ -126,17 +127,19 @@ def _signed(rows: DataFrame) -> DataFrame:
         return pa.StructArray.from_arrays([bands, pa.array([s for _, s in found], pa.binary())], ["bands", "sketch"])
 
     kind = "struct<bands: array<bigint>, sketch: binary>"
-    return rows.select("key", F.arrow_udf(batch, kind)("text").alias("s")).select("key", "s.*")
+    size = F.octet_length("text").alias("bytes")
+    return rows.select("key", size, F.arrow_udf(batch, kind)("text").alias("s")).select("key", "bytes", "s.*")
 
 
 def _members(signed: DataFrame) -> DataFrame:
-    """``band``, ``chunk``, ``key`` and ``sketch`` of all buckets with two texts or more."""
+    """``band``, ``n`` (texts of the bucket), ``chunk``, ``key``, ``sketch`` and ``bytes``
+    (of the text) of all buckets with two texts or more."""
     banded = signed.select("key", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("content"))
     unique = buckets.where("n > 1").groupBy("content", "n").agg(F.min("band").alias("band"))
     chunk = F.pmod(F.xxhash64("key", "band"), F.ceil(F.col("n") / CHUNK))
-    met = banded.join(unique.select("band", "n"), "band").select("band", chunk.alias("chunk"), "key")
-    return met.join(signed.select("key", "sketch"), "key")
+    met = banded.join(unique.select("band", "n"), "band").select("band", "n", chunk.alias("chunk"), "key")
+    return met.join(signed.drop("bands"), "key")
 
 
 def _sketches(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
@@ -144,6 +147,10 @@ def _sketches(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
     return keys, np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
 
 
+def _agreed(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return (sketches == one).sum(axis=1)
+
+
 def _pairs(pairs: set[tuple[bytes, bytes]]) -> pa.Table:
     return pa.table({
         "leader": pa.array([a for a, _ in pairs], pa.binary()), "key": pa.array([b for _, b in pairs], pa.binary())
@@ -153,12 +160,12 @@ def _pairs(pairs: set[tuple[bytes, bytes]]) -> pa.Table:
 def _tree(group: pa.Table) -> pa.Table:
     """Edges of the greatest spanning forest by agreement, above the least one."""
     keys, sketches = _sketches(group)
-    least = LEAST_AGREEMENT * sketches.shape[1]
+    least = LEAST_AGREEMENT * sketches.shape[-1]
     best, parent = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
     outside, at, pairs = np.ones(len(keys), bool), 0, set()
     for _ in range(len(keys) - 1):
         outside[at] = False
-        agreed = (sketches == sketches[at]).sum(axis=1)
+        agreed = _agreed(sketches, sketches[at])
         nearer = agreed > best
         best[nearer], parent[nearer] = agreed[nearer], at
         at = int(np.argmax(np.where(outside, best, -2)))
@@ -167,19 +174,61 @@ def _tree(group: pa.Table) -> pa.Table:
     return _pairs(pairs)
 
 
-def _neighbours(group: pa.Table) -> pa.Table:
-    """For each text, the nearest ones of other components, above the least agreement."""
+def _linked(mine: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Which weighted sets reach the threshold with ``mine``, as ``similarity`` finds."""
+    sizes = np.array([len(ids) for ids, _ in others])
+    ids = np.concatenate([ids for ids, _ in others])
+    place = np.minimum(np.searchsorted(mine[0], ids), len(mine[0]) - 1)
+    shared = np.add.reduceat((mine[0][place] == ids).astype(np.int64), np.cumsum(sizes) - sizes)
+    linked = shared / (len(mine[0]) + sizes - shared) >= THRESHOLD
+    once = (mine[1] == 1).all()
+    for j in np.flatnonzero(~linked & (shared > 0)):
+        if not (once and (others[j][1] == 1).all()):
+            linked[j] = similarity(mine, others[j])[1] >= THRESHOLD
+    return linked
+
+
+def _rest(group: pa.Table) -> pa.Table:
+    """Links between the left and the right texts of a block that join components.
+
+    Every pair of different components is verified that has the least agreement and
+    shares no earlier bucket, until its components are joined by another pair.
+    """
     keys, sketches = _sketches(group)
-    least = LEAST_AGREEMENT * sketches.shape[1]
+    least = LEAST_AGREEMENT * sketches.shape[-1]
+    band, left, small = group.column("band")[0].as_py(), *(
+        np.array(group.column(c).to_pylist(), bool) for c in ("left", "small")
+    )
     numbers: dict[bytes, int] = {}
-    roots = np.array([numbers.setdefault(r, len(numbers)) for r in group.column("root").to_pylist()])
-    pairs = set()
-    for i in range(len(keys) if len(numbers) > 1 else 0):
-        others = np.flatnonzero(roots != roots[i])
-        agreed = (sketches[others] == sketches[i]).sum(axis=1)
-        nearest = np.argsort(-agreed, kind="stable")[:NEIGHBOURS]
-        for j in others[nearest[agreed[nearest] >= least]]:
-            pairs.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
+    comp = np.array([numbers.setdefault(r, len(numbers)) for r in group.column("root").to_pylist()])
+    place = {key: n for n, key in enumerate(sorted(set(keys)))}
+    rank = np.array([place[key] for key in keys])
+    lists = [np.array(own) for own in group.column("bands").to_pylist()]
+    bands = np.full((len(keys), max(map(len, lists))), band)  # filled up with what no text looks for
+    for n, own in enumerate(lists):
+        bands[n, : len(own)] = own
+    text, known = group.column("text"), {}
+
+    def weighted(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if rank[i] not in known:
+            known[rank[i]] = _weighted(text[int(i)].as_py())
+        return known[rank[i]]
+
+    right, pairs = np.flatnonzero(~left), set()
+    for i in np.flatnonzero(left):
+        # Two texts outside the largest component meet twice, as left and right.
+        others = right[(comp[right] != comp[i]) & (~small[right] | (rank[right] > rank[i]))]
+        agreed = _agreed(sketches[others], sketches[i])
+        others, agreed = others[agreed >= least], agreed[agreed >= least]
+        new = ~np.isin(bands[others], lists[i][lists[i] < band]).any(axis=1)
+        others = others[new][np.argsort(-agreed[new], kind="stable")]
+        for at in range(0, len(others), STEP):
+            some = others[at : at + STEP]
+            some = some[comp[some] != comp[i]]
+            for j in some[_linked(weighted(i), [weighted(j) for j in some])] if len(some) else ():
+                if comp[j] != comp[i]:
+                    pairs.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
+                    comp[comp == comp[j]] = comp[i]
     return _pairs(pairs)
 
 
@@ -210,9 +259,54 @@ def _check(pairs: DataFrame, involved: DataFrame) -> DataFrame:
     return materialize(checked, "checked")
 
 
-def _components(tested: DataFrame) -> DataFrame:
-    linked = tested.where(F.greatest("plain", "probable") >= THRESHOLD)
-    return materialize(components(linked.select(F.col("leader").alias("a"), F.col("key").alias("b"))), "roots")
+def _links(tested: DataFrame) -> DataFrame:
+    return tested.where(F.greatest("plain", "probable") >= THRESHOLD).select("leader", "key")
+
+
+def _components(links: DataFrame) -> DataFrame:
+    return materialize(components(links.toDF("a", "b")), "roots")
+
+
+def _with_roots(members: DataFrame, found: DataFrame) -> DataFrame:
+    rooted = members.join(found.withColumnRenamed("node", "key"), "key", "left")
+    return rooted.withColumn("root", F.coalesce("root", "key"))
+
+
+def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with the number of blocks
+    per side; ``small`` is true outside the largest component. (The tree of a bucket of
+    two texts has compared all there is.)"""
+    rooted = _with_roots(members.where("n > 2"), found)
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    buckets = sizes.groupBy("band").agg(
+        F.count("*").alias("components"), F.max(F.struct("n", "bytes", "root")).alias("main"),
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+    ).where("components > 1")
+
+    def blocks(n, size):
+        return F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES, F.lit(1)))
+
+    several = buckets.select(
+        "band", F.col("main.root").alias("main"), blocks(F.col("n"), F.col("bytes")).alias("rights"),
+        blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("lefts"),
+    )
+    return rooted.drop("n").join(several, "band").withColumn("small", F.col("root") != F.col("main"))
+
+
+def _joined_rest(apart: DataFrame, involved: DataFrame) -> DataFrame:
+    """Links that join components, from ``_apart``: each text outside the largest
+    component of its bucket against all texts of the bucket, block by block."""
+    a, b = F.pmod(F.xxhash64("key"), "lefts"), F.pmod(F.xxhash64("key", F.lit(1)), "rights")
+    columns = ["band", "key", "root", "sketch", "small"]
+    left = apart.where("small").select(
+        *columns, F.lit(True).alias("left"), a.alias("a"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("b")
+    )
+    right = apart.select(
+        *columns, F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("a"), b.alias("b")
+    )
+    bands = apart.groupBy("key").agg(F.collect_list("band").alias("bands"))
+    sides = left.union(right).join(bands.join(involved, "key"), "key")
+    return sides.groupBy("band", "a", "b").applyInArrow(_rest, "leader binary, key binary")
 
 
 def roots(rows: DataFrame) -> DataFrame:
@@ -221,18 +315,12 @@ def roots(rows: DataFrame) -> DataFrame:
     members = materialize(_members(materialize(_signed(distinct), "signed")), "members")
     involved = materialize(distinct.join(members.select("key").distinct(), "key", "left_semi"), "texts")
     named = members.groupBy("band", "chunk").applyInArrow(_tree, "leader binary, key binary")
-    tested = _check(named.distinct(), involved)
-    found = _components(tested)
-    while True:
-        rooted = members.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
-            "root", F.coalesce("root", "key")
-        )
-        named = rooted.groupBy("band", "chunk").applyInArrow(_neighbours, "leader binary, key binary")
-        more = _check(named.distinct().join(tested, ["leader", "key"], "left_anti"), involved)
-        if more.where(F.greatest("plain", "probable") >= THRESHOLD).isEmpty():
-            return found
-        tested = materialize(tested.union(more), "tested")
-        found = _components(tested)
+    found = _components(_links(_check(named.distinct(), involved)))
+    apart = materialize(_apart(members, found), "apart")
+    if apart.isEmpty():
+        return found
+    rest = materialize(_joined_rest(apart, involved), "rest")
+    return found if rest.isEmpty() else _components(found.select("node", "root").union(rest))
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

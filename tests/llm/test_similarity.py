@@ -9,6 +9,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -237,6 +238,46 @@ def test_probminhash_groups(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(by_hand(texts).values()))
 
 
+def star(leaves, edits, seed, size=400):
+    """A text and copies of it with other edits each: near to it, and less near to each other."""
+    draw = random.Random(seed)
+    base = ["".join(draw.choices("abcdefg", k=8)) for _ in range(size)]
+    texts = {0: " ".join(base)}
+    for i in range(1, leaves + 1):
+        copy = list(base)
+        for place in draw.sample(range(size // 5), edits):
+            copy[5 * place + 2] = "edit%d" % i
+        texts[i] = " ".join(copy)
+    return texts
+
+
+def classes_of(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r["doc_id"]: r["class_id"] for r in probminhash.classes(docs).collect()}
+
+
+def test_probminhash_rest_reaches_a_partner_that_ranks_behind_others():
+    """Copies at 0.816 to the first text and 0.796 to each other, the first one agreeing least in its slots."""
+    base = star(0, 0, 11)[0].split()
+    texts = [" ".join(base)]
+    for i in range(1, 41):
+        copy = list(base)
+        for place in [*range(1, 8), 7 + i]:
+            copy[5 * place + 2] = "edit%d" % i
+        texts.append(" ".join(copy))
+    first, second, third = map(probminhash._weighted, texts[:3])
+    assert max(probminhash.similarity(second, third)) < 0.8 <= max(probminhash.similarity(first, second))
+    size = len(texts)
+    slots = [b"\0" * 38 + b"\1" * 90] + [b"\1" * 128] * (size - 1)
+    keys = [b"%02d" % i for i in range(size)]
+    table = pa.table({
+        "key": [keys[1], *keys], "root": [keys[1], *keys], "sketch": [slots[1], *slots], "text": [texts[1], *texts],
+        "band": [7] * (size + 1), "bands": [[7]] * (size + 1), "left": [True] + [False] * size,
+        "small": [True] + [False] * size,
+    })
+    assert probminhash._rest(table).to_pylist() == [{"leader": keys[0], "key": keys[1]}]
+
+
 def test_probminhash_edge_cases(spark):
     rows = [(1, None), (2, ""), (2, ""), (None, "one text of some words here"), (None, "one text of some words here"), (3, "x " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
