@@ -8,8 +8,9 @@ of their weights. Bands of slots give buckets; buckets with the same texts count
 
 A bucket is not expanded into pairs. Its greatest spanning tree by slot agreement names
 the pairs to verify on whole texts: a tree joins what any threshold joins. (For the
-trees alone, buckets above CHUNK texts are cut by a hash of text and band.) Then the
-rest: in a bucket that still holds several components, every text outside the largest
+trees alone, buckets above CHUNK texts are cut by a hash of text and band; what is not
+linked in them is first compared with the text of the bucket that has most links.)
+Then the rest: in a bucket that still holds several components, every text outside the largest
 one is compared with all texts of other components, in blocks of bounded size; each
 pair with the least slot agreement is verified, once, in the first bucket it shares.
 Linked texts form classes.
@@ -272,6 +273,17 @@ def _with_roots(members: DataFrame, found: DataFrame) -> DataFrame:
     return rooted.withColumn("root", F.coalesce("root", "key"))
 
 
+def _hubs(members: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of a text and the one with most links in a bucket of several trees, where
+    they are of different components. They only leave less for the blocks."""
+    degree = links.select("key").union(links.select("leader")).groupBy("key").agg(F.count("*").alias("degree"))
+    rooted = _with_roots(members.where(F.col("n") > CHUNK), found).select("band", "key", "root")
+    best = F.max(F.struct("degree", F.col("key").alias("hub"), F.col("root").alias("hub_root"))).alias("best")
+    hubs = rooted.join(degree, "key").groupBy("band").agg(best).select("band", "best.*")
+    met = rooted.join(hubs, "band").where("root != hub_root")
+    return met.select(F.least("hub", "key").alias("leader"), F.greatest("hub", "key").alias("key")).distinct()
+
+
 def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, with the number of blocks
     per side; ``small`` is true outside the largest component. (The tree of a bucket of
@@ -315,7 +327,11 @@ def roots(rows: DataFrame) -> DataFrame:
     members = materialize(_members(materialize(_signed(distinct), "signed")), "members")
     involved = materialize(distinct.join(members.select("key").distinct(), "key", "left_semi"), "texts")
     named = members.groupBy("band", "chunk").applyInArrow(_tree, "leader binary, key binary")
-    found = _components(_links(_check(named.distinct(), involved)))
+    links = _links(_check(named.distinct(), involved))
+    found = _components(links)
+    if not members.where(F.col("n") > CHUNK).isEmpty():
+        near = _links(_check(_hubs(members, links, found), involved))
+        found = _components(found.select("node", "root").union(near))
     apart = materialize(_apart(members, found), "apart")
     if apart.isEmpty():
         return found

@@ -278,6 +278,13 @@ def test_probminhash_rest_reaches_a_partner_that_ranks_behind_others():
     assert probminhash._rest(table).to_pylist() == [{"leader": keys[0], "key": keys[1]}]
 
 
+def test_probminhash_star_in_a_bucket_of_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(probminhash, "CHUNK", 4)
+    monkeypatch.setattr(probminhash, "BLOCK", 16)
+    texts = star(120, 8, 12)
+    assert classes_of(spark, texts) == by_hand(texts) == dict.fromkeys(texts, 0)
+
+
 def test_probminhash_edge_cases(spark):
     rows = [(1, None), (2, ""), (2, ""), (None, "one text of some words here"), (None, "one text of some words here"), (3, "x " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
