@@ -1,6 +1,6 @@
 """Near-duplicates by ProbMinHash, banding and verification.
 
-Each distinct text is a set of five-word shingles weighted by their number. Every
+Each distinct sequence of words is a set of five-word shingles weighted by their number. Every
 shingle is a Poisson process whose rate is its weight: an arrival falls into a random
 slot, and a slot keeps its earliest arrival. Arrivals later than the latest slot cannot
 matter, so a process ends there. Slots of two texts agree with the probability Jaccard
@@ -17,8 +17,8 @@ Linked texts form classes.
 
 A pair is linked when its plain or its probability Jaccard reaches the threshold.
 
-Defined results: equal texts are one text (null is empty), so repeated rows share a
-class; texts of fewer than five words are one shingle; texts without a word match only
+Defined results: texts of equal words in equal order are one text (null is empty), so
+repeated rows and copies with other spaces or line breaks share a class; texts of fewer than five words are one shingle; texts without a word match only
 each other. The class id is the least document id of the class, null if all are null. An
 empty table gives an empty table. Other columns are ignored.
 """
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import texts
+from millrace.llm.common import SPACE, texts
 from millrace.llm.components import components
 from millrace.llm.hashing import mix, shingles
 from millrace.session import materialize
@@ -114,9 +114,14 @@ def _weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``text`` (null is empty) and ``key``, which equal texts share."""
-    words = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(doc_id).alias("doc_id"), words.alias("text"), F.unhex(F.md5(words)).alias("key"))
+    """``doc_id``, ``text`` (null is empty), its ``digest``, and ``key``, which texts of
+    the same words in the same order share."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    words = F.trim(F.regexp_replace(whole, f"[{SPACE}]+", " "))
+    return docs.select(
+        F.col(doc_id).alias("doc_id"), whole.alias("text"), F.unhex(F.md5(whole)).alias("digest"),
+        F.unhex(F.md5(words)).alias("key"),
+    )
 
 
 def _signed(rows: DataFrame) -> DataFrame:
@@ -340,11 +345,11 @@ def roots(rows: DataFrame) -> DataFrame:
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``key`` and ``root``, one row per document."""
+    """``doc_id``, ``digest`` and ``root``, one row per document."""
     rows = keyed(docs, doc_id, text)
     found = roots(rows).withColumnRenamed("node", "key")
-    rooted = rows.select("doc_id", "key").join(found, "key", "left")
-    return materialize(rooted.select("doc_id", "key", F.coalesce("root", "key").alias("root")), "rooted")
+    rooted = rows.select("doc_id", "digest", "key").join(found, "key", "left")
+    return materialize(rooted.select("doc_id", "digest", F.coalesce("root", "key").alias("root")), "rooted")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -357,13 +362,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of every class, with its columns: the one with the least id (null
     ids last), of repeated ids that with the least text hash."""
-    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("digest"))
     chosen = _rooted(docs, doc_id, text).groupBy("root").agg(F.min(first).alias("m"))
-    chosen = chosen.select(F.col("m.doc_id").alias("chosen_id"), F.col("m.key").alias("key"))
+    chosen = chosen.select(F.col("m.doc_id").alias("chosen_id"), F.col("m.digest").alias("digest"))
     rows = docs.select(
         F.struct("*").alias("row"),
-        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("key"),
+        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("digest"),
         F.col(doc_id).alias("id"),
     )
-    same = (rows["key"] == chosen["key"]) & rows["id"].eqNullSafe(chosen["chosen_id"])
-    return rows.join(chosen, same, "left_semi").dropDuplicates(["key", "id"]).select("row.*")
+    same = (rows["digest"] == chosen["digest"]) & rows["id"].eqNullSafe(chosen["chosen_id"])
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["digest", "id"]).select("row.*")

@@ -285,6 +285,15 @@ def test_probminhash_star_in_a_bucket_of_many_chunks(spark, monkeypatch):
     assert classes_of(spark, texts) == by_hand(texts) == dict.fromkeys(texts, 0)
 
 
+def test_probminhash_copies_with_other_spaces(spark, monkeypatch):
+    monkeypatch.setattr(probminhash, "CHUNK", 4)
+    words = star(0, 0, 13)[0].split()
+    texts = {i: " ".join(words[:i]) + "\n" * i + " \t".join(words[i:]) for i in range(1, 30)}
+    assert classes_of(spark, texts) == dict.fromkeys(texts, 1)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert [tuple(r) for r in probminhash.deduplicate(docs).collect()] == [(1, texts[1])]
+
+
 def test_probminhash_edge_cases(spark):
     rows = [(1, None), (2, ""), (2, ""), (None, "one text of some words here"), (None, "one text of some words here"), (3, "x " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
