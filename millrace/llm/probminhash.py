@@ -4,7 +4,9 @@ Each distinct sequence of words is a set of five-word shingles weighted by their
 shingle is a Poisson process whose rate is its weight: an arrival falls into a random
 slot, and a slot keeps its earliest arrival. Arrivals later than the latest slot cannot
 matter, so a process ends there. Slots of two texts agree with the probability Jaccard
-of their weights. Bands of slots give buckets; buckets with the same texts count once.
+of their weights. A text that repeats a shingle has a second signature in which all
+weights are 1, whose slots agree with the plain Jaccard; it is in the buckets of both,
+and counts by the one that agrees more. Bands of slots give buckets; buckets with the same texts count once.
 
 A bucket is not expanded into pairs. Its greatest spanning tree by slot agreement names
 the pairs to verify on whole texts: a tree joins what any threshold joins. (For the
@@ -77,15 +79,21 @@ def signature(weighted: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarr
 
 
 def sign(text: str) -> tuple[np.ndarray, bytes]:
-    """One bucket number per band (none for a text without a word), and a byte per slot."""
+    """The distinct bucket numbers of the bands (none for a text without a word), and a
+    byte per slot. If a shingle repeats, the ones with all weights 1 are there as well."""
     found = shingles(text, SHINGLE_WORDS)
     if not len(found):
         return np.empty(0, np.int64), b""
-    owner = signature(*np.unique(found, return_counts=True), BANDS * ROWS)
-    code = np.arange(BANDS, dtype=np.uint64)
-    for row in range(ROWS):
-        code = mix(code ^ owner.reshape(BANDS, ROWS)[:, row])
-    return code.view(np.int64), (mix(owner) & np.uint64(255)).astype(np.uint8).tobytes()
+    ids, counts = np.unique(found, return_counts=True)
+    codes, slots = [], []
+    for weights in [counts] if counts.max() == 1 else [counts, np.ones_like(counts)]:
+        owner = signature(ids, weights, BANDS * ROWS)
+        code = np.arange(BANDS, dtype=np.uint64)
+        for row in range(ROWS):
+            code = mix(code ^ owner.reshape(BANDS, ROWS)[:, row])
+        codes.append(code)
+        slots.append((mix(owner) & np.uint64(255)).astype(np.uint8).tobytes())
+    return np.unique(np.concatenate(codes)).view(np.int64), b"".join(slots)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
@@ -149,12 +157,16 @@ def _members(signed: DataFrame) -> DataFrame:
 
 
 def _sketches(group: pa.Table) -> tuple[list[bytes], np.ndarray]:
-    keys = group.column("key").to_pylist()
-    return keys, np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
+    """Keys, and slots by text, weighting and place (equal ones if a text has one signature,
+    one weighting if all have)."""
+    keys, found = group.column("key").to_pylist(), group.column("sketch").to_pylist()
+    most = max(map(len, found))
+    slots = np.frombuffer(b"".join(s * (most // len(s)) for s in found), np.uint8)
+    return keys, slots.reshape(len(keys), -1, BANDS * ROWS)
 
 
 def _agreed(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
-    return (sketches == one).sum(axis=1)
+    return (sketches == one).sum(axis=2).max(axis=1)
 
 
 def _pairs(pairs: set[tuple[bytes, bytes]]) -> pa.Table:

@@ -294,6 +294,14 @@ def test_probminhash_copies_with_other_spaces(spark, monkeypatch):
     assert [tuple(r) for r in probminhash.deduplicate(docs).collect()] == [(1, texts[1])]
 
 
+def test_probminhash_repeated_lines_count_once_for_the_plain_similarity(spark):
+    texts = {}
+    for i in range(0, 24, 2):
+        words = star(0, 0, 20 + i, 300)[0].split()
+        texts[i], texts[i + 1] = " ".join(words), " ".join(words + words[-15:] * 40)
+    assert classes_of(spark, texts) == by_hand(texts) == {i: i - i % 2 for i in texts}
+
+
 def test_probminhash_edge_cases(spark):
     rows = [(1, None), (2, ""), (2, ""), (None, "one text of some words here"), (None, "one text of some words here"), (3, "x " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
