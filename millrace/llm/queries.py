@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from millrace.llm import byte_bpe, chat_format, imatch, language_id, lm_scoring, packing, probminhash, quality_rules, suffix_dedup, warc_index
+from millrace.llm import (
+    byte_bpe, chat_format, imatch, language_id, lm_scoring, packing, probminhash, quality_rules, suffix_dedup, toxicity,
+    warc_index,
+)
 from millrace.llm.common import fold, table
 
 
@@ -127,6 +130,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+    scored = toxicity.score(docs, model).withColumn("score", F.col("found.score"))
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
@@ -138,4 +150,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch": op8_imatch,
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
+    "op11_toxicity": op11_toxicity,
 }
