@@ -100,8 +100,34 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
+NEGATIVES = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id::BIGINT AS vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS other_row, b.vec_id AS other_id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.r <> b.r
+), positives AS (
+  SELECT r, other_id AS positive_id, other_row AS positive_row, score AS positive_score
+  FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY r, positive_row ORDER BY score DESC, other_id)::INTEGER AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (r)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE = {
     "op2_chat_format": CHAT,
     "op3_warc_index": WARC,
     "op6_quality_rules": QUALITY,
+    "op13_hard_negatives": NEGATIVES,
 }

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm import (
-    byte_bpe, chat_format, imatch, language_id, lm_scoring, packing, probminhash, quality_rules, suffix_dedup, toxicity,
-    warc_index,
+    byte_bpe, chat_format, hard_negatives, imatch, language_id, lm_scoring, packing, probminhash, quality_rules,
+    suffix_dedup, toxicity, warc_index,
 )
 from millrace.llm.common import fold, table
 
@@ -139,6 +139,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
@@ -151,4 +155,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
     "op11_toxicity": op11_toxicity,
+    "op13_hard_negatives": op13_hard_negatives,
 }
