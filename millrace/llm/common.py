@@ -26,6 +26,17 @@ def texts(values: pa.Array) -> Iterable[str]:
         yield value.as_py() or ""
 
 
+#: Bytes to bytes: ASCII letters in lower case, digits, and all that is not ASCII; else a space.
+_TERM_BYTES = bytes(
+    c if c >= 128 else ord(chr(c).lower()) if chr(c).isalnum() else ord(" ") for c in range(256)
+)
+
+
+def terms(text: str) -> list[bytes]:
+    """The runs of ASCII letters (in lower case), digits and characters beyond ASCII."""
+    return text.encode().translate(_TERM_BYTES).split()
+
+
 def structs(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.Array:
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     arrays = [pa.array(column, kind) for column, kind in zip(columns, types)]

@@ -100,6 +100,33 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
+_TERM = _quote(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_TERMS = f"regexp_extract_all(translate({{}}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_TERM})"
+
+SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id::BIGINT AS doc_id, {_TERMS.format("coalesce(text, '')")} AS t FROM documents
+), stats AS (
+  SELECT count(*) FILTER (WHERE len(t) > 0) AS docs_n, sum(len(t))::BIGINT AS terms_n FROM docs
+), held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM docs) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, stats GROUP BY term, docs_n
+), items AS (
+  SELECT i, item_id, term, count(*) AS repeats
+  FROM (SELECT i, item_id, unnest({_TERMS.format("coalesce(text, '')")}) AS term
+    FROM (SELECT row_number() OVER () AS i, * FROM benchmark)) GROUP BY ALL
+), scored AS (
+  SELECT i, item_id, r, doc_id,
+    sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs_n) // terms_n))))::BIGINT AS score
+  FROM items JOIN held USING (term) JOIN weights USING (term), stats GROUP BY ALL
+)
+SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 NEGATIVES = """
 WITH rows AS (
   SELECT row_number() OVER () AS r, vec_id::BIGINT AS vec_id,
@@ -129,5 +156,6 @@ ORACLE = {
     "op2_chat_format": CHAT,
     "op3_warc_index": WARC,
     "op6_quality_rules": QUALITY,
+    "op12_ball_tree": SEARCH,
     "op13_hard_negatives": NEGATIVES,
 }

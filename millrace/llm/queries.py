@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm import (
-    byte_bpe, chat_format, hard_negatives, imatch, language_id, lm_scoring, packing, probminhash, quality_rules,
+    ball_tree, byte_bpe, chat_format, hard_negatives, imatch, language_id, lm_scoring, packing, probminhash, quality_rules,
     suffix_dedup, toxicity, warc_index,
 )
 from millrace.llm.common import fold, table
@@ -139,6 +139,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
@@ -155,5 +159,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_probminhash": op9_probminhash,
     "op10_packing": op10_packing,
     "op11_toxicity": op11_toxicity,
+    "op12_ball_tree": op12_ball_tree,
     "op13_hard_negatives": op13_hard_negatives,
 }

@@ -1,8 +1,8 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Toxic and ordinary texts each have a model of the characters inside a word: the chance
-of the next character after the ORDER - 1 before it (a word starts with ``^`` and ends
-with ``$``). Only the highest order is counted per class. All lower orders are Kneser-Ney
+of the next character after the ORDER - 1 before it (a word is a run
+of letters and digits in lower case, between ``^`` and ``$``). Only the highest order is counted per class. All lower orders are Kneser-Ney
 continuation counts that both classes share, so a rare expression is judged by the
 parts of it that the classes know, and what neither knows weighs nothing: there the
 difference of the log-likelihoods is that of the backoff weights alone.
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import row_struct, texts
+from millrace.llm.common import row_struct, terms, texts
 from millrace.session import materialize
 
 ORDER = 5
@@ -56,19 +56,9 @@ MEMORY_WORDS = 1 << 18
 
 START, STOP = "^", "$"
 
-#: Bytes to bytes: words are runs of ASCII letters, digits and all that is not ASCII.
-_LOWER = bytes(
-    c if c >= 128 or chr(c).isalnum() and not chr(c).isupper() else c + 32 if chr(c).isupper() else 32
-    for c in range(256)
-)
-
 FIELDS = {"whole": "double", "passage": "double"}
 
 
-def words(text: str) -> list[bytes]:
-    return text.encode().translate(_LOWER).split()
-
-
 class Model(NamedTuple):
     """``grams``: log-ratio of the classes by context and next character; ``backoff``:
     log-ratio by context, for any other character; ``curve``: offset and two weights."""
@@ -98,7 +88,7 @@ class _Ratios(dict):
 
 def _features(ratios: _Ratios, text: str) -> tuple[float, float]:
     """Log-ratio per word, of the whole text and of its most toxic passage."""
-    found = words(text)
+    found = terms(text)
     if not found:
         return 0.0, 0.0
     if len(ratios) > MEMORY_WORDS:
@@ -151,7 +141,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
         for toxic, text in zip(batch.column("toxic").to_pylist(), texts(batch.column("text"))):
-            counts.update((toxic, word) for word in words(text))
+            counts.update((toxic, word) for word in terms(text))
         yield pa.RecordBatch.from_pydict({
             "word": pa.array([word.decode() for _, word in counts], pa.string()),
             "toxic": pa.array([n if toxic else 0 for (toxic, _), n in counts.items()], pa.int64()),
