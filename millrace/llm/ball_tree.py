@@ -4,8 +4,9 @@ A document is a vector with a weight per term, an item the vector of its terms'
 the score is their inner product in 64-bit integers. Documents are gathered in trees of
 at most TREE_DOCS of them. A node of a tree knows the centroid of its documents and the
 radius of a ball around it, so no document below it scores more than (item, centroid) +
-|item| * radius; both are rounded up by more than floating point can lose. A tree is
-searched best bound first, until the best open bound is below the item's last place;
+|item| * radius. Terms that an item lacks make that radius large; so the terms are also dealt into
+GROUPS groups with a ball each, and the sum of the groups' bounds is taken where it is less. All
+bounds are rounded up by more than floating point can lose. A tree is searched best bound first, until the best open bound is below the item's last place;
 leaves are scored exactly. The last places are carried on from tree to tree.
 
 The items are taken in blocks of about QUERY_BYTES and QUERY_ITEMS (an item is never cut), and every
@@ -37,7 +38,8 @@ from millrace.session import materialize
 
 TOP = 10
 TREE_DOCS, TREE_ENTRIES = 8192, 1 << 22
-LEAF_DOCS = 32
+LEAF_DOCS = 16
+GROUPS = 4096
 QUERY_BYTES, QUERY_ITEMS = 8 << 20, 4096
 #: Relative room for rounding: a sum of n products is off by less than n * 2**-52 of its terms.
 ROOM = 1e-9
@@ -51,7 +53,7 @@ class Tree:
         self.order = np.arange(len(starts) - 1)
         self.nodes: list[tuple[int, int]] = []
         self.children: list[tuple[int, int] | None] = []
-        self.balls: list[tuple[np.ndarray, np.ndarray, float]] = []
+        self.balls: list[tuple[np.ndarray, np.ndarray, float, np.ndarray, np.ndarray]] = []
         self._sizes = np.diff(starts)
         self._norms = np.add.reduceat(values.astype(float) ** 2, starts[:-1])
         self._build(starts, columns, values.astype(float), width)
@@ -88,7 +90,8 @@ class Tree:
             centroid = np.bincount(own, weights, width) / len(docs)
             _, distances = away(centroid)
             used = np.flatnonzero(centroid)
-            self.balls.append((used, centroid[used], float(np.sqrt(distances.max()))))
+            groups, radii = _group_radii(own, weights, self._sizes[docs], used, centroid)
+            self.balls.append((used, centroid[used], float(np.sqrt(distances.max())), groups, radii))
             if len(docs) <= LEAF_DOCS:
                 continue
             # Two documents far apart; the others go to the nearer one, in halves.
@@ -106,14 +109,22 @@ class Tree:
             todo += [(middle, high, node), (low, middle, node)]
 
     def bounds(self, item_starts: np.ndarray, item_columns: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
-        """By node and item, what no document of the node exceeds; items in CSR form, none empty."""
-        norms = np.sqrt(np.add.reduceat(counts.astype(float) ** 2, item_starts[:-1]))
-        found = np.empty((len(self.nodes), len(norms)))
-        dense = np.zeros(width)
-        for node, (used, centroid, radius) in enumerate(self.balls):
-            dense[used] = centroid
-            found[node] = np.add.reduceat(dense[item_columns] * counts, item_starts[:-1]) + norms * radius
-            dense[used] = 0
+        """By item and node, what no document of the node exceeds; items in CSR form, none empty."""
+        squares = counts.astype(float) ** 2
+        norms = np.sqrt(np.add.reduceat(squares, item_starts[:-1]))
+        # The items' norms by group, in CSR form as well.
+        key = np.repeat(np.arange(len(norms)), np.diff(item_starts)) * GROUPS + item_columns % GROUPS
+        keys, at = np.unique(key, return_inverse=True)
+        parts, part_groups = np.sqrt(np.bincount(at, squares)), keys % GROUPS
+        part_starts = np.searchsorted(keys, np.arange(len(norms)) * GROUPS)
+        found = np.empty((len(norms), len(self.nodes)))
+        dense, by_group = np.zeros(width), np.zeros(GROUPS)
+        for node, (used, centroid, radius, groups, radii) in enumerate(self.balls):
+            dense[used], by_group[groups] = centroid, radii
+            middle = np.add.reduceat(dense[item_columns] * counts, item_starts[:-1])
+            apart = np.add.reduceat(by_group[part_groups] * parts, part_starts)
+            found[:, node] = middle + np.minimum(norms * radius, apart)
+            dense[used], by_group[groups] = 0, 0
         return found * (1 + ROOM)
 
     def leaf_scores(self, node: int, item: np.ndarray) -> tuple[int, np.ndarray]:
@@ -124,6 +135,27 @@ class Tree:
         return low, np.add.reduceat(products, self.starts[low:high] - start)
 
 
+def _group_radii(
+    columns: np.ndarray, values: np.ndarray, sizes: np.ndarray, used: np.ndarray, centroid: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of the terms ``used``, and the radius of the documents around the centroid in
+    each; ``sizes`` are the documents' numbers of entries."""
+    base = np.bincount(used % GROUPS, centroid[used] ** 2, GROUPS)
+    key = columns % GROUPS * len(sizes) + np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(key, kind="stable")
+    key, near = key[order], centroid[columns[order]]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    # A document without an entry is off by the centroid alone: the base of the group.
+    square, product = values[order] ** 2, values[order] * near
+    change = np.add.reduceat(square - 2 * product, starts)
+    room = ROOM * np.add.reduceat(square + 2 * product, starts)
+    of = key[starts] // len(sizes)
+    firsts = np.flatnonzero(np.diff(of, prepend=-1))
+    groups = of[firsts]
+    most = np.maximum(np.maximum.reduceat(change + room, firsts), 0.0)
+    return groups, np.sqrt(base[groups] * (1 + ROOM) + most)
+
+
 class Items(NamedTuple):
     """A block of items in CSR form, over numbers of terms."""
 
@@ -165,7 +197,7 @@ class _Best:
 def _search(tree: Tree, items: Items, columns: np.ndarray, width: int, ids: list, rows: list[int], best: list[_Best]) -> int:
     """Improve ``best`` by the documents of a tree; ``columns`` are the items' in the tree's
     numbering (``width`` for terms that it lacks). Returns how many leaves were scored."""
-    bounds = tree.bounds(items.starts, columns, items.counts, width + 1).T
+    bounds = tree.bounds(items.starts, columns, items.counts, width + 1)
     dense, scored = np.zeros(width + 1, np.int64), 0
     for item, mine in enumerate(best):
         entries = slice(items.starts[item], items.starts[item + 1])
