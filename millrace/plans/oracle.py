@@ -182,13 +182,16 @@ ORACLE: dict[str, str] = {
              count(*) AS row_count FROM sensor GROUP BY 1""",
     "dq_metrics": f"""WITH {SENSOR},
       counts AS (
-        SELECT count(*) AS n, count(device_id) AS kept, count(*) - count(device_id) AS dropped,
-               count(*) FILTER (device_id IS NOT NULL AND coalesce(temperature_celsius < 40, FALSE)) AS cool
-        FROM sensor)
+        SELECT count(*) AS n, count(*) FILTER (valid) AS kept, count(*) FILTER (NOT valid) AS dropped,
+               count(*) FILTER (device_id IS NULL) AS no_device,
+               count(*) FILTER (event_timestamp IS NULL) AS no_time,
+               count(*) FILTER (valid AND coalesce(temperature_celsius < 40, FALSE)) AS cool
+        FROM (SELECT *, device_id IS NOT NULL AND event_timestamp IS NOT NULL AS valid FROM sensor))
       SELECT 'bronze' AS table_name, 'rows_in' AS metric, n AS "value" FROM counts
       UNION ALL SELECT 'silver_drop', 'rows_in', n FROM counts
       UNION ALL SELECT 'silver_drop', 'rows_passed', kept FROM counts
-      UNION ALL SELECT 'silver_drop', 'failed__valid_device_id', dropped FROM counts
+      UNION ALL SELECT 'silver_drop', 'failed__valid_device_id', no_device FROM counts
+      UNION ALL SELECT 'silver_drop', 'failed__valid_event_time', no_time FROM counts
       UNION ALL SELECT 'silver', 'rows_in', kept FROM counts
       UNION ALL SELECT 'silver', 'rows_passed', cool FROM counts
       UNION ALL SELECT 'silver', 'failed__warn_on_high_temp', kept - cool FROM counts
