@@ -4,16 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-from millrace.operators.ordered import POSITION, SLICE, ordered_slices
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+    VariantType,
+)
 
 START = "__START_AT"
 END = "__END_AT"
 
-# A key with more changes than this leaves its single task and is cut into slices.
+# Keys are counted in so many groups by their hash; those of a group with more changes
+# than HOT_ROWS are cut into slices of their time.
+KEY_GROUPS = 1 << 16
 HOT_ROWS = 20_000_000
 
+# Number of time slices: no task holds more changes of a hot key than about all changes
+# of hot keys divided by it.
+SLICES = 1024
+
+# Counter of the rows that have no key.
+NO_KEY = "dropped__no_key"
+
 
 def scd2(
     log: DataFrame,
@@ -23,140 +42,181 @@ def scd2(
     except_columns: Sequence[str] = (),
     coalesce_unchanged: bool = True,
     hot_rows: int | None = HOT_ROWS,
+    metrics: Observation | str | None = None,
 ) -> DataFrame:
     """History of a change log: one row per version, open versions end in NULL.
 
     Changes are placed by ``sequence_by``, not by arrival. Of several changes of
     a key at one sequence value the last by ``tie_breakers`` counts (then by the
     remaining values, so that the result is fixed). NULLs in a change overwrite.
-    ``except_columns`` are left out of the result and of change detection.
-    Rows without a key are dropped, a row without a sequence value is an error.
-
-    Keys with at most ``hot_rows`` changes take one shuffle by key and one sort.
-    Hotter keys are cut into slices of their sequence, so that no task holds a
-    whole key. ``hot_rows=None`` skips the search for them.
+    ``except_columns`` are left out of the result and of change detection. A row
+    without a sequence value is an error. Rows without a key are dropped, and
+    counted if ``metrics`` is given. User columns live inside structs, so any name
+    may be theirs but ``__START_AT`` and ``__END_AT``.
+
+    Nothing runs before the result is used. Keys with at most ``hot_rows`` changes take
+    one shuffle by key and one sort. Groups of keys with more are found by counting, in the
+    same query (their numbers, KEY_GROUPS at most, are sent to every task), and leave before that
+    shuffle: their changes at one instant are merged, their time is cut into slices of about equal
+    shares, windows run per key and slice, and what crosses a slice comes from a window
+    over the first and last version of every slice. Both ways give the same history.
+    ``hot_rows=None`` leaves the second one out.
     """
-    keys = list(keys)
-    values = [c for c in log.columns if c not in keys and c not in except_columns]
+    changes, values = _changes(log, list(keys), sequence_by, tie_breakers, except_columns, metrics)
+    if hot_rows is None:
+        versions = _by_key(changes, coalesce_unchanged)
+    else:
+        rank = _rank(F.col("at"), log.schema[sequence_by].dataType)
+        hot = F.broadcast(_hot_groups(changes, hot_rows))
+        cold = _by_key(changes.join(hot, "hash", "left_anti"), coalesce_unchanged)
+        many = changes.join(hot, "hash", "left_semi")
+        last = many.groupBy("key", "at").agg(F.max_by("row", "tie").alias("row"))
+        versions = cold.unionByName(_by_slice(_sliced(last, many, rank), coalesce_unchanged))
+    return versions.select(
+        *[F.col(f"key.{_quoted(c)}").alias(c) for c in keys],
+        *[F.col(f"row.{_quoted(c)}").alias(c) for c in values],
+        F.col("at").alias(START),
+        F.col("until").alias(END),
+    )
+
+
+def value_columns(columns: Sequence[str], keys: Sequence[str], except_columns: Sequence[str]) -> list[str]:
+    """The columns of a change log whose changes make versions."""
+    values = [c for c in columns if c not in keys and c not in except_columns]
     if not values:
         raise ValueError("a history needs at least one value column")
+    taken = {START, END} & {*keys, *values}
+    if taken:
+        raise ValueError(f"the history has columns of its own with these names: {sorted(taken)}")
+    return values
+
+
+def _changes(
+    log: DataFrame, keys: list[str], sequence_by: str, tie_breakers: Sequence[str],
+    except_columns: Sequence[str], metrics: Observation | str | None,
+) -> tuple[DataFrame, list[str]]:
+    """``key``, its ``hash``, ``at``, ``tie`` and ``row`` of the changes that have a key; the value columns."""
+    values = value_columns(log.columns, keys, except_columns)
     ties = list(dict.fromkeys([*tie_breakers, *values]))
-    needed = list(dict.fromkeys([*keys, sequence_by, *ties]))
-
-    changes = with_key(with_sequence(log.select(*needed), sequence_by), keys)
-
-    plan = dict(keys=keys, seq=sequence_by, values=values, coalesce=coalesce_unchanged)
-    hot = _hot_keys(log, keys, hot_rows) if hot_rows is not None else None
-    if hot is None:
-        return _history_by_key(changes, ties, **plan)
-    cold_part = _history_by_key(changes.join(hot, keys, "left_anti"), ties, **plan)
-    hot_part = _history_by_slice(changes.join(hot, keys, "left_semi"), ties, **plan)
-    return cold_part.unionByName(hot_part)
-
-
-def with_sequence(df: DataFrame, sequence_by: str) -> DataFrame:
-    """The same rows; one without a sequence value stops the job."""
-    missing = F.raise_error(F.lit("change without a sequence value"))
-    sequence = F.coalesce(F.col(sequence_by), missing.cast(df.schema[sequence_by].dataType))
-    return df.withColumn(sequence_by, sequence)
-
-
-def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows that have every key column."""
+    has_key = F.lit(True)
     for key in keys:
-        df = df.where(F.col(key).isNotNull())
-    return df
-
-
-# Rows of a hot key that the search for hot keys expects to see.
-HOT_SIGHTINGS = 1000
-
-# So many hot keys at most are sent to every task. More of them are joined with a
-# shuffle, where adaptive execution splits the partitions of the hot keys.
-BROADCAST_KEYS = 100_000
-
-
-def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than about ``hot_rows`` changes, a few per ``hot_rows`` rows.
-
-    This only chooses the way a key takes, and both ways give the same history,
-    so a sample of the key columns is enough; it spares a shuffle of all keys.
+        has_key = has_key & F.col(_quoted(key)).isNotNull()
+    rows = log
+    if metrics is not None:
+        rows = rows.observe(metrics, F.count(F.lit(1)).alias("rows_in"), F.count_if(~has_key).alias(NO_KEY))
+    missing = F.raise_error(F.lit("change without a sequence value")).cast(log.schema[sequence_by].dataType)
+    return rows.where(has_key).select(
+        F.struct(*map(_quoted, keys)).alias("key"),
+        F.pmod(F.xxhash64(*map(_quoted, keys)), F.lit(KEY_GROUPS)).cast("int").alias("hash"),
+        F.coalesce(F.col(_quoted(sequence_by)), missing).alias("at"),
+        F.struct(*[_orderable(c, log.schema[c].dataType).alias(f"t{i}") for i, c in enumerate(ties)]).alias("tie"),
+        F.struct(*map(_quoted, values)).alias("row"),
+    ), values
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _orderable(column: str, dtype: DataType) -> Column:
+    """The column, or its JSON text where Spark cannot order its type."""
+    value = F.col(_quoted(column))
+    return F.to_json(F.struct(value.alias("v"))) if _has_no_order(dtype) else value
+
+
+def _has_no_order(dtype: DataType) -> bool:
+    if isinstance(dtype, ArrayType):
+        return _has_no_order(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return any(_has_no_order(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (MapType, VariantType))
+
+
+def _rank(value: Column, dtype: DataType) -> Column:
+    """A number that never falls where the sequence rises; equal numbers share a slice."""
+    if isinstance(dtype, NumericType):
+        return value.cast("double")
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(dtype, TimestampNTZType):
+        parts = F.struct(F.unix_date(value.cast("date")).cast("double").alias("d"), value.alias("t"))
+        seconds = F.hour(parts["t"]) * 3600 + F.minute(parts["t"]) * 60 + F.second(parts["t"])
+        return parts["d"] * 86400 + seconds
+    if isinstance(dtype, DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(dtype, StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.lit(0.0)
+
+
+def _hot_groups(changes: DataFrame, hot_rows: int) -> DataFrame:
+    """``hash`` of the groups of keys with more than ``hot_rows`` changes."""
+    counted = changes.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > hot_rows).select("hash")
+
+
+def _by_key(changes: DataFrame, coalesce_unchanged: bool) -> DataFrame:
+    """``key``, ``row``, ``at`` and ``until``; all windows share one partitioning and one sort."""
+    per_key = Window.partitionBy("key")
+    by_at = per_key.orderBy("at")
+    following = F.lead("at").over(per_key.orderBy("at", "tie"))
+    rows = changes.withColumn("following", following).where(~F.col("following").eqNullSafe(F.col("at")))
+    if coalesce_unchanged:
+        rows = rows.withColumn("before", F.lag(F.struct("row")).over(by_at))
+        rows = rows.where(F.col("before").isNull() | ~_same("before.row", "row", changes.schema["row"].dataType))
+    return rows.withColumn("until", F.lead("at").over(by_at)).select("key", "row", "at", "until")
+
+
+def _same(a: str, b: str, dtype: DataType) -> Column:
+    """Whether two columns are equal or both null; JSON text stands for what has no order."""
+    one, other = F.col(a), F.col(b)
+    if _has_no_order(dtype):
+        one, other = F.to_json(F.struct(one.alias("v"))), F.to_json(F.struct(other.alias("v")))
+    return one.eqNullSafe(other)
+
+
+def _sliced(rows: DataFrame, changes: DataFrame, rank: Column) -> DataFrame:
+    """Adds the number of the time slice of ``at``: how many of the changes' quantiles are
+    not above it.
+
+    The quantiles are one row, which is sent to every task.
     """
-    share = min(1.0, HOT_SIGHTINGS / hot_rows) if hot_rows else 1.0
-    seen = with_key(log.select(*keys), keys)
-    if share < 1.0:
-        seen = seen.sample(share, seed=0)
-    found = (
-        seen.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_changes"))
-        .where(F.col("_changes") > hot_rows * share)
-        .select(*keys)
-    )
-    rows = found.collect()
-    if not rows:
-        return None
-    hot = log.sparkSession.createDataFrame(rows, found.schema)
-    return F.broadcast(hot) if len(rows) <= BROADCAST_KEYS else hot
-
-
-def _history_by_key(
-    changes: DataFrame, ties: list[str], keys: list[str], seq: str, values: list[str], coalesce: bool
-) -> DataFrame:
-    """All windows share the partitioning and the sort of the first one."""
-    per_key = Window.partitionBy(*keys)
-    by_tie = per_key.orderBy(seq, *ties)
-    by_seq = per_key.orderBy(seq)
-    versions = changes.withColumn("_next", F.lead(seq).over(by_tie)).where(
-        ~F.col("_next").eqNullSafe(F.col(seq))
+    # One literal: a plan with a literal per quantile takes longer to analyse than to run.
+    shares = F.split(F.lit(",".join(str(i / SLICES) for i in range(1, SLICES))), ",").cast("array<double>")
+    cuts = changes.agg(F.percentile_approx(rank, shares, 20 * SLICES).alias("cuts"), F.lit(0).alias("one"))
+    # A binary search: every step moves on if the quantile in the middle is not above.
+    steps = ", ".join(str(SLICES >> i) for i in range(1, SLICES.bit_length()))
+    number = f"aggregate(array({steps}), 0, (n, step) -> if(get(cuts, n + step - 1) <= rank, n + step, n))"
+    placed = rows.withColumns({"rank": rank, "one": F.lit(0)}).join(F.broadcast(cuts), "one")
+    return placed.select("key", "at", "row", F.expr(number).alias("slice"))
+
+
+def _by_slice(rows: DataFrame, coalesce_unchanged: bool) -> DataFrame:
+    """The same as ``_by_key`` from one row per key and instant, with its slice."""
+    dtype = rows.schema["row"].dataType
+    inside = "OVER (PARTITION BY key, slice ORDER BY at)"
+    if coalesce_unchanged:
+        # The first row of a slice stays until the slice before is known.
+        rows = rows.withColumn("before", F.expr(f"lag(struct(row)) {inside}"))
+        rows = rows.where(F.col("before").isNull() | ~_same("before.row", "row", dtype))
+    rows = rows.selectExpr(
+        "key", "at", "row", "slice", f"row_number() {inside} = 1 AS first", f"lead(at) {inside} AS until"
     )
-    if coalesce:
-        versions = versions.withColumn("_values", F.struct(*values))
-        versions = versions.withColumn("_before", F.lag("_values").over(by_seq)).where(
-            ~F.col("_before").eqNullSafe(F.col("_values"))
-        )
-    versions = versions.withColumn(END, F.lead(seq).over(by_seq))
-    return versions.select(*keys, *values, F.col(seq).alias(START), F.col(END))
-
-
-def _history_by_slice(
-    changes: DataFrame, ties: list[str], keys: list[str], seq: str, values: list[str], coalesce: bool
-) -> DataFrame:
-    """The same history with windows per key and slice.
-
-    What a row needs from a neighbour slice comes from one border row per key and
-    slice. The joins with these and the windows use the same partitioning.
-    """
-    order = [F.col(c) for c in (*keys, seq, *ties)]
-    changes = ordered_slices(changes, order, "hot-history")
-    part = [*keys, SLICE]
-    inside = Window.partitionBy(*part).orderBy(POSITION)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-
-    def following(rows: DataFrame) -> DataFrame:
-        """Per key and slice: the sequence value that comes after the slice."""
-        firsts = rows.groupBy(*part).agg(F.min(seq).alias("_first"))
-        return firsts.select(*part, F.lead("_first").over(across).alias("_outside"))
-
-    rows = changes.join(following(changes), part)
-    following_seq = F.coalesce(F.lead(seq).over(inside), F.col("_outside"))
-    versions = rows.withColumn("_next", following_seq).where(~F.col("_next").eqNullSafe(F.col(seq)))
-    versions = versions.drop("_next", "_outside")
-    if coalesce:
-        # The last version of a slice is its last row that the next slice leaves alone.
-        lasts = rows.where(~F.col(seq).eqNullSafe(F.col("_outside")))
-        lasts = lasts.groupBy(*part).agg(F.max(POSITION).alias(POSITION))
-        lasts = rows.join(lasts, [*part, POSITION]).select(*part, F.struct(*values).alias("_last"))
-        preceding = lasts.select(*part, F.lag("_last").over(across).alias("_outside"))
-        before = F.coalesce(F.lag("_values").over(inside), F.col("_outside"))
-        versions = (
-            versions.join(preceding, part)
-            .withColumn("_values", F.struct(*values))
-            .withColumn("_before", before)
-            .where(~F.col("_before").eqNullSafe(F.col("_values")))
-            .drop("_values", "_before", "_outside")
-        )
-    versions = versions.join(following(versions), part).withColumn(END, following_seq)
-    return versions.select(*keys, *values, F.col(seq).alias(START), F.col(END))
+    # Border rows, the first and last of a slice, meet in one group per key; all others
+    # stay in groups of their slice. Newest first, so that looking ahead is looking back.
+    rows = rows.withColumn("border", F.expr("first OR until IS NULL"))
+    across = "OVER (PARTITION BY key, if(border, NULL, slice) ORDER BY at DESC"
+    if coalesce_unchanged:
+        rows = rows.withColumn("previous", F.expr(f"lead(struct(row)) {across})"))
+        unchanged = F.expr("first AND previous IS NOT NULL") & _same("previous.row", "row", dtype)
+    else:
+        unchanged = F.lit(False)
+    # Where the version before a slice ends: at the slice's first row, or, if that one
+    # changes nothing, at the next row of the slice, if there is one.
+    begins = "CASE WHEN first AND unchanged THEN until WHEN first THEN at END"
+    following = f"last({begins}, true) {across} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    rows = rows.withColumn("unchanged", unchanged).withColumn("following", F.expr(following))
+    return rows.where("NOT unchanged").selectExpr("key", "row", "at", "coalesce(until, if(border, following, NULL)) AS until")
 
 
 def current_rows(history: DataFrame, start_as: str = "modified_ts") -> DataFrame:

@@ -228,11 +228,8 @@ def streamed_history(order: list[int]) -> Query:
         for index in order:
             parts[index].write.mode("append").parquet(f"{root}/arrivals")
             changes = read_stream_table(spark, f"{root}/arrivals", log.schema)
-            scd2_stream(changes, f"{root}/table", f"{root}/checkpoint", buckets=8, **SCD2)
-        return read_history(
-            spark, f"{root}/table", log.schema, SCD2["keys"], SCD2["sequence_by"],
-            SCD2["except_columns"],
-        )
+            scd2_stream(changes, f"{root}/table", f"{root}/checkpoint", **SCD2)
+        return read_history(spark, f"{root}/table")
 
     return run
 

@@ -2,40 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StructType
 
-from millrace.operators.cdc import END, HOT_ROWS, START, scd2, with_key, with_sequence
-from millrace.sources.tables import is_committed, live_parts, read_versioned, write_version
+from millrace.operators.cdc import NO_KEY, scd2, value_columns
+from millrace.sources.tables import read_if_exists, start_stream_table
 
-BUCKETS = 64
-
-
-def history_schema(
-    log: StructType, keys: Sequence[str], sequence_by: str, except_columns: Sequence[str] = ()
-) -> StructType:
-    values = [f for f in log.fields if f.name not in keys and f.name not in except_columns]
-    bound = log[sequence_by].dataType
-    return StructType([*(log[k] for k in keys), *values]).add(START, bound).add(END, bound)
-
-
-def _at_least(column: str, dtype: DataType, rows: DataFrame) -> Column:
-    """``column >=`` the least value of the same column in ``rows``, as a constant."""
-    least = F.min(column)
-    if isinstance(dtype, TimestampType):
-        micros = rows.agg(F.unix_micros(least)).first()[0]
-        return F.col(column) >= F.timestamp_micros(F.lit(micros))
-    if isinstance(dtype, TimestampNTZType):
-        text = rows.agg(least.cast("string")).first()[0]
-        return F.col(column) >= F.lit(text).cast(dtype)
-    return F.col(column) >= F.lit(rows.agg(least).first()[0]).cast(dtype)
-
-
-#: Names of working columns; a change log must not have them.
-RESERVED = {"part", "batch_id", "version", "_first_change", "_slice", "_position", "_next", "_values"}
+OPTIONS = "options string"
 
 
 def scd2_stream(
@@ -47,89 +24,66 @@ def scd2_stream(
     tie_breakers: Sequence[str] = (),
     except_columns: Sequence[str] = (),
     coalesce_unchanged: bool = True,
-    buckets: int = BUCKETS,
-    hot_rows: int | None = HOT_ROWS,
+    name: str = "history",
 ) -> StreamingQuery:
     """Add the new changes to the history at ``target``, then stop.
 
-    The change log is kept under ``target/log``, by batch and key bucket. For a
-    key of the batch, the versions that ended before its first new change stay.
-    The rest is computed again from the version before that change and the log
-    from there on, so late changes need no special case, and changes in order
-    cost what is new. Other keys of the same buckets are copied, and untouched
-    buckets are not read. Use a new ``target`` with a new ``checkpoint``: batch
-    numbers name the versions.
-    """
-    taken = RESERVED & set(changes.columns)
-    if taken:
-        raise ValueError(f"columns with reserved names: {sorted(taken)}")
-    keys = list(keys)
-    by_key = ["part", *keys]
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    log_schema = StructType([*changes.schema.fields]).add("part", "integer").add("batch_id", "long")
-    sequence_type = changes.schema[sequence_by].dataType
-    result = history_schema(changes.schema, keys, sequence_by, except_columns)
-    first = F.col("_first_change")
-
-    def as_change(version: DataFrame) -> DataFrame:
-        """A version as the change that began it."""
-        given = {sequence_by: F.col(START), **{c: F.col(c) for c in (*keys, *result.names)}}
-        return version.select(
-            *[
-                given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in changes.schema.fields
-            ]
-        )
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        live = live_parts(spark, target)
-        if is_committed(live, batch_id):
-            return
-        placed = with_sequence(with_key(batch, keys), sequence_by).withColumn("part", bucket)
-        placed.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(
-            f"{target}/log/batch_id={batch_id}"
-        )
-        log = spark.read.schema(log_schema).parquet(f"{target}/log")
-        new = log.where(F.col("batch_id") == batch_id)
-        parts = sorted(row["part"] for row in new.select("part").distinct().collect())
-        if not parts:
-            return
-        touched = new.groupBy(*by_key).agg(F.min(sequence_by).alias("_first_change"))
+    A change opens a version, and the next change of its key ends it. So the table is
+    an append-only log of openings: a batch writes each of its changes once and reads
+    nothing, whether they come in order or late, and ``read_history`` finds the ends by one
+    pass of windows. The file sink commits whole batches; a batch that ran twice counts once.
 
-        in_parts = log.where((F.col("batch_id") <= batch_id) & F.col("part").isin(parts))
-        in_parts = in_parts.where(_at_least(sequence_by, sequence_type, new))
-        later = in_parts.join(touched, by_key).where(F.col(sequence_by) >= first)
-
-        before = read_versioned(spark, target, result, {p: live[p] for p in parts if p in live})
-        marked = before.join(touched, by_key, "left")
-        kept = marked.where(first.isNull() | (F.col(END) < first)).drop("_first_change")
-        begun = marked.where((F.col(START) < first) & (F.col(END).isNull() | (F.col(END) >= first)))
-
-        again = as_change(begun).unionByName(later.select(*changes.columns))
-        rebuilt = scd2(
-            again, keys, sequence_by, tie_breakers, except_columns, coalesce_unchanged, hot_rows
-        )
-        rows = rebuilt.withColumn("part", bucket).unionByName(kept)
-        write_version(rows, target, batch_id, parts, live)
-
-    query = (
-        changes.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    Changes without a key are counted in the query's progress under ``name`` and left out; one
+    without a sequence value stops the stream.
+    """
+    spark = changes.sparkSession
+    value_columns(changes.columns, list(keys), except_columns)
+    plan = {
+        "schema": changes.schema.json(), "keys": list(keys), "sequence_by": sequence_by,
+        "tie_breakers": list(tie_breakers), "except_columns": list(except_columns),
+        "coalesce_unchanged": coalesce_unchanged,
+    }
+    known = _plan(spark, target)
+    if known is None:
+        row = spark.createDataFrame([(json.dumps(plan),)], OPTIONS)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{target}/options")
+    elif known != plan:
+        raise ValueError(f"{target} was begun with other options: {known}")
+
+    def quoted(column: str):
+        return F.col("`" + column.replace("`", "``") + "`")
+
+    has_key = F.lit(True)
+    for key in keys:
+        has_key = has_key & quoted(key).isNotNull()
+    missing = F.raise_error(F.lit("change without a sequence value"))
+    sequence = F.coalesce(quoted(sequence_by), missing.cast(changes.schema[sequence_by].dataType))
+    rows = (
+        changes.observe(name, F.count(F.lit(1)).alias("rows_in"), F.count_if(~has_key).alias(NO_KEY))
+        .where(has_key)
+        .withColumn(sequence_by, sequence)
     )
+    query = start_stream_table(rows, f"{target}/log", checkpoint, name=name)
     query.awaitTermination()
     return query
 
 
-def read_history(
-    spark: SparkSession,
-    target: str,
-    log: StructType,
-    keys: Sequence[str],
-    sequence_by: str,
-    except_columns: Sequence[str] = (),
-) -> DataFrame:
-    schema = history_schema(log, keys, sequence_by, except_columns)
-    return read_versioned(spark, target, schema).drop("part")
+def _plan(spark: SparkSession, target: str) -> dict | None:
+    stored = read_if_exists(spark, f"{target}/options", OPTIONS)
+    row = stored.first() if stored is not None else None
+    return json.loads(row["options"]) if row else None
+
+
+def read_history(spark: SparkSession, target: str) -> DataFrame:
+    """The history of all changes so far."""
+    plan = _plan(spark, target)
+    if plan is None:
+        raise ValueError(f"no history at {target}")
+    schema = StructType.fromJson(json.loads(plan["schema"]))
+    log = read_if_exists(spark, f"{target}/log", schema)
+    if log is None:
+        log = spark.createDataFrame([], schema)
+    return scd2(
+        log, plan["keys"], plan["sequence_by"], plan["tie_breakers"], plan["except_columns"],
+        plan["coalesce_unchanged"],
+    )

@@ -67,28 +67,78 @@ def test_hot_keys_give_the_same_history(spark, hot_rows, coalesce):
     assert got(sliced) == expected_history(rows, coalesce)
 
 
-def test_many_hot_keys_are_joined_with_a_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(cdc, "BROADCAST_KEYS", 0)
+def test_some_keys_hot_and_some_not(spark):
     rows = make(11, n=300)
     log = spark.createDataFrame(rows, SCHEMA)
     assert got(cdc.scd2(log, hot_rows=20, **OPTIONS)) == expected_history(rows)
 
 
-def test_search_for_hot_keys_leaves_the_hot_key_in_place(spark, tmp_path):
-    """The hot key is split off by a broadcast join, before any shuffle by key."""
+def test_hot_keys_leave_before_any_shuffle_of_rows(spark, tmp_path):
     spark.createDataFrame(make(1), SCHEMA).write.parquet(str(tmp_path / "log"))
     log = spark.read.parquet(str(tmp_path / "log"))
-    hot = cdc._hot_keys(log, ["id"], 100)
-    assert [r.id for r in hot.collect()] == [0]
-    plan = log.join(hot, ["id"], "left_semi")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    changes, _ = cdc._changes(log, ["id"], "at", ["tie"], ["at", "tie"], None)
+    hot = changes.join(cdc._hot_groups(changes, 100), "hash", "left_semi")
+    assert {r.key.id for r in hot.select("key").collect()} == {0}
+    plan = cdc.scd2(log, hot_rows=100, **OPTIONS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin [hash") >= 2 and "SortMergeJoin" not in plan
 
 
-def test_hot_keys_are_found_in_a_sample(spark, monkeypatch):
-    monkeypatch.setattr(cdc, "HOT_SIGHTINGS", 200)
-    log = spark.range(40_000).selectExpr("if(id % 3 = 0, 0, id) AS id")
-    assert [r.id for r in cdc._hot_keys(log, ["id"], 5_000).collect()] == [0]
-    assert cdc._hot_keys(log, ["id"], 20_000) is None
+def test_nothing_runs_before_the_result_is_used(spark):
+    """A log that cannot be read gives a plan; the error comes with the rows."""
+    log = spark.range(5).selectExpr(
+        "cast(id AS int) AS id", "1 AS at", "1 AS tie", "string(raise_error('read')) AS a", "1 AS b"
+    )
+    history = cdc.scd2(log, **OPTIONS)
+    with pytest.raises(Exception, match="read"):
+        history.collect()
+
+
+@pytest.mark.parametrize("hot_rows", [None, 0])
+def test_user_columns_may_have_any_name_but_two(spark, hot_rows):
+    names = ["key", "hash", "at", "tie", "row", "until", "slice", "cuts", "rank", "one", "first", "border", "previous",
+             "unchanged", "following", "before", "_next", "_values", "_before", "_outside", "_slice", "_position", "n",
+             "part", "version", "batch_id", "_first_change", "a.b", "c`d", "e f"]
+    log = spark.range(6).selectExpr("id % 2 AS id", "id AS s", *(f"id * {i} AS `{n.replace('`', '``')}`" for i, n in enumerate(names, 3)))
+    found = cdc.scd2(log, ["id"], "s", except_columns=["s"], hot_rows=hot_rows)
+    assert found.columns == ["id", *names, START, END]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(i % 2, *(i * k for k in range(3, 3 + len(names))), i, i + 2 if i < 4 else None) for i in range(6)], key=str
+    )
+    for taken in (START, END):
+        with pytest.raises(ValueError, match=taken):
+            cdc.scd2(log.withColumnRenamed("key", taken), ["id"], "s", hot_rows=hot_rows)
+        assert cdc.scd2(log.withColumnRenamed("key", taken), ["id"], "s", except_columns=[taken]).count() == 6
+
+
+@pytest.mark.parametrize("hot_rows", [None, 0])
+def test_maps_are_compared_as_text(spark, hot_rows):
+    log = spark.range(4).selectExpr("1 AS id", "id AS s", "map('a', id div 2) AS m")
+    found = cdc.scd2(log, ["id"], "s", except_columns=["s"], hot_rows=hot_rows)
+    assert [(r.m, r[START], r[END]) for r in found.orderBy(START).collect()] == [({"a": 0}, 0, 2), ({"a": 1}, 2, None)]
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(20,3)", "string", "date", "timestamp", "timestamp_ntz", "boolean"])
+def test_slices_follow_the_sequence_of_any_type(spark, monkeypatch, kind):
+    monkeypatch.setattr(cdc, "SLICES", 16)
+    value = {"boolean": "id % 2 = 1", "string": "concat('k', lpad(string(id), 4, '0'))", "date": "date_add(date'2024-01-01', int(id))",
+             "timestamp": "timestamp_micros(id * 40000000001)", "timestamp_ntz": "timestamp_micros(id * 40000000001)"}
+    log = spark.range(300).selectExpr("id % 3 AS k", f"cast({value.get(kind, 'id / 4')} AS {kind}) AS s", "id div 7 AS v", "id AS t")
+    options = dict(keys=["k"], sequence_by="s", tie_breakers=["t"], except_columns=["s", "t"])
+    one, other = cdc.scd2(log, hot_rows=None, **options), cdc.scd2(log, hot_rows=0, **options)
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    changes, _ = cdc._changes(log, ["k"], "s", ["t"], ["s", "t"], None)
+    sliced = cdc._sliced(changes, changes, cdc._rank(F.col("at"), log.schema["s"].dataType))
+    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    if kind != "boolean":
+        assert max(sizes) <= 2 * 300 / 16 + 3
+
+
+def test_rows_without_a_key_are_counted(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("history")
+    cdc.scd2(spark.createDataFrame(make(1), SCHEMA), metrics=seen, hot_rows=None, **OPTIONS).collect()
+    assert seen.get == {"rows_in": 401, cdc.NO_KEY: 1}
 
 
 def test_hot_key_with_one_instant(spark):
@@ -152,7 +202,10 @@ def test_missing_sequence_is_an_error(spark, hot_rows):
 def test_one_shuffle_and_one_sort(spark, tmp_path):
     spark.createDataFrame(make(1), SCHEMA).write.parquet(str(tmp_path / "log"))
     history = cdc.scd2(spark.read.parquet(str(tmp_path / "log")), **OPTIONS)
-    plan = history._jdf.queryExecution().executedPlan().toString()
+    expected = expected_history(make(1))
+    assert got(history) == expected
+    history.collect()  # without hot keys, the ways for them are cut off while the query runs
+    plan = history._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
 

@@ -16,7 +16,7 @@ from millrace.sources.tables import (
     write_stream_table,
     write_version,
 )
-from millrace.streaming.history import history_schema, read_history, scd2_stream
+from millrace.streaming.history import read_history, scd2_stream
 from millrace.streaming import summary as summaries
 from millrace.streaming.summary import (
     device_summary_stream,
@@ -152,10 +152,45 @@ def test_complete_takes_no_rows(spark, tmp_path):
     assert summaries.read_summary(spark, path, summary.schema).count() == 0
 
 
-def test_history_refuses_reserved_names(spark, tmp_path):
-    changes = spark.readStream.schema("id int, at int, part string").parquet(str(tmp_path))
-    with pytest.raises(ValueError, match="part"):
-        scd2_stream(changes, str(tmp_path / "t"), str(tmp_path / "c"), ["id"], "at")
+def test_history_keeps_user_columns_of_any_name(spark, tmp_path):
+    names = ["part", "batch_id", "version", "key", "row", "until", "hash", "_next", "_values", "a.b"]
+    schema = "id int, at int, " + ", ".join(f"`{n}` int" for n in names)
+    feed, target = Feed(spark, str(tmp_path / "in"), schema), str(tmp_path / "t")
+    feed.add([(1, 1, *range(10)), (1, 2, *range(10, 20))])
+    scd2_stream(feed.stream(), target, str(tmp_path / "c"), ["id"], "at", except_columns=["at"])
+    found = read_history(spark, target)
+    assert found.columns == ["id", *names, "__START_AT", "__END_AT"]
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, *range(10), 1, 2), (1, *range(10, 20), 2, None)]
+    changes = spark.readStream.schema("id int, at int, __END_AT string").parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="__END_AT"):
+        scd2_stream(changes, str(tmp_path / "u"), str(tmp_path / "d"), ["id"], "at")
+
+
+def test_history_refuses_other_options(spark, tmp_path):
+    feed, target = Feed(spark, str(tmp_path / "in"), LOG), str(tmp_path / "t")
+    feed.add([(1, 1, 0, "x")])
+    scd2_stream(feed.stream(), target, str(tmp_path / "c"), **OPTIONS)
+    with pytest.raises(ValueError, match="other options"):
+        scd2_stream(feed.stream(), target, str(tmp_path / "c"), coalesce_unchanged=False, **OPTIONS)
+    with pytest.raises(ValueError, match="no history"):
+        read_history(spark, str(tmp_path / "nowhere"))
+
+
+def test_a_batch_writes_its_own_changes_only(spark, tmp_path):
+    """In order or late, a batch of k changes adds k rows, whatever the table holds."""
+    feed, target = Feed(spark, str(tmp_path / "in"), LOG), str(tmp_path / "t")
+    total, files = 0, set()
+    for number, (k, start) in enumerate([(200, 0), (5, 1000), (7, 500), (3, 2000)]):
+        feed.add([(i % 4, start + i, 0, f"{number}-{i}") for i in range(k)] + [(None, 1, 0, "x")])
+        query = scd2_stream(feed.stream(), target, str(tmp_path / "c"), **OPTIONS)
+        log = spark.read.parquet(f"{target}/log")
+        new = log.where(~F.input_file_name().isin(list(files) or [""]))
+        assert new.count() == k
+        files |= {r[0] for r in log.select(F.input_file_name()).distinct().collect()}
+        total += k
+        assert read_history(spark, target).count() == total
+        counted = [p.observedMetrics["history"] for p in query.recentProgress if p.numInputRows]
+        assert [(m["rows_in"], m["dropped__no_key"]) for m in counted] == [(k + 1, 1)]
 
 
 LOG = "id int, at int, tie int, a string"
@@ -163,11 +198,11 @@ OPTIONS = dict(keys=["id"], sequence_by="at", tie_breakers=["tie"], except_colum
 
 
 def history(spark, feed, target):
-    return read_history(spark, target, feed.schema, ["id"], "at", ["at", "tie"])
+    return read_history(spark, target)
 
 
-@pytest.mark.parametrize("hot_rows, coalesce, step", [(None, True, 0), (40, True, 30), (None, False, 30)])
-def test_incremental_history_equals_rebuild(spark, tmp_path, hot_rows, coalesce, step):
+@pytest.mark.parametrize("coalesce, step", [(True, 0), (True, 30), (False, 30)])
+def test_incremental_history_equals_rebuild(spark, tmp_path, coalesce, step):
     """Batches in any order of their sequence values, or (with a step) mostly in order."""
     rnd = random.Random(9)
     feed, target = Feed(spark, str(tmp_path / "in"), LOG), str(tmp_path / "table")
@@ -181,8 +216,7 @@ def test_incremental_history_equals_rebuild(spark, tmp_path, hot_rows, coalesce,
         everything += rows
         feed.add(rows)
         scd2_stream(
-            feed.stream(), target, str(tmp_path / "checkpoint"), buckets=4, hot_rows=hot_rows,
-            coalesce_unchanged=coalesce, **OPTIONS,
+            feed.stream(), target, str(tmp_path / "checkpoint"), coalesce_unchanged=coalesce, **OPTIONS
         )
         rebuilt = scd2(spark.createDataFrame(everything, LOG), coalesce_unchanged=coalesce, **OPTIONS)
         assert sorted(history(spark, feed, target).collect(), key=str) == sorted(rebuilt.collect(), key=str)
@@ -205,7 +239,7 @@ def test_incremental_history_by_time(spark, tmp_path, kind):
             )
             rows.coalesce(1).write.mode("append").parquet(feed.path)
             everything = rows if everything is None else everything.unionByName(rows)
-            scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), buckets=2, **OPTIONS)
+            scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), **OPTIONS)
         rebuilt, found = scd2(everything, **OPTIONS), history(spark, feed, target)
         assert found.exceptAll(rebuilt).isEmpty() and rebuilt.exceptAll(found).isEmpty()
     finally:
@@ -216,21 +250,20 @@ def test_change_without_sequence_stops_the_stream(spark, tmp_path):
     feed = Feed(spark, str(tmp_path / "in"), LOG)
     feed.add([(1, None, 0, "x")])
     with pytest.raises(Exception, match="without a sequence value"):
-        scd2_stream(feed.stream(), str(tmp_path / "t"), str(tmp_path / "c"), buckets=2, **OPTIONS)
+        scd2_stream(feed.stream(), str(tmp_path / "t"), str(tmp_path / "c"), **OPTIONS)
 
 
 def test_batch_that_died_before_its_commit_runs_again(spark, tmp_path):
     feed, target = Feed(spark, str(tmp_path / "in"), LOG), str(tmp_path / "table")
     feed.add([(1, 1, 0, "x"), (2, 1, 0, "x")])
-    scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), buckets=2, **OPTIONS)
+    scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), **OPTIONS)
     before = sorted(history(spark, feed, target).collect())
-    # Rows of version 1 without a commit stay invisible, and are replaced later.
-    schema = history_schema(feed.schema, ["id"], "at", ["at", "tie"])
-    junk = spark.createDataFrame([(7, "junk", 1, None)], schema).withColumn("part", F.lit(0))
-    junk.write.partitionBy("part").parquet(f"{target}/data/version=1")
+    # Rows that a batch wrote without a commit stay invisible.
+    junk = spark.createDataFrame([(7, 1, 0, "junk")], feed.schema)
+    junk.write.mode("append").parquet(f"{target}/log")
     assert sorted(history(spark, feed, target).collect()) == before
     feed.add([(1, 5, 0, "y")])
-    scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), buckets=2, **OPTIONS)
+    scd2_stream(feed.stream(), target, str(tmp_path / "checkpoint"), **OPTIONS)
     assert sorted(map(tuple, history(spark, feed, target).collect()), key=str) == sorted(
         [(1, "x", 1, 5), (1, "y", 5, None), (2, "x", 1, None)], key=str
     )
@@ -240,12 +273,12 @@ def test_committed_batch_is_not_applied_again(spark, tmp_path):
     """A lost commit of the stream repeats the batch; the table stays the same."""
     feed, target, checkpoint = Feed(spark, str(tmp_path / "in"), LOG), str(tmp_path / "t"), tmp_path / "checkpoint"
     feed.add([(1, 1, 0, "x"), (2, 1, 0, "x")])
-    scd2_stream(feed.stream(), target, str(checkpoint), buckets=2, **OPTIONS)
+    scd2_stream(feed.stream(), target, str(checkpoint), **OPTIONS)
     before = sorted(history(spark, feed, target).collect())
     for name in ("0", ".0.crc"):
         if (checkpoint / "commits" / name).exists():
             os.remove(checkpoint / "commits" / name)
-    scd2_stream(feed.stream(), target, str(checkpoint), buckets=2, **OPTIONS)
+    scd2_stream(feed.stream(), target, str(checkpoint), **OPTIONS)
     assert sorted(history(spark, feed, target).collect()) == before
 
 
