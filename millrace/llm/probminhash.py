@@ -12,10 +12,11 @@ A bucket is not expanded into pairs. Its greatest spanning tree by slot agreemen
 the pairs to verify on whole texts: a tree joins what any threshold joins. (For the
 trees alone, buckets above CHUNK texts are cut by a hash of text and band; what is not
 linked in them is first compared with the text of the bucket that has most links.)
-Then the rest: in a bucket that still holds several components, every text outside the largest
-one is compared with all texts of other components, in blocks of bounded size; each
-pair with the least slot agreement is verified, once, in the first bucket it shares.
-Linked texts form classes.
+Then the rest: in a bucket that still holds several components, the signatures of every text
+outside the largest one are compared with those of all texts of other components, in blocks of
+bounded size. Each pair with the least slot agreement is a candidate, once, in the first
+bucket it shares. Only texts that have one are fetched, for that bucket alone, and all
+candidates are verified. Linked texts form classes.
 
 A pair is linked when its plain or its probability Jaccard reaches the threshold.
 
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import SPACE, texts
 from millrace.llm.components import components
@@ -46,7 +47,7 @@ BANDS, ROWS = 32, 4
 LEAST_AGREEMENT = 0.64
 #: Most texts of one tree; about how many texts and bytes of text a side of a block holds.
 CHUNK = 1024
-BLOCK, BLOCK_BYTES = 512, 1 << 24
+BLOCK, BLOCK_BYTES = 4096, 1 << 24
 #: Candidates of a text that are verified at a time.
 STEP = 64
 
@@ -206,11 +207,11 @@ def _linked(mine: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray,
     return linked
 
 
-def _rest(group: pa.Table) -> pa.Table:
-    """Links between the left and the right texts of a block that join components.
+def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Numbers of left texts, of their candidates on the right side of a block, most agreeing
+    first, and of all components (which the caller may join meanwhile).
 
-    Every pair of different components is verified that has the least agreement and
-    shares no earlier bucket, until its components are joined by another pair.
+    A candidate is of another component, has the least agreement, and shares no earlier bucket.
     """
     keys, sketches = _sketches(group)
     least = LEAST_AGREEMENT * sketches.shape[-1]
@@ -225,21 +226,39 @@ def _rest(group: pa.Table) -> pa.Table:
     bands = np.full((len(keys), max(map(len, lists))), band)  # filled up with what no text looks for
     for n, own in enumerate(lists):
         bands[n, : len(own)] = own
-    text, known = group.column("text"), {}
-
-    def weighted(i: int) -> tuple[np.ndarray, np.ndarray]:
-        if rank[i] not in known:
-            known[rank[i]] = _weighted(text[int(i)].as_py())
-        return known[rank[i]]
-
-    right, pairs = np.flatnonzero(~left), set()
+    right = np.flatnonzero(~left)
     for i in np.flatnonzero(left):
         # Two texts outside the largest component meet twice, as left and right.
         others = right[(comp[right] != comp[i]) & (~small[right] | (rank[right] > rank[i]))]
         agreed = _agreed(sketches[others], sketches[i])
         others, agreed = others[agreed >= least], agreed[agreed >= least]
         new = ~np.isin(bands[others], lists[i][lists[i] < band]).any(axis=1)
-        others = others[new][np.argsort(-agreed[new], kind="stable")]
+        yield i, others[new][np.argsort(-agreed[new], kind="stable")], comp
+
+
+def _needed(group: pa.Table) -> pa.Table:
+    """The members of a block that have a candidate or are one."""
+    needed = np.zeros(len(group), bool)
+    for i, others, _ in _candidates(group):
+        needed[others] = True
+        needed[i] |= len(others) > 0
+    return group.select(["band", "a", "b", "key", "left"]).filter(pa.array(needed))
+
+
+def _rest(group: pa.Table) -> pa.Table:
+    """Links between the left and the right texts of a block that join components.
+
+    Every candidate is verified, until its components are joined by another pair.
+    """
+    keys, text, known = group.column("key").to_pylist(), group.column("text"), {}
+
+    def weighted(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if keys[i] not in known:
+            known[keys[i]] = _weighted(text[int(i)].as_py())
+        return known[keys[i]]
+
+    pairs = set()
+    for i, others, comp in _candidates(group):
         for at in range(0, len(others), STEP):
             some = others[at : at + STEP]
             some = some[comp[some] != comp[i]]
@@ -326,16 +345,19 @@ def _joined_rest(apart: DataFrame, involved: DataFrame) -> DataFrame:
     """Links that join components, from ``_apart``: each text outside the largest
     component of its bucket against all texts of the bucket, block by block."""
     a, b = F.pmod(F.xxhash64("key"), "lefts"), F.pmod(F.xxhash64("key", F.lit(1)), "rights")
-    columns = ["band", "key", "root", "sketch", "small"]
-    left = apart.where("small").select(
+    own = apart.withColumn("bands", F.collect_list("band").over(Window.partitionBy("key")))
+    columns = ["band", "key", "root", "sketch", "small", "bands"]
+    left = own.where("small").select(
         *columns, F.lit(True).alias("left"), a.alias("a"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("b")
     )
-    right = apart.select(
+    right = own.select(
         *columns, F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("a"), b.alias("b")
     )
-    bands = apart.groupBy("key").agg(F.collect_list("band").alias("bands"))
-    sides = left.union(right).join(bands.join(involved, "key"), "key")
-    return sides.groupBy("band", "a", "b").applyInArrow(_rest, "leader binary, key binary")
+    sides = left.union(right)
+    met = sides.groupBy("band", "a", "b").applyInArrow(_needed, "band bigint, a bigint, b bigint, key binary, left boolean")
+    needed = materialize(met, "needed")
+    with_text = sides.join(needed, ["band", "a", "b", "key", "left"]).join(involved, "key")
+    return with_text.groupBy("band", "a", "b").applyInArrow(_rest, "leader binary, key binary")
 
 
 def roots(rows: DataFrame) -> DataFrame:
