@@ -20,6 +20,8 @@ ignored.
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -35,8 +37,10 @@ from millrace.session import materialize
 SEQUENCE = 4096
 END_ID = 2
 CLASS_STEPS = 64
-#: Column generation ends when the program is at most this far from its bound.
+#: Column generation ends when the program is at most this far from its bound; a pattern
+#: prices out when it is worth more than a sequence by this.
 GAP = 0.0003
+PRICED_OUT = 1e-9
 #: A degenerate program may turn in a circle; every step is a cover, so it can be left.
 STEPS_PER_CLASS = 4
 #: Stands between words that are encoded in one call; it never joins with a word.
@@ -61,14 +65,18 @@ class WordTokenizer:
         key = zlib.crc32(self.definition.encode())
         if key not in _READY:
             _READY.clear()
+            # Spark has a worker per core already; threads of the tokenizer would be more.
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             self.tokenizer = Tokenizer.from_str(self.definition)
+            normalizer = json.loads(self.definition).get("normalizer") or {}
+            self.lowers = any(n["type"] == "Lowercase" for n in normalizer.get("normalizers", [normalizer]) if n)
             self.memory = PieceMemory(self._encode_words)
             (self.between,) = self._ids(BETWEEN)
             _READY[key] = self
         return _READY[key]
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _encode_words(self, words: list[bytes]) -> Iterator[bytes]:
         """Codes of words, many in one call; ids of the mark between them cut the result."""
@@ -84,8 +92,13 @@ class WordTokenizer:
             yield from (code[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:]))
 
     def encode(self, values: list[str]) -> list[bytes]:
-        """Ids of each text as packed little-endian unsigned 32-bit integers."""
-        return self.memory.encode([text.encode().split() for text in values])
+        """Ids of each text as packed little-endian unsigned 32-bit integers.
+
+        Where the tokenizer lowers all letters, ASCII ones are lowered at once, which
+        leaves fewer different words.
+        """
+        data = map(str.encode, values)
+        return self.memory.encode([text.split() for text in (map(bytes.lower, data) if self.lowers else data)])
 
 
 _READY: dict[int, WordTokenizer] = {}
@@ -208,24 +221,27 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
     The simplex method with generated columns. The basis starts with greedy
     patterns, each used until a class runs out. Prices are first drawn towards those of
     a program without waste (a size's share of the sequence), which calms them; the
-    program's own prices decide. It ends when no pattern gains more than the gap, or
-    when the patterns waste less than that.
+    program's own prices decide. Every pricing bounds the program from below: prices at
+    which no pattern is worth more than v prove that it needs (prices, demand) / v sequences. It
+    ends when no pattern prices out, or when the bound, in whole sequences or but for
+    the gap, has been reached.
     """
     m = len(sizes)
     ideal = sizes / capacity
-    least = float(ideal @ demand)
+    bound = 0.0
     columns, amounts = greedy_basis(sizes, demand, capacity)
     inverse = invert(columns)
     for _ in range(STEPS_PER_CLASS * m):
         prices = inverse.sum(axis=0)
-        if amounts.sum() <= (1 + gap) * least:
-            break
         for share in (0.8, 0.0):
-            pattern = knapsack(sizes, share * ideal + (1 - share) * prices, capacity)
+            drawn = share * ideal + (1 - share) * prices
+            pattern = knapsack(sizes, drawn, capacity)
+            bound = max(bound, float(drawn @ demand) / float(drawn @ pattern))
             value = float(prices @ pattern)
-            if value > 1 + gap:
+            if value > 1 + PRICED_OUT:
                 break
-        if value <= 1 + gap:
+        used = float(amounts.sum())
+        if value <= 1 + PRICED_OUT or used <= (1 + gap) * bound or np.ceil(used - PRICED_OUT) <= np.ceil(bound - PRICED_OUT):
             break
         direction = (inverse * pattern).sum(axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
