@@ -31,7 +31,8 @@ WITH docs AS (
 ), split AS (
   SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs
 ), lines AS (
-  SELECT r, line, regexp_extract_all(line, {_WORD}) AS w, {_N.format('line', _class(rules.SEPARATORS))} AS seps
+  SELECT r, line, regexp_extract_all(line, {_WORD}) AS w, {_N.format('line', _class(rules.SEPARATORS))} AS seps,
+    length(array_to_string(regexp_extract_all(line, {_quote('(?i)' + rules.BOILERPLATE)}), '')) AS phrase_chars
   FROM split WHERE regexp_matches(line, {_WORD})
 ), judged AS (
   SELECT r, line, list_sum(list_transform(w, lambda x: length(x))) AS chars,
@@ -39,7 +40,7 @@ WITH docs AS (
     OR 10 * {_N.format('line', _class(rules.SYMBOLS))} > length(line)
     OR (len(w) >= 3 AND 2 * {_N.format('line', _quote('!'))} >= len(w))
     OR (len(w) >= 8 AND 2 * len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) >= len(w))
-    OR regexp_matches(line, {_quote('(?i)' + rules.BOILERPLATE)})
+    OR (phrase_chars > 0 AND (len(w) <= {rules.BOILERPLATE_LINE_WORDS} OR 2 * phrase_chars >= length(line)))
     OR (len(w) < {rules.LONG_LINE_WORDS} AND NOT contains({_quote(rules.TERMINAL)}, right(w[-1], 1))) AS failed
   FROM lines
 ), by_doc AS (

@@ -27,10 +27,12 @@ WINDOW = 8
 MAX_LOST_PERCENT = 30
 #: A shorter line needs terminal punctuation.
 LONG_LINE_WORDS = 8
+#: A line of more words fails for boilerplate only if such phrases are half of it.
+BOILERPLATE_LINE_WORDS = 20
 
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›•·"
-TERMINAL = ".!?…:;\"'”’)]»"
+TERMINAL = ".!?…:;\"'”’)]»।॥。！？；：」』）؟۔"
 BOILERPLATE = (
     "all rights reserved|copyright|cookie|privacy policy|terms of use|terms of service|subscribe"
     "|sign up|log in|sign in|click here|read more|share this|javascript|lorem ipsum"
@@ -70,7 +72,8 @@ def line_failure(line: str, words: list[bytes]) -> str | None:
         return "shouting"
     if n >= 8 and 2 * sum(map(bytes.__eq__, words, words[1:])) >= n:
         return "stutter"
-    if _BOILERPLATE.search(line):
+    phrases = [m.end() - m.start() for m in _BOILERPLATE.finditer(line)]
+    if phrases and (n <= BOILERPLATE_LINE_WORDS or 2 * sum(phrases) >= len(line)):
         return "boilerplate"
     if n < LONG_LINE_WORDS and line.rstrip(" \t\x0b\x0c\r")[-1] not in TERMINAL:
         return "punctuation"
@@ -134,6 +137,14 @@ def quality(text: Column) -> Column:
 
 
 def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows whose text is kept, with their columns unchanged."""
-    verdict = row_struct({"kept": "boolean"}, lambda value: (assess(value)[8],))
-    return docs.where(verdict(F.col(text))["kept"])
+    """The rows whose text is kept, without its failing lines; other columns are unchanged."""
+
+    def cleaned(value: str) -> tuple:
+        found = assess(value)
+        return (found[9] if found[8] else None,)
+
+    clean = row_struct({"text": "string"}, cleaned)(F.col(text))["text"]
+    judged = docs.select(F.struct("*").alias("row"), clean.alias("clean")).where("clean IS NOT NULL")
+    return judged.select(*(
+        F.col("clean").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns
+    ))

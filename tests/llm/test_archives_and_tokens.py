@@ -137,6 +137,27 @@ def test_program_generates_columns():
     assert bound <= sequences <= greedy + len(sizes)
 
 
+def test_pricing_finds_what_greedy_patterns_miss(monkeypatch):
+    """Six of 51 and 26 and 23, and three of 27, 27, 23, 23, fill sequences of 100; greedy
+    patterns put 51 beside 27 and need two more of eleven."""
+    sizes, demand = np.array([23, 26, 27, 51]), np.array([1200, 600, 600, 600])
+    calls, knapsack = [], packing.knapsack
+    monkeypatch.setattr(packing, "knapsack", lambda *a: calls.append(1) or knapsack(*a))
+    plan = packing.solve(sizes, demand, 100)
+    assert calls and sum(copies for _, copies in plan) == 900
+    assert (sum(copies * pattern for pattern, copies in plan) == demand).all()
+    monkeypatch.setattr(packing, "knapsack", lambda sizes, prices, capacity: np.eye(len(sizes), dtype=np.int64)[0])
+    assert sum(copies for _, copies in packing.solve(sizes, demand, 100)) == 1100
+
+
+def test_words_are_lowered_as_the_tokenizer_does():
+    ours, theirs = packing.WordTokenizer(word_tokenizer()).ready(), Tokenizer.from_str(word_tokenizer())
+    assert ours.lowers
+    for text in ("I İI ıI ΣΑΣ A\u0301 K\u212a ǅ ﬁ ẞ STRASSE", "Ab'S AB'Ll x'RE", "ÀB A\u0300B \u0130\u0307I"):
+        (code,) = ours.encode([text])
+        assert np.frombuffer(code, "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     tokens, sequences = check_packing(QUERIES["op10_packing"](spark, sf_dir).collect(), texts)

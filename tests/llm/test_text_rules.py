@@ -51,6 +51,10 @@ def test_repeated_words(text):
         ("a short heading", "punctuation"),
         ("A short sentence.", None),
         ("a line of many words that ends without any mark at its end", None),
+        ("यह एक छोटा वाक्य है।", None),
+        ("这是一句话。", None),
+        (" ".join(f"word{i}" for i in range(30)) + " with a copyright notice inside of it.", None),
+        ("All rights reserved. Copyright. " * 12, "boilerplate"),
     ],
 )
 def test_line_rules(line, rule):
@@ -70,6 +74,18 @@ def test_quality_edge_cases(spark):
     assert quality_rules.filter_quality(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("phrase", ["copyright", "cookie", "subscribe", "javascript", "read more", "sign in"])
+def test_long_clean_lines_may_hold_a_phrase(spark, phrase):
+    """One line of 5001 words, and paragraphs of 40, each with the phrase once."""
+    words = [f"word{i}" for i in range(5000)]
+    one = " ".join(words[:2500] + [phrase] + words[2500:])
+    many = "\n".join(" ".join([*words[i : i + 40], phrase]) for i in range(0, 800, 40))
+    short = "\n".join(f"Please {phrase} now, dear reader {i}." for i in range(9))
+    docs = spark.createDataFrame([(1, one), (2, many), (3, short), (4, many + "\n" + phrase + "!")], "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in quality_rules.filter_quality(docs).collect()}
+    assert kept == {1: one, 2: many, 4: many}
+
+
 def test_language_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
