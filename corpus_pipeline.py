@@ -10,9 +10,16 @@ from millrace.llm.queries import word_tokenizer
 from millrace.session import materialize
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now."""
+    return docs.select(*(
+        F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns
+    ))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules.filter_quality(docs)
+    """Documents that the quality rules keep, without the lines that fail; n_chars follows."""
+    return _counted(quality_rules.filter_quality(docs))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that occur more than once; n_chars follows."""
-    short = suffix_dedup.shorten(docs)
-    return short.select(*(
-        F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in short.columns
-    ))
+    return _counted(suffix_dedup.shorten(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
