@@ -39,7 +39,7 @@ END_ID = 2
 CLASS_STEPS = 64
 #: Column generation ends when the program is at most this far from its bound; a pattern
 #: prices out when it is worth more than a sequence by this.
-GAP = 0.0003
+GAP = 0.0001
 PRICED_OUT = 1e-9
 #: A degenerate program may turn in a circle; every step is a cover, so it can be left.
 STEPS_PER_CLASS = 4
@@ -228,7 +228,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
     """
     m = len(sizes)
     ideal = sizes / capacity
-    bound = 0.0
+    bound = float(ideal @ demand)  # no sequence is more than full
     columns, amounts = greedy_basis(sizes, demand, capacity)
     inverse = invert(columns)
     for _ in range(STEPS_PER_CLASS * m):
