@@ -14,11 +14,13 @@ gives an empty table.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 
-from millrace.llm.common import SPACE, row_struct
+from millrace.llm.common import SPACE, row_struct, texts
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -136,15 +138,21 @@ def quality(text: Column) -> Column:
     return row_struct(FIELDS, assess)(text)
 
 
-def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows whose text is kept, without its failing lines; other columns are unchanged."""
+#: Rows that a task cleans at a time.
+SLICE_ROWS = 512
 
-    def cleaned(value: str) -> tuple:
-        found = assess(value)
-        return (found[9] if found[8] else None,)
 
-    clean = row_struct({"text": "string"}, cleaned)(F.col(text))["text"]
-    judged = docs.select(F.struct("*").alias("row"), clean.alias("clean")).where("clean IS NOT NULL")
-    return judged.select(*(
-        F.col("clean").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns
-    ))
+def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text is kept, without its failing lines; other columns are unchanged."""
+    place = docs.columns.index(text)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                found = [assess(value) for value in texts(part.column(place))]
+                field = part.schema.field(place)
+                cleaned = part.set_column(place, field, pa.array([f[9] for f in found], field.type))
+                yield cleaned.filter(pa.array([f[8] for f in found], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
