@@ -46,6 +46,8 @@ STEPS_PER_CLASS = 4
 #: Stands between words that are encoded in one call; it never joins with a word.
 BETWEEN = "\x01"
 WORDS_PER_CALL = 64
+#: Words that a worker remembers: as many recent ones, and as many before them.
+MEMORY_WORDS = 3 << 16
 
 
 class WordTokenizer:
@@ -70,7 +72,7 @@ class WordTokenizer:
             self.tokenizer = Tokenizer.from_str(self.definition)
             normalizer = json.loads(self.definition).get("normalizer") or {}
             self.lowers = any(n["type"] == "Lowercase" for n in normalizer.get("normalizers", [normalizer]) if n)
-            self.memory = PieceMemory(self._encode_words)
+            self.memory = PieceMemory(self._encode_words, MEMORY_WORDS)
             (self.between,) = self._ids(BETWEEN)
             _READY[key] = self
         return _READY[key]
