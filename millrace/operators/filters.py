@@ -130,12 +130,15 @@ def sql_params(
     """SQL text with named parameters (``:name``, ``IDENTIFIER(:name)``, ``LIMIT :n``).
 
     Parameters are never pasted into the text. ``tables`` are registered as
-    temporary views under their names while the text is analysed, and dropped again.
+    temporary views under their names while the text is analysed, and dropped again. A
+    view of the caller's with such a name is an error, and stays.
     """
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+    registered = []
     try:
+        for name, table in tables.items():
+            table.createTempView(name)
+            registered.append(name)
         return spark.sql(query, args=dict(params))
     finally:
-        for name in tables:
+        for name in registered:
             spark.catalog.dropTempView(name)

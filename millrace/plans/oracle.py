@@ -110,6 +110,16 @@ BEYOND = "(modified_ts, customer_id) < (TIMESTAMP '1998-10-03 00:00:00', 5000)"
 NEWEST = "ORDER BY modified_ts DESC, customer_id DESC"
 HOT = f"""WITH {SUMMARY} SELECT device_id, window_start, max_temp FROM summary
   WHERE max_temp >= 40.0 AND window_start >= {AS_OF}"""
+INTERVALS = f"""{SUMMARY},
+  hot AS (
+    SELECT *, coalesce(window_start > lag(window_start) OVER d + INTERVAL '3 hours', TRUE) AS fires
+    FROM summary WHERE max_temp >= 40.0 WINDOW d AS (PARTITION BY device_id, location ORDER BY window_start)),
+  numbered AS (
+    SELECT *, count(*) FILTER (fires) OVER (PARTITION BY device_id, location ORDER BY window_start) AS number FROM hot),
+  intervals AS (
+    SELECT device_id, location, min(window_start) AS fired_at, max(window_start) + INTERVAL '3 hours' AS cleared_at,
+           max(max_temp) AS max_temp, count(*) AS hot_windows
+    FROM numbered GROUP BY device_id, location, number)"""
 SILVER = "device_id, event_timestamp, temperature_celsius, vibration_hz, location"
 
 ORACLE: dict[str, str] = {
@@ -159,8 +169,7 @@ ORACLE: dict[str, str] = {
            AND modified_ts < TIMESTAMP '2001-06-01'"""
     ),
     "param_query": served(
-        f"lower(email) = 'f' AND modified_ts >= TIMESTAMP '1999-01-01' {NEWEST} LIMIT 51",
-        "customer_id, name, modified_ts",
+        "customer_id BETWEEN 100 AND 4000 AND phone LIKE '1%' ORDER BY customer_id LIMIT 70", "phone, customer_id"
     ),
     "dq_warn_counts": f"""WITH {SENSOR}
       SELECT 'valid_device_id' AS rule, count(device_id) AS passed,
@@ -195,7 +204,8 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'silver', 'rows_in', kept FROM counts
       UNION ALL SELECT 'silver', 'rows_passed', cool FROM counts
       UNION ALL SELECT 'silver', 'failed__warn_on_high_temp', kept - cool FROM counts
-      UNION ALL SELECT 'quarantine', 'rows_in', dropped FROM counts""",
+      UNION ALL SELECT 'quarantine', 'rows_in', dropped FROM counts
+      UNION ALL SELECT 'summary', 'rows_in', kept FROM counts""",
     "device_summary": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary",
     "location_mean": f"""WITH {SUMMARY}
       SELECT location, round(avg(avg_temp), 6) AS avg_temp FROM summary GROUP BY 1""",
@@ -207,6 +217,26 @@ ORACLE: dict[str, str] = {
     "alert_state": f"SELECT count(*) > 0 AS alert, count(*) AS hot_windows FROM ({HOT})",
     "alert_stream": f"""WITH {SUMMARY} SELECT device_id, location, window_start, max_temp
       FROM summary WHERE max_temp >= 40.0 AND window_start >= {AS_OF}""",
+    "alert_intervals": f"""WITH {INTERVALS} SELECT * FROM intervals""",
+    "alert_timeline": f"""WITH {INTERVALS}
+      SELECT as_of, count(fired_at) > 0 AS alert, count(fired_at) AS devices
+      FROM (VALUES ('2023-12-31 00:00:00'), ('2024-01-15 12:00:00'), ('2024-02-15 00:00:00')) AS times(as_of)
+      LEFT JOIN intervals ON CAST(as_of AS TIMESTAMP) BETWEEN fired_at AND cleared_at GROUP BY as_of""",
+    "customer_pipeline": f"""WITH {history("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END")}
+      SELECT customer_id, o_orderstatus AS name, o_orderpriority AS email, "__START_AT" AS modified_ts
+      FROM history WHERE "__END_AT" IS NULL""",
+    "customer_metrics": f"""WITH {history("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END")},
+      counts AS (SELECT count(*) AS n FROM orders),
+      open_rows AS (SELECT count(*) AS n, count(o_orderpriority) AS kept FROM history WHERE "__END_AT" IS NULL)
+      SELECT 'raw_customers' AS table_name, 'rows_in' AS metric, n AS "value" FROM counts
+      UNION ALL SELECT 'customer_history', 'rows_in', n FROM counts
+      UNION ALL SELECT 'customer_history', 'rows_passed', n FROM counts
+      UNION ALL SELECT 'customer_history', 'failed__valid_customer', 0 FROM counts
+      UNION ALL SELECT 'history', 'rows_in', n FROM counts
+      UNION ALL SELECT 'history', 'dropped__no_key', 0 FROM counts
+      UNION ALL SELECT 'current_customers', 'rows_in', n FROM open_rows
+      UNION ALL SELECT 'current_customers', 'rows_passed', kept FROM open_rows
+      UNION ALL SELECT 'current_customers', 'failed__valid_email', n - kept FROM open_rows""",
     "stream_summary_append": f"""WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary
       WHERE window_end <= (SELECT max(event_timestamp) FROM sensor WHERE device_id IS NOT NULL)
                           - INTERVAL '2 minutes'""",

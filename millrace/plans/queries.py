@@ -11,7 +11,7 @@ from millrace.functions.cursors import parse_cursor
 from millrace.functions.times import parse_event_time
 from millrace.operators import cdc, filters, paging, quality, windows
 from millrace.operators.projections import READING_SCHEMA, to_silver
-from millrace.plans import sensor as pipeline
+from millrace.plans import customers, sensor as pipeline
 from millrace.plans.data_pages import PageRequest, PageService
 from millrace.plans.views import (
     EVENT_CUTS,
@@ -28,6 +28,7 @@ from millrace.sources.audit import with_ingest_meta
 from millrace.sources.customers import customer_details
 from millrace.sources.json_files import ingest_json
 from millrace.sources.tables import read_stream_table, write_stream_table
+from millrace.streaming import alerts
 from millrace.streaming.history import read_history, scd2_stream
 from millrace.streaming.metrics import MetricsRecorder, metrics_table
 from millrace.streaming.summary import (
@@ -129,13 +130,14 @@ def api_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's name is put together from two parameters."""
     return filters.sql_params(
         spark,
-        """SELECT customer_id, name, modified_ts FROM IDENTIFIER(:t)
-           WHERE lower(email) = :email_lc AND modified_ts >= CAST(:since AS TIMESTAMP_NTZ)
-           ORDER BY modified_ts DESC, customer_id DESC LIMIT :lim""",
-        {"t": "served_rows", "email_lc": "f", "since": "1999-01-01", "lim": 51},
-        served_rows=served(spark, sf_dir),
+        """SELECT phone, customer_id FROM IDENTIFIER(:stage || '_' || :entity)
+           WHERE customer_id BETWEEN :low AND :high AND phone LIKE :digits
+           ORDER BY customer_id LIMIT :n""",
+        {"stage": "served", "entity": "orders", "low": 100, "high": 4000, "digits": "1%", "n": 70},
+        served_orders=served(spark, sf_dir),
     )
 
 
@@ -482,6 +484,66 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot.select("device_id", "location", ntz("window_start"), "max_temp")
 
 
+ALERT_TIMES = ("2023-12-31 00:00:00", "2024-01-15 12:00:00", "2024-02-15 00:00:00")
+
+
+def alert_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the alerts of devices fired and cleared; the readings come out of order."""
+    root = new_scratch(spark, "intervals")
+    schema = None
+    parts = arrivals(sensor(spark, sf_dir), "event_timestamp", EVENT_CUTS)
+    for index in (2, 0, 1):
+        readings = _arriving_silver(spark, root, parts[index])
+        alerts.start_hot_windows(readings, f"{root}/hot", f"{root}/checkpoint").awaitTermination()
+        schema = alerts.hot_windows(readings).schema
+    found = alerts.alert_intervals(alerts.read_hot_windows(spark, f"{root}/hot", schema))
+    return found.select("device_id", "location", ntz("fired_at"), ntz("cleared_at"), "max_temp", "hot_windows")
+
+
+def alert_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the alert is up before, during and after the readings, from the pipeline's table."""
+    found = alerts.alert_intervals(pipeline.read_hot(spark, run_in_arrivals(spark, sf_dir)))
+    states = [
+        alerts.alerts_at(found, time).agg(F.count("*").alias("devices")).select(
+            F.lit(time).alias("as_of"), (F.col("devices") > 0).alias("alert"), "devices"
+        )
+        for time in ALERT_TIMES
+    ]
+    return reduce(DataFrame.unionByName, states)
+
+
+def _run_customers(spark: SparkSession, sf_dir: str) -> customers.CustomerTables:
+    """Three runs of the customer pipeline over orders as changes of customer details."""
+    root = new_scratch(spark, "customers")
+    email = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("email")
+    log = change_log(spark, sf_dir).select(
+        "customer_id", F.col("o_orderstatus").alias("name"), email, "o_orderdate", "o_orderkey"
+    )
+    tables = None
+    for part in arrivals(log, "o_orderdate", ORDER_CUTS):
+        part.write.mode("append").parquet(f"{root}/arrivals")
+        arriving = read_stream_table(spark, f"{root}/arrivals", log.schema)
+        tables = customers.run_customers(
+            spark, arriving, f"{root}/tables", "o_orderdate", ["o_orderkey"], ["o_orderdate", "o_orderkey"]
+        )
+    return tables
+
+
+def customer_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served customers after three runs from raw details over the history."""
+    return spark.read.parquet(_run_customers(spark, sf_dir).served)
+
+
+def customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the customer tables: streams over all runs, current rows of the last one."""
+    rows = metrics_table(spark, _run_customers(spark, sf_dir).metrics)
+    current = F.col("table_name") == "current_customers"
+    totals = rows.groupBy("table_name", "metric").agg(
+        F.sum("value").alias("total"), F.max_by("value", "batch_time").alias("last")
+    )
+    return totals.select("table_name", "metric", F.when(current, F.col("last")).otherwise(F.col("total")).alias("value"))
+
+
 QUERIES: dict[str, Query] = {
     "ingest_json": ingested,
     "schema_evolution": schema_evolution,
@@ -524,6 +586,10 @@ QUERIES: dict[str, Query] = {
     "hot_devices_pushdown": hot_devices_pushdown,
     "alert_state": alert_state,
     "alert_stream": alert_stream,
+    "alert_intervals": alert_intervals,
+    "alert_timeline": alert_timeline,
+    "customer_pipeline": customer_pipeline,
+    "customer_metrics": customer_metrics,
     "stream_summary_append": stream_summary_append,
     "stream_summary_complete": stream_summary_complete,
     "stream_summary_partials": stream_summary_partials,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.operators.projections import READING_SCHEMA, to_silver
@@ -12,7 +13,8 @@ from millrace.operators.quality import expect, expect_or_drop, split_quarantine
 from millrace.sources.json_files import INGEST_COLUMNS, ingest_json
 from millrace.sources.schemas import read_evolving
 from millrace.sources.tables import read_if_exists, read_stream_table, start_stream_table
-from millrace.streaming.metrics import MetricsRecorder
+from millrace.streaming.alerts import hot_windows, read_hot_windows, start_hot_windows
+from millrace.streaming.metrics import MetricsRecorder, recorded
 from millrace.streaming.summary import (
     partial_summary,
     read_summary_partials,
@@ -58,6 +60,10 @@ class SensorTables:
     def summary(self) -> str:
         return f"{self.root}/summary"
 
+    @property
+    def alerts(self) -> str:
+        return f"{self.root}/alerts"
+
     @property
     def metrics(self) -> str:
         return f"{self.root}/metrics"
@@ -106,10 +112,22 @@ def run_pipeline(
     readers keep the old tables until it is finished. ``batch_options`` such as
     ``maxBytesPerTrigger`` bound the batches of every stream of the run, so that a
     large backlog does not become one batch.
+
+    The run's metrics are appended to its metrics table; a ``recorder`` that the caller
+    has registered is used for them if given.
     """
     generation = _generation(spark, root) + (1 if full_refresh else 0)
     tables = SensorTables(f"{root}/generation-{generation}")
+    with recorded(spark, recorder) as metrics:
+        queries = _fill(spark, landing, tables, batch_options)
+        if full_refresh:
+            pointer = spark.createDataFrame([(generation,)], "generation int")
+            pointer.coalesce(1).write.mode("append").parquet(f"{root}/generations")
+        metrics.flush(spark, tables.metrics, *queries)
+    return tables
 
+
+def _fill(spark: SparkSession, landing: str, tables: SensorTables, batch_options: dict[str, str]) -> list[StreamingQuery]:
     ingest = ingest_json(
         spark, landing, tables.bronze, tables.checkpoint("bronze"), tables.schema_log,
         hints=READING_SCHEMA, **batch_options,
@@ -121,21 +139,25 @@ def run_pipeline(
     quarantine = start_stream_table(
         quarantine_rows(bronze), tables.quarantine, tables.checkpoint("quarantine"), name="quarantine"
     )
+    _await(silver, quarantine)
+
+    readings = read_stream_table(spark, tables.silver, silver_schema(spark), **batch_options)
+    alerts = start_hot_windows(readings, tables.alerts, tables.checkpoint("alerts"))
+    counted = readings.observe("summary", F.count(F.lit(1)).alias("rows_in"))
     try:
-        silver.awaitTermination()
-        quarantine.awaitTermination()
+        summary = write_summary_partials(counted, tables.summary, tables.checkpoint("summary"))
     finally:
-        silver.stop()
-        quarantine.stop()
+        _await(alerts)
+    return [ingest, silver, quarantine, alerts, summary]
 
-    readings = read_stream_table(spark, tables.silver, silver_schema(spark), **batch_options)
-    write_summary_partials(readings, tables.summary, tables.checkpoint("summary"))
-    if full_refresh:
-        pointer = spark.createDataFrame([(generation,)], "generation int")
-        pointer.coalesce(1).write.mode("append").parquet(f"{root}/generations")
-    if recorder is not None:
-        recorder.flush(spark, tables.metrics, ingest, silver, quarantine)
-    return tables
+
+def _await(*queries: StreamingQuery) -> None:
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def read_bronze(spark: SparkSession, tables: SensorTables) -> DataFrame:
@@ -154,3 +176,9 @@ def read_quarantine(spark: SparkSession, tables: SensorTables) -> DataFrame:
 def read_device_summary(spark: SparkSession, tables: SensorTables) -> DataFrame:
     empty = spark.createDataFrame([], silver_schema(spark))
     return read_summary_partials(spark, tables.summary, partial_summary(empty).schema)
+
+
+def read_hot(spark: SparkSession, tables: SensorTables) -> DataFrame:
+    """Every hot device window so far."""
+    schema = hot_windows(spark.createDataFrame([], silver_schema(spark))).schema
+    return read_hot_windows(spark, tables.alerts, schema)

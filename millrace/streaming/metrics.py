@@ -1,8 +1,11 @@
-"""Run metrics of streams: rows in and out and rule failures per batch."""
+"""Run metrics: rows in and out, rule failures, and state, per batch and table."""
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -43,6 +46,12 @@ class MetricsRecorder(StreamingQueryListener):
             for metric, value in metrics.asDict().items()
             if isinstance(value, int)
         ]
+        for number, state in enumerate(progress.stateOperators):
+            table = f"{progress.name or progress.id}_state_{number}"
+            rows.extend(
+                (str(progress.runId), progress.batchId, progress.timestamp, table, metric, value)
+                for metric, value in (("rows", state.numRowsTotal), ("late_rows", state.numRowsDroppedByWatermark))
+            )
         with self._lock:
             self._rows.extend(rows)
 
@@ -52,12 +61,19 @@ class MetricsRecorder(StreamingQueryListener):
     def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:
         self._end_of(str(event.runId)).set()
 
+    def add(self, table: str, metrics: Mapping[str, int], run_id: str = "batch") -> None:
+        """Metrics of a batch step, from its ``Observation``."""
+        now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        with self._lock:
+            self._rows.extend((run_id, 0, now, table, metric, value) for metric, value in metrics.items())
+
     def flush(self, spark: SparkSession, path: str, *queries: StreamingQuery) -> None:
         """Append what was recorded. Events come later than the batches they
-        report, so wait for the end event of the given queries first."""
+        report, so wait for the end event of the given queries first. Where it does not
+        come, the run is marked, and a later flush appends what comes after all."""
         for query in queries:
             if not self._end_of(str(query.runId)).wait(timeout=60):
-                raise TimeoutError(f"no end event of query {query.name or query.id}")
+                self.add(query.name or str(query.id), {"end_event_missing": 1}, str(query.runId))
         with self._lock:
             rows, self._rows = self._rows, []
         if rows:
@@ -65,6 +81,20 @@ class MetricsRecorder(StreamingQueryListener):
             table.coalesce(1).write.mode("append").parquet(path)
 
 
+@contextmanager
+def recorded(spark: SparkSession, recorder: MetricsRecorder | None) -> Iterator[MetricsRecorder]:
+    """The given recorder, which its owner has registered, or one for the block alone."""
+    if recorder is not None:
+        yield recorder
+        return
+    own = MetricsRecorder()
+    spark.streams.addListener(own)
+    try:
+        yield own
+    finally:
+        spark.streams.removeListener(own)
+
+
 def metrics_table(spark: SparkSession, path: str) -> DataFrame:
     """One row per run, batch, table and metric. A batch that ran again after a
     crash is listed once per run."""

@@ -14,7 +14,9 @@ from millrace.plans.customers import (
     current_customers,
     customer_history,
     raw_customers,
+    run_customers,
 )
+from millrace.operators.filters import sql_params
 from millrace.streaming.metrics import MetricsRecorder, metrics_table
 
 
@@ -76,7 +78,13 @@ def test_pipeline_from_files_to_alert(spark, tmp_path):
     assert counts[("quarantine", "rows_in")] == 2
     assert counts[("silver", "failed__warn_on_high_temp")] == 1
 
+    assert counts[("summary", "rows_in")] == 3
+    assert [(r.device_id, r.max_temp) for r in pipeline.read_hot(spark, tables).collect()] == [("MFG-B-2000", 45.0)]
+
     rebuilt = pipeline.run_pipeline(spark, landing, root, full_refresh=True)
+    # Metrics are recorded without a recorder of the caller's as well.
+    again = {r.table_name for r in metrics_table(spark, rebuilt.metrics).collect()}
+    assert {"bronze", "silver", "silver_drop", "quarantine", "summary"} <= again
     assert rebuilt.root != tables.root and pipeline.current_tables(spark, root) == rebuilt
     one, two = (
         pipeline.read_device_summary(spark, t).select("device_id", "window.start", "avg_temp", "reading_count")
@@ -129,6 +137,34 @@ def test_customer_tables(spark):
     assert customer_history(log, hot_rows=1).count() == 519
 
 
+def test_customer_pipeline_adds_what_is_new(spark, tmp_path):
+    root, landing = str(tmp_path / "tables"), str(tmp_path / "in")
+    schema = "customer_id bigint, name string, email string, changed timestamp"
+    schema = spark.createDataFrame([], schema).schema
+    days = "2024-01-0{} 00:00:00"
+    for number, rows in enumerate((
+        [(1, "a", "a@x", 1), (2, "b", None, 1)], [(1, "a", "b@x", 3)], [(1, "z", "z@x", 2), (3, "c", "c@x", 1)], [],
+    )):
+        batch_rows = spark.createDataFrame([(*r[:3], days.format(r[3])) for r in rows], "customer_id bigint, name string, email string, changed string")
+        batch_rows.withColumn("changed", F.col("changed").cast("timestamp")).coalesce(1).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(schema).parquet(landing)
+        tables = run_customers(spark, arriving, root, "changed", except_columns=["changed"])
+    served = sorted((r.customer_id, r.name, r.email, r.modified_ts.day) for r in spark.read.parquet(tables.served).collect())
+    assert served == [(1, "a", "b@x", 3), (2, "b", None, 1), (3, "c", "c@x", 1)]
+    last = metrics_table(spark, tables.metrics).where("table_name = 'current_customers' AND metric = 'failed__valid_email'")
+    assert {r.value for r in last.collect()} == {1}
+
+
+def test_sql_params_leave_a_view_of_the_caller_alone(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    try:
+        with pytest.raises(Exception, match="mine"):
+            sql_params(spark, "SELECT * FROM mine", {}, mine=spark.range(5))
+        assert spark.table("mine").count() == 3
+    finally:
+        spark.catalog.dropTempView("mine")
+
+
 def test_missing_customer_id_stops_the_load(spark):
     bad = raw_customers(spark, 5).withColumn("customer_id", F.lit(None).cast("long"))
     with pytest.raises(Exception, match="expectation failed: null_id"):

@@ -16,6 +16,8 @@ from millrace.sources.tables import (
     write_stream_table,
     write_version,
 )
+from millrace.streaming import alerts
+from millrace.streaming.metrics import MetricsRecorder, metrics_table, recorded
 from millrace.streaming.history import read_history, scd2_stream
 from millrace.streaming import summary as summaries
 from millrace.streaming.summary import (
@@ -130,6 +132,58 @@ def test_alerts_clear_when_their_window_is_old(spark, tmp_path):
     assert seen == [False, True, False]
 
 
+def test_alert_intervals_fire_clear_and_take_late_windows(spark, tmp_path):
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "hot")
+    states = []
+    for rows in (
+        [at(0, temperature=39.0)],
+        [at(1, temperature=41.0), at(2, temperature=43.0), at(5, temperature=20.0)],
+        [at(9000, temperature=40.0), at(40_000, "b", 50.0)],
+        [at(7200, temperature=45.0)],  # late: joins the windows before and after it
+        [at(7200, temperature=44.0), at(30_000, temperature=41.0)],
+    ):
+        feed.add(rows)
+        alerts.start_hot_windows(feed.stream(), path, str(tmp_path / "checkpoint")).awaitTermination()
+        hot = alerts.read_hot_windows(spark, path, alerts.hot_windows(feed.stream()).schema)
+        found = alerts.alert_intervals(hot, hours=2)
+        states.append(sorted(
+            (r.device_id, (r.fired_at - BASE).total_seconds(), (r.cleared_at - BASE).total_seconds(), r.max_temp, r.hot_windows)
+            for r in found.collect()
+        ))
+    assert states[0] == []
+    assert states[1] == [("a", 0, 7200, 43.0, 1)]
+    assert states[2] == [("a", 0, 7200, 43.0, 1), ("a", 9000, 16200, 40.0, 1), ("b", 39_990, 47_190, 50.0, 1)]
+    assert states[3] == [("a", 0, 16200, 45.0, 3), ("b", 39_990, 47_190, 50.0, 1)]
+    assert states[4][:2] == [("a", 0, 16200, 45.0, 3), ("a", 30_000, 37_200, 41.0, 1)]
+    up = [alerts.alerts_at(found, f"2024-01-01 {time}").count() for time in ("09:59:59", "10:00:00", "14:30:00", "14:30:01", "23:30:00")]
+    assert up == [0, 1, 1, 0, 0]
+    # No state: what is stored are the hot windows of each batch.
+    assert spark.read.parquet(path).count() == 6 and not (tmp_path / "checkpoint" / "state").exists()
+
+
+def test_state_and_late_rows_are_recorded(spark, tmp_path):
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "metrics")
+    for rows in ([at(0), at(10)], [at(600)], [at(5, temperature=99.0), at(610)]):
+        feed.add(rows)
+        with recorded(spark, None) as recorder:
+            query = write_stream_table(
+                device_summary_stream(feed.stream(), "2 minutes"), str(tmp_path / "out"), str(tmp_path / "c"), name="gold",
+            )
+            recorder.flush(spark, path, query)
+    totals = {(r.table_name, r.metric): r.n for r in metrics_table(spark, path).groupBy("table_name", "metric").agg(F.sum("value").alias("n")).collect()}
+    assert totals[("gold_state_0", "late_rows")] == 1 and ("gold_state_0", "rows") in totals
+
+
+def test_a_missing_end_event_marks_the_run(spark, tmp_path, monkeypatch):
+    recorder = MetricsRecorder()
+    query = type("Query", (), {"runId": "r", "id": "i", "name": "lost"})()
+    monkeypatch.setattr(recorder, "_end_of", lambda run_id: type("Event", (), {"wait": lambda self, timeout: False})())
+    recorder.add("table", {"rows_in": 3})
+    recorder.flush(spark, str(tmp_path / "m"), query)
+    rows = {(r.run_id, r.table_name, r.metric, r.value) for r in metrics_table(spark, str(tmp_path / "m")).collect()}
+    assert rows == {("batch", "table", "rows_in", 3), ("r", "lost", "end_event_missing", 1)}
+
+
 @pytest.mark.parametrize("empty", [0, 1, 3])
 def test_partials_take_a_batch_without_valid_rows(spark, tmp_path, monkeypatch, empty):
     monkeypatch.setattr(summaries, "MERGE_PARTS", 3)
