@@ -46,8 +46,9 @@ STEPS_PER_CLASS = 4
 #: Stands between words that are encoded in one call; it never joins with a word.
 BETWEEN = "\x01"
 WORDS_PER_CALL = 64
-#: Words that a worker remembers: as many recent ones, and as many before them.
-MEMORY_WORDS = 3 << 16
+#: Words that a worker remembers (about 200 bytes each): as many recent ones, and as many
+#: before them. Fewer take less memory and more time.
+MEMORY_WORDS = 1 << 19
 
 
 class WordTokenizer:
@@ -57,14 +58,14 @@ class WordTokenizer:
     those of its words one after another. Pickled as the tokenizer file's content.
     """
 
-    def __init__(self, definition: str):
-        self.definition = definition
+    def __init__(self, definition: str, memory_words: int = MEMORY_WORDS):
+        self.definition, self.memory_words = definition, memory_words
 
     def __reduce__(self):
-        return WordTokenizer, (self.definition,)
+        return WordTokenizer, (self.definition, self.memory_words)
 
     def ready(self) -> WordTokenizer:
-        key = zlib.crc32(self.definition.encode())
+        key = zlib.crc32(self.definition.encode()), self.memory_words
         if key not in _READY:
             _READY.clear()
             # Spark has a worker per core already; threads of the tokenizer would be more.
@@ -72,7 +73,7 @@ class WordTokenizer:
             self.tokenizer = Tokenizer.from_str(self.definition)
             normalizer = json.loads(self.definition).get("normalizer") or {}
             self.lowers = any(n["type"] == "Lowercase" for n in normalizer.get("normalizers", [normalizer]) if n)
-            self.memory = PieceMemory(self._encode_words, MEMORY_WORDS)
+            self.memory = PieceMemory(self._encode_words, self.memory_words)
             (self.between,) = self._ids(BETWEEN)
             _READY[key] = self
         return _READY[key]
@@ -103,7 +104,7 @@ class WordTokenizer:
         return self.memory.encode([text.split() for text in (map(bytes.lower, data) if self.lowers else data)])
 
 
-_READY: dict[int, WordTokenizer] = {}
+_READY: dict[tuple[int, int], WordTokenizer] = {}
 
 
 def class_size(length: int, steps: int = CLASS_STEPS) -> int:
@@ -142,7 +143,7 @@ def _cut(tokenizer: WordTokenizer, sequence: int, keep_ids: bool, id_type: pa.Da
 
 def pieces(
     docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text",
-    sequence: int = SEQUENCE, keep_ids: bool = False,
+    sequence: int = SEQUENCE, keep_ids: bool = False, memory_words: int = MEMORY_WORDS,
 ) -> DataFrame:
     """Pieces with their class size, and their rank in the class within a partition."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -152,7 +153,7 @@ def pieces(
         f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
         "size long, part long, local_rank long" + ", ids binary" * keep_ids
     )
-    return rows.mapInArrow(_cut(WordTokenizer(definition), sequence, keep_ids, id_type), schema)
+    return rows.mapInArrow(_cut(WordTokenizer(definition, memory_words), sequence, keep_ids, id_type), schema)
 
 
 def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
@@ -293,7 +294,7 @@ def slots(sizes: np.ndarray, plan: list[tuple[np.ndarray, int]]) -> list[tuple[i
 
 def pack(
     docs: DataFrame, definition: str, doc_id: str = "doc_id", text: str = "text",
-    sequence: int = SEQUENCE, keep_ids: bool = False,
+    sequence: int = SEQUENCE, keep_ids: bool = False, memory_words: int = MEMORY_WORDS,
 ) -> DataFrame:
     """Pieces with ``sequence_id``, ``offset``, and the ``padding`` of their sequence.
 
@@ -301,7 +302,7 @@ def pack(
     ids of a piece are returned as well.
     """
     spark = docs.sparkSession
-    cut = materialize(pieces(docs, definition, doc_id, text, sequence, keep_ids), "pieces")
+    cut = materialize(pieces(docs, definition, doc_id, text, sequence, keep_ids, memory_words), "pieces")
     counts = cut.groupBy("size", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
