@@ -10,6 +10,10 @@ from millrace.llm.queries import word_tokenizer
 from millrace.session import materialize
 
 
+#: The Python workers still hold the tables of earlier stages when they pack.
+MEMORY_WORDS = 3 << 16
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` of the text as it is now."""
     return docs.select(*(
@@ -39,7 +43,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, placed in sequences, with their token ids."""
-    return packing.pack(docs, word_tokenizer(), keep_ids=True)
+    return packing.pack(docs, word_tokenizer(), keep_ids=True, memory_words=MEMORY_WORDS)
 
 
 STAGES = [
