@@ -9,7 +9,9 @@ adds entries; an edit recomputes entries from its place until they repeat the ol
 Documents are cut by the public split pattern, and each piece is encoded alone.
 Defined results: a null or empty text has no tokens and decodes to the empty text; a
 vocabulary must hold all 256 bytes. A text that is no valid UTF-8 does not occur in
-Spark strings; any byte string round-trips.
+Spark strings; any byte string round-trips. Equal texts have equal ids, each row keeps its
+own; an empty table gives an empty one; other columns are not touched, whatever their names.
+A very long text is encoded whole, and a worker holds the ids of one Arrow batch.
 """
 
 from __future__ import annotations
@@ -209,6 +211,8 @@ class Codec:
 
     def ready(self) -> Codec:
         """This codec with its tables; one per process for the same vocabulary."""
+        if self in _READY.values():
+            return self
         key = (hash(self.pattern), len(self.ranks), hash(frozenset(self.ranks.items())))
         if key not in _READY:
             _READY.clear()
@@ -259,26 +263,45 @@ class Codec:
 _READY: dict[tuple, Codec] = {}
 
 
-def encode(text: Column, codec: Codec) -> Column:
-    """Token ids (array of int) of a text column."""
+def _encoded(codec: Codec, values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ids of each text, and all of them in one run."""
+    packed = [ids for chunk in in_chunks(texts(values)) for ids in codec.encode(chunk)]
+    ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)])
+    flat = np.frombuffer(b"".join(packed), "<i4")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), flat
 
-    def batch(values: pa.Array) -> pa.Array:
-        ready = codec.ready()
-        packed = [ids for chunk in in_chunks(texts(values)) for ids in ready.encode(chunk)]
-        ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)])
-        flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
-    return F.arrow_udf(batch, "array<int>")(text)
+def _decoded(codec: Codec, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The bytes of each run of ``counts`` ids."""
+    data, sizes = codec.decode(flat)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def encode(text: Column, codec: Codec) -> Column:
+    """Token ids (array of int) of a text column."""
+    return F.arrow_udf(lambda values: _encoded(codec.ready(), values)[0], "array<int>")(text)
 
 
 def decode(ids: Column, codec: Codec) -> Column:
     """The bytes of an array of token ids; null stands for no tokens."""
 
     def batch(values: pa.Array) -> pa.Array:
-        data, sizes = codec.ready().decode(values.flatten().to_numpy(zero_copy_only=False))
-        ends = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy())])
-        offsets = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        counts = values.value_lengths().fill_null(0).to_numpy()
+        return _decoded(codec.ready(), values.flatten().to_numpy(zero_copy_only=False), counts)
 
     return F.arrow_udf(batch, "binary")(ids)
+
+
+def round_trip(text: Column, codec: Codec) -> Column:
+    """``ids`` and the bytes ``decoded`` from them. ``decode`` of an ``encode`` whose ids are
+    used as well would encode every text twice; here texts and ids cross to Python once."""
+
+    def batch(values: pa.Array) -> pa.Array:
+        ready = codec.ready()
+        ids, flat = _encoded(ready, values)
+        decoded = _decoded(ready, flat, ids.value_lengths().to_numpy())
+        return pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+    return F.arrow_udf(batch, "struct<ids: array<int>, decoded: binary>")(text)

@@ -66,12 +66,12 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
-    ids = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.encode(F.col("text"), codec).alias("ids"))
-    return ids.select(
+    both = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.round_trip(F.col("text"), codec).alias("both"))
+    return both.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids"), codec), 256).alias("decoded_sha256"),
+        F.size("both.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("both.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("both.decoded", 256).alias("decoded_sha256"),
     )
 
 

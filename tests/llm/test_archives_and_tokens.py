@@ -73,6 +73,17 @@ def test_bpe_equals_tiktoken(spark, codec):
     assert table.limit(0).select(byte_bpe.encode(F.col("text"), codec)).count() == 0
 
 
+def test_bpe_round_trip_in_one_crossing(spark, codec):
+    texts = [None, "", "twice", "twice", "日本語 ñ", "long word " * 50_000]
+    table = spark.createDataFrame(list(enumerate(texts)), "ids long, text string").withColumn("decoded", F.lit("x"))
+    both = table.select("ids", "decoded", byte_bpe.round_trip(F.col("text"), codec).alias("both"))
+    for row in both.collect():
+        text = texts[row["ids"]] or ""
+        assert row["both"]["ids"] == reference(codec).encode_ordinary(text)
+        assert bytes(row["both"]["decoded"]) == text.encode() and row["decoded"] == "x"
+    assert both.limit(0).count() == 0
+
+
 def test_bpe_appends_and_edits(codec):
     vocabulary = codec.ready().vocabulary
     draw = random.Random(2)
