@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.plans.views import EVENT_CUTS
 from millrace.sources.customers import DOMAINS, WORDS
 
 SENSOR = """
@@ -240,6 +241,20 @@ ORACLE: dict[str, str] = {
     "stream_summary_append": f"""WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary
       WHERE window_end <= (SELECT max(event_timestamp) FROM sensor WHERE device_id IS NOT NULL)
                           - INTERVAL '2 minutes'""",
+    "late_rows_accounted": f"""WITH {SENSOR},
+      arriving AS (
+        SELECT location, event_timestamp AS t,
+               least(2, (event_timestamp >= TIMESTAMP '{EVENT_CUTS[0]}')::INT
+                        + (event_timestamp >= TIMESTAMP '{EVENT_CUTS[1]}')::INT + (event_id % 50 = 7)::INT) AS arrival
+        FROM sensor WHERE device_id IS NOT NULL AND event_timestamp IS NOT NULL),
+      ends AS (SELECT arrival, max(t) AS last FROM arriving GROUP BY arrival),
+      closing AS (
+        SELECT n AS arrival, time_bucket(INTERVAL '30 seconds', max(last) - INTERVAL '2 minutes') AS closed
+        FROM range(4) AS r(n) JOIN ends ON ends.arrival < n GROUP BY n),
+      judged AS (
+        SELECT location, CASE WHEN t < c.closed THEN 'late' WHEN t < f.closed THEN 'closed' ELSE 'open' END AS kind
+        FROM arriving a LEFT JOIN closing c USING (arrival) JOIN closing f ON f.arrival = 3)
+      SELECT location, kind, count(*) AS n FROM judged GROUP BY ALL""",
     "stream_summary_complete": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary",
     "stream_summary_partials": f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary",
     "scd2_history": HISTORY,

@@ -28,7 +28,7 @@ from millrace.sources.audit import with_ingest_meta
 from millrace.sources.customers import customer_details
 from millrace.sources.json_files import ingest_json
 from millrace.sources.tables import read_stream_table, write_stream_table
-from millrace.streaming import alerts
+from millrace.streaming import alerts, late
 from millrace.streaming.history import read_history, scd2_stream
 from millrace.streaming.metrics import MetricsRecorder, metrics_table
 from millrace.streaming.summary import (
@@ -484,6 +484,27 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot.select("device_id", "location", ntz("window_start"), "max_temp")
 
 
+def late_rows_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings per location in closed windows, in open ones, and behind the watermark; one
+    reading in fifty comes with the next arrival."""
+    root = new_scratch(spark, "late")
+    number = F.when(F.col("event_timestamp") < F.lit(EVENT_CUTS[0]).cast("timestamp_ntz"), 0).when(
+        F.col("event_timestamp") < F.lit(EVENT_CUTS[1]).cast("timestamp_ntz"), 1).otherwise(2)
+    delayed = F.least(number + (F.col("event_id") % 50 == 7).cast("int"), F.lit(2))
+    readings = sensor(spark, sf_dir).withColumn("arrival", delayed)
+    schema = None
+    for arrival in range(3):
+        stream = _arriving_silver(spark, root, readings.where(F.col("arrival") == arrival))
+        late.write_closing_summary(stream, f"{root}/out", f"{root}/checkpoint")
+        schema = stream.schema
+    of_partials = partial_summary(spark.createDataFrame([], schema)).schema
+    found = late.read_closing_summary(spark, f"{root}/out", of_partials).select(
+        "location", F.when(F.col("closed"), "closed").otherwise("open").alias("kind"), F.col("reading_count").alias("n")
+    )
+    behind = late.read_late(spark, f"{root}/out", schema).select("location", F.lit("late").alias("kind"), F.lit(1).alias("n"))
+    return found.unionByName(behind).groupBy("location", "kind").agg(F.sum("n").alias("n"))
+
+
 ALERT_TIMES = ("2023-12-31 00:00:00", "2024-01-15 12:00:00", "2024-02-15 00:00:00")
 
 
@@ -591,6 +612,7 @@ QUERIES: dict[str, Query] = {
     "customer_pipeline": customer_pipeline,
     "customer_metrics": customer_metrics,
     "stream_summary_append": stream_summary_append,
+    "late_rows_accounted": late_rows_accounted,
     "stream_summary_complete": stream_summary_complete,
     "stream_summary_partials": stream_summary_partials,
     "scd2_history": scd2_history,

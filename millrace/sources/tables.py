@@ -117,6 +117,16 @@ def _written_parts(spark: SparkSession, folder: str) -> set[int]:
     return {int(n.removeprefix("part=")) for n in names if n.startswith("part=")}
 
 
+def part_bytes(spark: SparkSession, path: str, live: Mapping[int, int]) -> dict[int, int]:
+    """Stored size of every live part that has rows."""
+    sizes = {}
+    for part, version in live.items():
+        if version >= 0:
+            files, folder = _file_system(spark, f"{path}/data/version={version}/part={part}")
+            sizes[part] = files.getContentSummary(folder).getLength()
+    return sizes
+
+
 def write_version(
     df: DataFrame, path: str, version: int, parts: Sequence[int], live: Mapping[int, int]
 ) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from millrace.functions.times import since
 from millrace.operators.windows import WINDOW, device_summary, hot_devices
-from millrace.sources.tables import is_committed, live_parts, read_versioned, write_version
+from millrace.sources.tables import is_committed, live_parts, part_bytes, read_versioned, write_version
 
 # Fixed value: how late a reading may be when a watermark is used.
 WATERMARK = "2 minutes"
@@ -68,9 +68,6 @@ def write_summary_complete(summary: DataFrame, path: str, checkpoint: str) -> St
     return query
 
 
-# A table of partial summaries with this many parts is merged into one part.
-MERGE_PARTS = 32
-
 PARTIAL_COLUMNS = {
     "sum_temp": "sum(temperature_celsius)",
     "n_temp": "count(temperature_celsius)",
@@ -95,6 +92,40 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     return partials.groupBy("device_id", "location", "window").agg(*columns)
 
 
+def parts_to_merge(sizes: Mapping[int, int]) -> list[int]:
+    """The newest parts that are of like size; nothing if the newest stands alone.
+
+    A part joins those after it if it is at most twice as large as they are together. What
+    stays behind is more than twice as large as what follows, so the parts of a table are
+    as many as a logarithm of its size, and a row is written again as often.
+    """
+    group, total = [], 0
+    for part in sorted(sizes, reverse=True):
+        if group and sizes[part] > 2 * total:
+            break
+        group.append(part)
+        total += sizes[part]
+    return group if len(group) > 1 else []
+
+
+def add_partials(partials: DataFrame, path: str, batch_id: int, schema: StructType) -> bool:
+    """Commit the partial summary of a batch as a part of its own, and merge parts of like
+    size that older batches left. False, and nothing is done, if the batch was committed."""
+    spark = partials.sparkSession
+    live = live_parts(spark, path)
+    if is_committed(live, batch_id):
+        return False
+    live = {part: version for part, version in live.items() if version >= 0}
+    rows, parts = partials.withColumn("part", F.lit(batch_id).cast("int")), [batch_id]
+    group = parts_to_merge(part_bytes(spark, path, live))
+    if group:
+        before = read_versioned(spark, path, schema, {part: live.pop(part) for part in group}).drop("part")
+        merged = merge_partials(before).withColumn("part", F.lit(group[0]).cast("int"))
+        rows, parts = rows.unionByName(merged), [group[0], batch_id]
+    write_version(rows, path, batch_id, parts, live)
+    return True
+
+
 def write_summary_partials(
     readings: DataFrame, path: str, checkpoint: str, window: str = WINDOW
 ) -> StreamingQuery:
@@ -102,20 +133,12 @@ def write_summary_partials(
 
     Every batch adds the partial summary of its own rows, so the work of a batch
     grows with the batch and not with the table, late readings count, and nothing
-    is kept in executors between batches. Parts are merged from time to time.
+    is kept in executors between batches. Parts of like size are merged.
     """
     schema = partial_summary(readings, window).schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        live = live_parts(spark, path)
-        if is_committed(live, batch_id):
-            return
-        partials = partial_summary(batch, window)
-        if len(live) >= MERGE_PARTS:
-            before = read_versioned(spark, path, schema, live).drop("part")
-            partials, live = merge_partials(partials.unionByName(before)), {}
-        write_version(partials.withColumn("part", F.lit(batch_id).cast("int")), path, batch_id, [batch_id], live)
+        add_partials(partial_summary(batch, window), path, batch_id, schema)
 
     query = (
         readings.writeStream.foreachBatch(add)

@@ -16,7 +16,7 @@ from millrace.sources.tables import (
     write_stream_table,
     write_version,
 )
-from millrace.streaming import alerts
+from millrace.streaming import alerts, late
 from millrace.streaming.metrics import MetricsRecorder, metrics_table, recorded
 from millrace.streaming.history import read_history, scd2_stream
 from millrace.streaming import summary as summaries
@@ -83,9 +83,7 @@ def test_complete_counts_late_rows_and_equals_batch(spark, tmp_path):
     assert live_parts(spark, path) == {0: 2}
 
 
-@pytest.mark.parametrize("merge_parts", [2, 32])
-def test_partial_summaries_equal_batch(spark, tmp_path, monkeypatch, merge_parts):
-    monkeypatch.setattr(summaries, "MERGE_PARTS", merge_parts)
+def test_partial_summaries_equal_batch(spark, tmp_path):
     feed = Feed(spark, str(tmp_path / "in"), READINGS)
     path, schema = str(tmp_path / "out"), None
     for rows in (
@@ -101,7 +99,58 @@ def test_partial_summaries_equal_batch(spark, tmp_path, monkeypatch, merge_parts
     order = ["device_id", "window"]
     batch = device_summary(spark.read.parquet(feed.path)).orderBy(order).collect()
     assert summaries.read_summary_partials(spark, path, schema).orderBy(order).collect() == batch
-    assert len(live_parts(spark, path)) <= max(merge_parts, 5 if merge_parts > 5 else 0)
+    # Parts of like size became one, so fewer are left than there were batches.
+    assert len(live_parts(spark, path)) < 5
+
+
+@pytest.mark.parametrize("sizes", [[1] * 200, [1, 9, 2] * 67, list(range(1, 201)), list(range(200, 0, -1)), [1000] + [1] * 199])
+def test_parts_merge_by_levels(sizes):
+    live, written, bound = {}, 0, sum(sizes).bit_length()
+    for batch, size in enumerate(sizes):
+        group = summaries.parts_to_merge(live)
+        if group:
+            live[group[0]] = sum(live.pop(part) for part in group)
+            written += live[group[0]]
+        live[batch] = size
+        written += size
+        assert len(live) <= bound + 2
+    assert sum(live.values()) == sum(sizes) and written <= sum(sizes) * (2 * bound + 2)
+
+
+def test_late_rows_go_to_their_own_table(spark, tmp_path):
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "out")
+    stream = spark.createDataFrame([], READINGS)
+    no_time = ("a", "x", None, 1.0, 0.5)
+    for rows in ([], [at(0), no_time], [at(600)], [at(5), at(480), at(479), at(610)], [at(600), no_time]):
+        feed.add(rows)
+        late.write_closing_summary(feed.stream(), path, str(tmp_path / "checkpoint"))
+    assert [r.event_timestamp for r in late.read_late(spark, path, stream.schema).orderBy("event_timestamp").collect()] == [
+        None, None, BASE + timedelta(seconds=5), BASE + timedelta(seconds=479)
+    ]
+    schema = summaries.partial_summary(stream).schema
+    found = late.read_closing_summary(spark, path, schema).orderBy("window").collect()
+    assert [((r.window.start - BASE).seconds, r.reading_count, r.closed) for r in found] == [
+        (0, 1, True), (480, 1, False), (600, 3, False)
+    ]
+
+
+def test_a_batch_that_died_before_its_mark(spark, tmp_path):
+    feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "out")
+    feed.add([at(0), at(600)])
+    late.write_closing_summary(feed.stream(), path, str(tmp_path / "checkpoint"))
+    # The same batch again, without its mark: a new checkpoint over the same output.
+    os.rename(f"{path}/marks", str(tmp_path / "marks_before"))
+    late.write_closing_summary(feed.stream(), path, str(tmp_path / "again"))
+    schema = summaries.partial_summary(feed.stream()).schema
+    found = late.read_closing_summary(spark, path, schema).orderBy("window").collect()
+    assert [(r.reading_count, r.closed) for r in found] == [(1, True), (1, False)]
+
+
+def test_late_rows_of_a_new_table(spark, tmp_path):
+    readings = spark.createDataFrame([], READINGS)
+    schema = summaries.partial_summary(readings).schema
+    assert late.read_late(spark, str(tmp_path), readings.schema).count() == 0
+    assert late.read_closing_summary(spark, str(tmp_path), schema).count() == 0
 
 
 def test_alerts_keep_the_newest_maximum(spark, tmp_path):
@@ -185,8 +234,7 @@ def test_a_missing_end_event_marks_the_run(spark, tmp_path, monkeypatch):
 
 
 @pytest.mark.parametrize("empty", [0, 1, 3])
-def test_partials_take_a_batch_without_valid_rows(spark, tmp_path, monkeypatch, empty):
-    monkeypatch.setattr(summaries, "MERGE_PARTS", 3)
+def test_partials_take_a_batch_without_valid_rows(spark, tmp_path, empty):
     feed, path = Feed(spark, str(tmp_path / "in"), READINGS), str(tmp_path / "summary")
     for number in range(5):
         row = at(number)
