@@ -108,13 +108,13 @@ def parts_to_merge(sizes: Mapping[int, int]) -> list[int]:
     return group if len(group) > 1 else []
 
 
-def add_partials(partials: DataFrame, path: str, batch_id: int, schema: StructType) -> bool:
+def add_partials(partials: DataFrame, path: str, batch_id: int, schema: StructType) -> None:
     """Commit the partial summary of a batch as a part of its own, and merge parts of like
-    size that older batches left. False, and nothing is done, if the batch was committed."""
+    size that older batches left. A batch that was committed before is left as it is."""
     spark = partials.sparkSession
     live = live_parts(spark, path)
     if is_committed(live, batch_id):
-        return False
+        return
     live = {part: version for part, version in live.items() if version >= 0}
     rows, parts = partials.withColumn("part", F.lit(batch_id).cast("int")), [batch_id]
     group = parts_to_merge(part_bytes(spark, path, live))
@@ -123,7 +123,6 @@ def add_partials(partials: DataFrame, path: str, batch_id: int, schema: StructTy
         merged = merge_partials(before).withColumn("part", F.lit(group[0]).cast("int"))
         rows, parts = rows.unionByName(merged), [group[0], batch_id]
     write_version(rows, path, batch_id, parts, live)
-    return True
 
 
 def write_summary_partials(
