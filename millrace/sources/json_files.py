@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import (
+    QueryIdleEvent,
+    QueryProgressEvent,
+    QueryStartedEvent,
+    QueryTerminatedEvent,
+    StreamingQueryListener,
+    StreamingQueryProgress,
+)
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from millrace.sources.audit import with_ingest_meta
-from millrace.sources.schemas import (
-    RECORD,
-    field,
-    from_schema_text,
-    infer_and_merge_schema,
-    logged_schema,
-    merge_schema,
-    record_schema,
-    widen,
-)
+from millrace.sources.schemas import RECORD, field, journal_schemas, record_schema
 from millrace.sources.tables import write_stream_table
 
 # Text of a line that is no JSON.
@@ -66,30 +69,68 @@ def ingest_json(
     collected while they are read, so the files are parsed once.
     """
     rows = read_landing(spark, path, hints, **options).observe(
-        name, F.count(F.lit(1)).alias("rows_in"), record_schema().alias("record_schema")
+        name,
+        F.count(F.lit(1)).alias("rows_in"),
+        record_schema().alias("record_schema"),
+        # As text: it is no counter of rows, which metrics tables add up.
+        F.unix_micros(F.max("ingestion_timestamp")).cast("string").alias("ingested"),
     )
-    query = write_stream_table(rows, target, checkpoint, name=name)
-    _log_schema(spark, query, name, target, schema_log)
+    with batch_schemas(spark, name) as seen:
+        query = write_stream_table(rows, target, checkpoint, name=name)
+        found = seen.of(query)
+    if found:
+        journal_schemas(spark, target, schema_log, found)
     return query
 
 
-def _log_schema(
-    spark: SparkSession, query: StreamingQuery, name: str, bronze: str, schema_log: str
-) -> None:
-    """Log the schemas of the run's batches.
+class BatchSchemas(StreamingQueryListener):
+    """The schema text and the ingestion time of every batch that ends. A query itself
+    remembers its last hundred batches only."""
 
-    A query remembers its last batches only, and a run may have died before it
-    logged. If batches are missing, the schema is taken from the whole table.
-    """
-    batches = {p.batchId: p for p in query.recentProgress if p.numInputRows > 0}
-    if not batches:
-        return
-    logged, _ = logged_schema(spark, schema_log)
-    if set(batches) != set(range(logged + 1, max(batches) + 1)):
-        infer_and_merge_schema(spark, bronze, schema_log, max(batches))
-        return
-    texts = [p.observedMetrics[name]["record_schema"] for p in batches.values()]
-    found = StructType()
-    for text in dict.fromkeys(texts):
-        found = widen(found, from_schema_text(text))
-    merge_schema(spark, schema_log, found, max(batches))
+    def __init__(self, name: str):
+        self.name = name
+        self._changed = threading.Condition()
+        self._found: dict[str, dict[int, tuple[str | None, int]]] = {}
+        self._ended: set[str] = set()
+
+    def onQueryStarted(self, event: QueryStartedEvent) -> None:
+        pass
+
+    def onQueryProgress(self, event: QueryProgressEvent) -> None:
+        progress = event.progress
+        with self._changed:
+            self._note(str(progress.runId), progress)
+
+    def onQueryIdle(self, event: QueryIdleEvent) -> None:
+        pass
+
+    def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def _note(self, run: str, progress: StreamingQueryProgress) -> None:
+        if progress.numInputRows > 0 and self.name in progress.observedMetrics:
+            metrics = progress.observedMetrics[self.name]
+            batches = self._found.setdefault(run, {})
+            batches[progress.batchId] = (metrics["record_schema"], int(metrics["ingested"]))
+
+    def of(self, query: StreamingQuery, wait: float = 60) -> dict[int, tuple[str | None, int]]:
+        """What was found of a query that ended. If its last event does not come, batches may
+        be missing, but for those that the query remembers."""
+        run = str(query.runId)
+        with self._changed:
+            self._changed.wait_for(lambda: run in self._ended, wait)
+            for progress in query.recentProgress:
+                self._note(run, progress)
+            return self._found.get(run, {})
+
+
+@contextmanager
+def batch_schemas(spark: SparkSession, name: str) -> Iterator[BatchSchemas]:
+    listener = BatchSchemas(name)
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)

@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import re
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DataType,
@@ -26,7 +28,9 @@ from pyspark.sql.types import (
 from millrace.sources.tables import read_if_exists
 
 RECORD = "record"
-LOG_SCHEMA = "last_batch long, schema_json string"
+# One row per batch: the schema of all records up to it, and the ingestion time of its rows
+# in microseconds.
+LOG_SCHEMA = "last_batch long, schema_json string, ingested long"
 
 
 def record_schema(record: str = RECORD) -> Column:
@@ -108,23 +112,58 @@ def logged_schema(spark: SparkSession, schema_log: str) -> tuple[int, StructType
     return newest[0], StructType.fromJson(json.loads(newest[1]))
 
 
-def merge_schema(
-    spark: SparkSession, schema_log: str, found: StructType, last_batch: int
+def journal_schemas(
+    spark: SparkSession,
+    bronze: str,
+    schema_log: str,
+    found: Mapping[int, tuple[str | None, int]],
 ) -> StructType:
-    """Merge a found schema into the log."""
-    merged = widen(logged_schema(spark, schema_log)[1], found)
-    row = spark.createDataFrame([(last_batch, merged.json())], LOG_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(schema_log)
+    """Log the batches after the logged ones up to the last one that was found.
+
+    ``found`` holds the schema text and the ingestion time of the batches that are known. The
+    others are read from the rows of the bronze table that were ingested between the known
+    batches around them, and from no others.
+    """
+    logged, merged = logged_schema(spark, schema_log)
+    expected = range(logged + 1, max(found) + 1)
+    missing = [batch for batch in expected if batch not in found]
+    if missing:
+        before = {batch: time for batch, (_, time) in found.items() if batch < missing[0]}
+        start = before[max(before)] if before else logged_time(spark, schema_log)
+        after = {batch: time for batch, (_, time) in found.items() if batch > missing[-1]}
+        text = schema_between(spark, bronze, start, after[min(after)])
+        merged = widen(merged, from_schema_text(text))
+    rows = []
+    for batch in sorted(set(expected).intersection(found)):
+        text, time = found[batch]
+        merged = widen(merged, from_schema_text(text))
+        rows.append((batch, merged.json(), time))
+    if rows:
+        spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(schema_log)
     return merged
 
 
-def infer_and_merge_schema(
-    spark: SparkSession, bronze: str, schema_log: str, last_batch: int
-) -> StructType:
-    """Infer the schema of all records of a bronze table and merge it with the log."""
-    rows = spark.read.schema(f"{RECORD} variant").parquet(bronze)
-    found = from_schema_text(rows.agg(record_schema()).first()[0])
-    return merge_schema(spark, schema_log, found, last_batch)
+# The ingestion time is a wall clock, which goes back by an hour once a year.
+CLOCK_CHANGE = 3_600_000_000
+
+
+def schema_between(
+    spark: SparkSession, bronze: str, start: int | None, end: int | None
+) -> str | None:
+    """Schema text of the records ingested from ``start`` to ``end`` (open if None). All rows
+    of a batch have one ingestion time, so other files are skipped by their statistics."""
+    rows = spark.read.schema(f"{RECORD} variant, ingestion_timestamp timestamp").parquet(bronze)
+    if start is not None:
+        rows = rows.where(F.col("ingestion_timestamp") >= F.timestamp_micros(F.lit(start - CLOCK_CHANGE)))
+    if end is not None:
+        rows = rows.where(F.col("ingestion_timestamp") <= F.timestamp_micros(F.lit(end + CLOCK_CHANGE)))
+    return rows.agg(record_schema()).first()[0]
+
+
+def logged_time(spark: SparkSession, schema_log: str) -> int | None:
+    """Ingestion time of the last logged batch; None if that is not known."""
+    log = read_if_exists(spark, schema_log, LOG_SCHEMA)
+    return log.agg(F.max_by("ingested", "last_batch")).first()[0] if log is not None else None
 
 
 def field(name: str, dtype: DataType) -> Column:

@@ -16,6 +16,7 @@ from millrace.session import materialize, scratch_root
 from millrace.sources.audit import with_ingest_meta
 from millrace.sources.customers import synthetic_customers
 from millrace.sources.json_files import ingest_json
+from millrace.sources import schemas
 from millrace.sources.schemas import evolve_union, from_schema_text, logged_schema, widen
 
 
@@ -99,6 +100,37 @@ def test_schema_is_found_when_the_log_missed_batches(spark, tables, tmp_path):
     assert rows["3"].first is None
 
 
+def test_a_long_run_is_journalled_without_reading_bronze(spark, tables, tmp_path, monkeypatch):
+    def read(*_):
+        raise AssertionError("bronze was read")
+
+    monkeypatch.setattr(schemas, "schema_between", read)
+    landing = str(tmp_path / "landing")
+    for number in range(104):
+        land(landing, f"{number:03}.json", [reading(number, **{f"f{number % 3}": number})], at=number)
+    query = run(spark, landing, tables, maxFilesPerTrigger="1")
+    assert len(query.recentProgress) < 104
+    log = spark.read.parquet(tables.schema_log)
+    assert sorted(r.last_batch for r in log.collect()) == list(range(104))
+    last, schema = logged_schema(spark, tables.schema_log)
+    assert last == 103 and {"f0", "f1", "f2"} <= set(schema.names)
+
+
+def test_a_gap_is_read_from_its_own_rows(spark, tmp_path):
+    bronze, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+    times = {number: (number + 1) * 3 * schemas.CLOCK_CHANGE for number in range(5)}
+    for number, name in enumerate("abcde"):
+        row = spark.createDataFrame([(f'{{"{name}": 1}}', times[number])], "t string, at long")
+        row = row.select(F.parse_json("t").alias("record"), F.timestamp_micros("at").alias("ingestion_timestamp"))
+        row.write.mode("append").parquet(bronze)
+    # Batch 0 is logged with a field of its own; of 1 to 4, batch 2 did not report.
+    schemas.journal_schemas(spark, bronze, log, {0: ("OBJECT<z: BIGINT>", times[0])})
+    found = {1: ("OBJECT<b: BIGINT>", times[1]), 3: ("OBJECT<d: BIGINT>", times[3]), 4: ("OBJECT<y: BIGINT>", times[4])}
+    assert schemas.journal_schemas(spark, bronze, log, found).names == ["z", "b", "c", "d", "y"]
+    assert logged_schema(spark, log)[0] == 4
+    assert schemas.schema_between(spark, bronze, None, times[0]) == "OBJECT<a: BIGINT>"
+
+
 def test_values_of_another_type_stay_in_the_record(spark, tables, tmp_path):
     landing = str(tmp_path / "landing")
     land(landing, "1.json", [reading(1, temperature_celsius="hot")])
