@@ -17,6 +17,7 @@ from millrace.operators.filters import (
     apply_filters,
     parse_select,
 )
+from millrace.operators.page_directory import write_directory
 from millrace.operators.paging import (
     KEYSET,
     MAX_LIMIT,
@@ -106,9 +107,10 @@ def write_served(df: DataFrame, path: str) -> None:
 
     Rows without a sort key could not be reached by any cursor, so they stop the
     write. Range-ordered files have narrow key statistics: a cursor skips most of
-    them.
+    them. A directory of the files lets ``page_at`` and ``all_pages`` find any page.
     """
     names = key_names(KEYSET)
     rules = {f"{name}_given": F.col(name).isNotNull() for name in names}
     checked = expect_or_fail(df, rules, Observation())
     checked.orderBy(*order_columns(KEYSET)).write.mode("overwrite").parquet(path)
+    write_directory(df.sparkSession, path, KEYSET)

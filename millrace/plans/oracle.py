@@ -282,6 +282,13 @@ ORACLE: dict[str, str] = {
         WHERE o.o_orderstatus IS DISTINCT FROM n.o_orderstatus""",
     "page_first": served(f"TRUE {NEWEST} LIMIT 50"),
     "page_after": served(f"{BEYOND} {NEWEST} LIMIT 200"),
+    "page_at": f"""WITH {SERVED}
+      SELECT * EXCLUDE (n), CAST(n // 70 + 1 AS INTEGER) AS page_no
+      FROM (SELECT *, row_number() OVER ({NEWEST}) - 1 AS n FROM served)
+      WHERE n // 70 + 1 IN (1, 9, 22)""",
+    "all_pages": f"""WITH {SERVED}
+      SELECT customer_id, modified_ts, n // 150 + 1 AS page_no, n % 150 + 1 AS row_in_page
+      FROM (SELECT *, row_number() OVER ({NEWEST}) - 1 AS n FROM served)""",
     "page_projection": served(f"{BEYOND} {NEWEST} LIMIT 20", "name, phone"),
     "page_summary": f"""WITH {SERVED},
       hits AS (

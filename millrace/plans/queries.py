@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from millrace.functions.cursors import parse_cursor
 from millrace.functions.times import parse_event_time
-from millrace.operators import cdc, filters, paging, quality, windows
+from millrace.operators import cdc, filters, page_directory, paging, quality, windows
 from millrace.operators.projections import READING_SCHEMA, to_silver
 from millrace.plans import customers, sensor as pipeline
-from millrace.plans.data_pages import PageRequest, PageService
+from millrace.plans.data_pages import PageRequest, PageService, write_served
 from millrace.plans.views import (
     EVENT_CUTS,
     ORDER_CUTS,
@@ -247,6 +247,26 @@ def page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page(served(spark, sf_dir), limit=500, cursor=CURSOR)
 
 
+PAGE_NUMBERS = (1, 9, 22)
+
+
+def page_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 70 rows by number, out of the stored table."""
+    path = new_scratch(spark, "served")
+    write_served(served(spark, sf_dir), path)
+    pages = [
+        page_directory.page_at(spark, path, number, 70).withColumn("page_no", F.lit(number)) for number in PAGE_NUMBERS
+    ]
+    return reduce(DataFrame.unionByName, pages)
+
+
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of every row of the stored table."""
+    path = new_scratch(spark, "served")
+    write_served(served(spark, sf_dir), path)
+    return page_directory.all_pages(spark, path, 150).select("customer_id", "modified_ts", "page_no", "row_in_page")
+
+
 def page_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page(served(spark, sf_dir), limit=20, cursor=CURSOR, select=["name", "phone"])
 
@@ -623,6 +643,8 @@ QUERIES: dict[str, Query] = {
     "change_feed": change_feed,
     "page_first": page_first,
     "page_after": page_after,
+    "page_at": page_at,
+    "all_pages": all_pages,
     "page_projection": page_projection,
     "page_summary": page_summary,
     "keyset_after": keyset_after,

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.cursors import cursor_token, decode_cursor, parse_cursor
-from millrace.operators import filters, paging
+from millrace.operators import filters, page_directory, paging
 from millrace.plans.data_pages import PageRequest, PageService, write_served
 
 SCHEMA = "customer_id long, name string, email string, ip_addr string, phone string, modified_ts timestamp"
@@ -149,6 +149,44 @@ def test_served_table_is_ordered_and_has_all_keys(served, spark, rows, tmp_path)
         write_served(lost, str(tmp_path / "lost"))
 
 
+def test_a_page_by_number_reads_its_own_files(served, spark, rows, tmp_path):
+    path = str(tmp_path / "served")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        write_served(served.withColumns({"n": F.lit(1), "file": F.lit(2), "before": F.lit(3)}), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    expected, files = newest_first(rows), len(spark.read.parquet(path).inputFiles())
+    for number in range(1, len(expected) // 10 + 3):
+        page = page_directory.page_at(spark, path, number, 10)
+        assert [r.customer_id for r in page.collect()] == expected[(number - 1) * 10 : number * 10]
+        if page.count():
+            assert len(page.inputFiles()) <= 10 < files
+    assert page_directory.page_at(spark, path, 1, 5, ["name", "n"]).columns == ["name", "n"]
+    found = page_directory.all_pages(spark, path, 10).orderBy("page_no", "row_in_page").collect()
+    assert [r.customer_id for r in found] == expected and {r.before for r in found} == {3}
+    assert [(r.page_no, r.row_in_page) for r in found] == [(i // 10 + 1, i % 10 + 1) for i in range(len(expected))]
+    with pytest.raises(ValueError, match="from 1"):
+        page_directory.page_at(spark, path, 0)
+
+
+def test_pages_by_number_of_equal_keys_and_of_no_rows(spark, tmp_path):
+    equal, empty = str(tmp_path / "equal"), str(tmp_path / "empty")
+    rows = spark.range(100).selectExpr("timestamp_seconds(0) AS modified_ts", "1L AS customer_id", "id")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "9")
+    try:
+        write_served(rows, equal)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    seen = [r.id for number in range(1, 7) for r in page_directory.page_at(spark, equal, number, 20).collect()]
+    assert sorted(seen) == list(range(100))
+    write_served(rows.limit(0), empty)
+    assert page_directory.page_at(spark, empty, 1).columns == rows.columns
+    assert page_directory.page_at(spark, empty, 1).count() == page_directory.all_pages(spark, empty).count() == 0
+
+
 # Cursor tokens
 
 
