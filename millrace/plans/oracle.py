@@ -241,6 +241,7 @@ ORACLE: dict[str, str] = {
     "stream_summary_append": f"""WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary
       WHERE window_end <= (SELECT max(event_timestamp) FROM sensor WHERE device_id IS NOT NULL)
                           - INTERVAL '2 minutes'""",
+    "unpacked_arrays": "SELECT event_id, value, props FROM events",
     "late_rows_accounted": f"""WITH {SENSOR},
       arriving AS (
         SELECT location, event_timestamp AS t,

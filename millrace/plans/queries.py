@@ -22,8 +22,10 @@ from millrace.plans.views import (
     order_versions,
     sensor,
     served,
+    table,
 )
 from millrace.session import new_scratch
+from millrace.sources import json_arrays
 from millrace.sources.audit import with_ingest_meta
 from millrace.sources.customers import customer_details
 from millrace.sources.json_files import ingest_json
@@ -504,6 +506,16 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot.select("device_id", "location", ntz("window_start"), "max_temp")
 
 
+def unpacked_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events out of files of one line each, with the braces of ``props`` inside strings."""
+    root = new_scratch(spark, "arrays")
+    events = table(spark, sf_dir, "events").select("event_id", "value", "props")
+    items = events.select(F.to_json(F.struct("*")).alias("value"))
+    items.write.option("lineSep", ",").text(f"{root}/source")
+    json_arrays.unpack_arrays(spark, f"{root}/source", f"{root}/lines", f"{root}/checkpoint")
+    return spark.read.schema(events.schema).json(f"{root}/lines").select("event_id", "value", "props")
+
+
 def late_rows_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per location in closed windows, in open ones, and behind the watermark; one
     reading in fifty comes with the next arrival."""
@@ -587,6 +599,7 @@ def customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "ingest_json": ingested,
+    "unpacked_arrays": unpacked_arrays,
     "schema_evolution": schema_evolution,
     "ingest_meta": ingest_meta,
     "synthetic_customers": details,

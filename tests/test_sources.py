@@ -16,7 +16,7 @@ from millrace.session import materialize, scratch_root
 from millrace.sources.audit import with_ingest_meta
 from millrace.sources.customers import synthetic_customers
 from millrace.sources.json_files import ingest_json
-from millrace.sources import schemas
+from millrace.sources import json_arrays, schemas
 from millrace.sources.schemas import evolve_union, from_schema_text, logged_schema, widen
 
 
@@ -232,3 +232,51 @@ def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == root
     kept = materialize(spark.range(5), "t")
     assert kept.count() == 5 and root in kept.inputFiles()[0]
+
+
+ODD = [
+    {"a": 1}, {}, {"s": "}{\"}{ \\"}, {"s": "a\\\"{", "n": {"m": {"o": "}"}, "p": [{"q": 1}, {}]}},
+    {"}": "{"}, {"s": "é日本 [1, {2}]\n"}, {"s": ""}, {"s": "\\\\"}, {"s": "\\\\\"}, {"},
+]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_an_array_is_taken_apart_by_many_tasks(spark, tmp_path, indent):
+    source = str(tmp_path / "source")
+    items = [{**odd, "id": n * len(ODD) + i} for n in range(400) for i, odd in enumerate(ODD)]
+    os.makedirs(source)
+    with open(os.path.join(source, "1.json"), "w") as file:
+        json.dump(items, file, indent=indent, ensure_ascii=False)
+    with open(os.path.join(source, "2.json"), "w") as file:
+        file.write("\n".join(json.dumps({**odd, "id": -1 - i}) for i, odd in enumerate(ODD)))
+    (tmp_path / "source" / "3.json").write_text("[]")
+    (tmp_path / "source" / "4.json").write_text("")
+    (tmp_path / "source" / "5.json").write_text('[1, {"id": -100}, two, {"id": -101}, "x"]')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        text = spark.read.option("lineSep", json_arrays.CLOSE).text(source)
+        assert text.rdd.getNumPartitions() > 5
+        json_arrays.unpack_arrays(spark, source, str(tmp_path / "lines"), str(tmp_path / "checkpoint"))
+        lines = [r.value for r in spark.read.text(str(tmp_path / "lines")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    stray = sorted(line for line in lines if not line.startswith("{"))
+    assert stray == ['"x"', "1", "two"]
+    expected = items + [{**odd, "id": -1 - i} for i, odd in enumerate(ODD)] + [{"id": -100}, {"id": -101}]
+    found = [json.loads(line) for line in lines if line.startswith("{")]
+    assert sorted(found, key=lambda r: r["id"]) == sorted(expected, key=lambda r: r["id"])
+
+
+def test_an_unpacked_array_gives_the_same_bronze(spark, tables, tmp_path):
+    source, lines = str(tmp_path / "source"), str(tmp_path / "lines")
+    land(source, "1.json", [reading(n, note="{}}") for n in range(50)])
+    json_arrays.unpack_arrays(spark, source, lines, str(tmp_path / "unpack"))
+    run(spark, lines, tables)
+    land(source, "2.json", [reading(n) for n in range(50, 60)])
+    json_arrays.unpack_arrays(spark, source, lines, str(tmp_path / "unpack"))
+    run(spark, lines, tables)
+    rows = pipeline.read_bronze(spark, tables)
+    assert sorted(r.device_id for r in rows.collect()) == sorted(f"MFG-A-{1000 + n}" for n in range(60))
+    assert rows.where("note = '{}}'").count() == 50
