@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from pyspark.sql.types import (
@@ -224,9 +225,61 @@ def current_rows(history: DataFrame, start_as: str = "modified_ts") -> DataFrame
     return history.where(F.col(END).isNull()).drop(END).withColumnRenamed(START, start_as)
 
 
-def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+# Most buckets of digests; their numbers are sent to all tasks.
+MOST_BUCKETS = 1 << 20
+
+
+def _digests(df: DataFrame, bucket: Column) -> DataFrame:
+    """``bucket``, and sums over its rows that do not depend on their order.
+
+    Two 64-bit hashes per row are added up in halves, so that no sum overflows. A hash skips
+    NULLs, so it also takes in where they stand.
+    """
+    names = sorted(df.columns)
+    columns = [F.col(f"`{name}`") for name in names]
+    nulls = F.concat(*(F.when(c.isNull(), "1").otherwise("0") for c in columns))
+    low = F.lit((1 << 32) - 1)
+    rows = df.select(bucket.alias("bucket"), *(F.xxhash64(F.lit(seed), nulls, *columns).alias(f"h{seed}") for seed in (1, 2)))
+    halves = [half for seed in (1, 2) for half in (F.col(f"h{seed}").bitwiseAND(low), F.shiftrightunsigned(f"h{seed}", 32))]
+    sums = [F.sum(half).alias(f"s{number}") for number, half in enumerate(halves)]
+    return rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def changed_buckets(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of both versions whose bucket of keys is not the same in both.
+
+    Each version is read once for its digests, which meet as one row per bucket. Buckets whose
+    digests agree leave before anything is shuffled.
+    """
+    if not 1 <= buckets <= MOST_BUCKETS:
+        raise ValueError(f"between 1 and {MOST_BUCKETS} buckets, got {buckets}")
+    fields = old.unionByName(new).schema.fields
+    if any(isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)) for f in fields):
+        raise ValueError("digests need columns without inner values")
+    # Equal values of different types have different hashes.
+    sides = {
+        side: df.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields))
+        for side, df in (("old", old), ("new", new))
+    }
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    both = reduce(DataFrame.unionByName, (_digests(df, bucket).withColumn("side", F.lit(side)) for side, df in sides.items()))
+    told = [F.count_distinct("n", *(f"s{number}" for number in range(4))).alias("kinds"), F.count(F.lit(1)).alias("versions")]
+    changed = both.groupBy("bucket").agg(*told).where("kinds > 1 OR versions = 1").select("bucket")
+
+    def kept(df: DataFrame) -> DataFrame:
+        rows = df.select(F.struct("*").alias("row"), bucket.alias("bucket"))
+        return rows.join(F.broadcast(changed), "bucket", "left_semi").select("row.*")
+
+    return kept(sides["old"]), kept(sides["new"])
+
+
+def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Row changes between two versions of a table with unique ``keys``.
 
+    With ``buckets`` both versions are first compared by digests of so many groups of keys, and
+    only groups that differ are shuffled (and checked for repeated keys). That pays when few
+    groups differ, as it reads both versions twice.
+
     ``_change_type`` is insert, delete, update_preimage or update_postimage. Both
     versions go through one shuffle by key; each row looks at its neighbour, so
     nothing is multiplied. A key that repeats within a version is an error.
@@ -234,6 +287,8 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     values = [c for c in old.columns if c not in keys]
     if sorted(new.columns) != sorted(old.columns):
         raise ValueError("both versions need the same columns")
+    if buckets is not None:
+        old, new = changed_buckets(old, new, keys, buckets)
     row = F.struct(*values) if values else F.struct(F.lit(1).alias("_none"))
     sides = old.select(*keys, F.lit(0).alias("_side"), row.alias("_row")).unionByName(
         new.select(*keys, F.lit(1).alias("_side"), row.alias("_row"))

@@ -319,3 +319,4 @@ ORACLE: dict[str, str] = {
              || {ISO} || '"}}' AS item
       FROM served""",
 }
+ORACLE["change_feed_digests"] = ORACLE["change_feed"]

@@ -222,6 +222,11 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.change_feed(old, new, ["o_orderkey"])
 
 
+def change_feed_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = order_versions(spark, sf_dir)
+    return cdc.change_feed(old, new, ["o_orderkey"], buckets=4096)
+
+
 def streamed_history(order: list[int]) -> Query:
     """History from three arrivals, in the given order of their time ranges."""
 
@@ -654,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "scd2_incremental": streamed_history([0, 1, 2]),
     "scd2_out_of_order": streamed_history([2, 0, 1]),
     "change_feed": change_feed,
+    "change_feed_digests": change_feed_digests,
     "page_first": page_first,
     "page_after": page_after,
     "page_at": page_at,

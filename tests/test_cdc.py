@@ -246,3 +246,33 @@ def test_change_feed_has_one_shuffle(spark, tmp_path):
     plan = cdc.change_feed(table, table.where("v > 0"), ["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "Join" not in plan
+
+
+def test_change_feed_shuffles_changed_buckets_alone(spark, tmp_path):
+    spark.range(20_000).selectExpr(
+        "id", "if(id % 7 = 0, NULL, id) AS a", "if(id % 7 = 0, 'x', NULL) AS b", "CAST(id AS STRING) AS bucket", "id AS side"
+    ).write.parquet(str(tmp_path / "t"))
+    old = spark.read.parquet(str(tmp_path / "t"))
+    # A value that moves between columns, one that changes, a row that goes and one that comes.
+    moved = old.withColumn("a", F.expr("if(id = 5, NULL, if(id = 11, 0, a))"))
+    new = moved.withColumn("b", F.expr("if(id = 5, '5', b)")).where("id <> 13").union(
+        spark.range(1).selectExpr("-1L", "1L", "'n'", "'n'", "2L")
+    ).orderBy(F.desc("id"))
+    plain = cdc.change_feed(old, new, ["id"])
+    feed = cdc.change_feed(old, new, ["id"], buckets=5000)
+    assert sorted(map(str, feed.collect())) == sorted(map(str, plain.collect())) and feed.count() == 6
+    before, after = cdc.changed_buckets(old, new, ["id"], 5000)
+    assert 3 <= before.count() < 60 and 3 <= after.count() < 60
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("hashpartitioning(id") < plan.index("LeftSemi")
+    assert cdc.change_feed(old, old.selectExpr("*"), ["id"], buckets=64).count() == 0
+    wider = old.withColumn("side", F.col("side").cast("decimal(30,0)"))
+    assert cdc.change_feed(old, wider, ["id"], buckets=64).count() == 0
+
+
+def test_change_feed_digests_refuse_what_they_cannot_tell(spark):
+    flat, inner = spark.range(2), spark.range(2).select("id", F.array("id").alias("a"))
+    with pytest.raises(ValueError, match="inner values"):
+        cdc.change_feed(inner, inner, ["id"], buckets=8)
+    with pytest.raises(ValueError, match="buckets"):
+        cdc.change_feed(flat, flat, ["id"], buckets=0)
