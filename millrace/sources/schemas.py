@@ -178,7 +178,8 @@ def read_evolving(
     """A bronze table under the newest schema.
 
     The columns of ``hints`` and ``extra`` are stored; the others come from the
-    record, which is read only if one of them is asked for. Of fields that differ
+    record. Spark stores a VARIANT shredded, with a parquet column per field that files
+    share, so a grown column reads its own field and not the record. Of fields that differ
     in case only, the first is shown, as column names ignore case.
     """
     stored = StructType([*hints.fields, *extra.fields]).add(RECORD, VariantType())

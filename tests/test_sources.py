@@ -5,6 +5,7 @@ import json
 import os
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -171,6 +172,19 @@ def test_schema_texts():
     assert from_schema_text("VOID") == from_schema_text(None) == StructType()
 
 
+def test_a_grown_column_reads_its_own_field(spark, tables, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(landing, "1.json", [reading(n, pressure=n, note="n" * n) for n in range(300)])
+    run(spark, landing, tables)
+    grown = pipeline.read_bronze(spark, tables).select("device_id", "pressure")
+    plan = grown._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<device_id:string,record:struct<0:bigint>>" in plan
+    file = next(name for name in os.listdir(tables.bronze) if name.endswith(".parquet"))
+    stored = {column.path for column in pq.ParquetFile(os.path.join(tables.bronze, file)).schema}
+    assert {"record.typed_value.pressure.typed_value", "record.typed_value.note.typed_value"} <= stored
+    assert grown.agg(F.sum("pressure")).first()[0] == 299 * 150
+
+
 def test_hints_win_over_inference(spark, tables, tmp_path):
     landing = str(tmp_path / "landing")
     land(landing, "1.json", [reading(1, temperature_celsius=30)])
