@@ -7,11 +7,14 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
@@ -172,6 +175,54 @@ def test_imatch_query(spark, sf_dir):
     assert all(len(found) == 1 for found in same.values())
 
 
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def chained(values, form="<q", seed=42):
+    """Spark's xxhash64 of numbers one after another: each hash is the seed of the next."""
+    for value in values:
+        seed = xxhash.xxh64(struct.pack(form, value), seed=seed).intdigest()
+    return signed(seed)
+
+
+def test_imatch_fingerprints_by_hand(spark, sf_dir):
+    texts = documents(spark, sf_dir)
+    numbers = sorted(texts, reverse=True)
+
+    def terms_of(text):
+        words = set(regex.split(r"[^\p{L}\p{N}]+", text.lower())) - {""}
+        return sorted(signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) for w in words)
+
+    held = collections.Counter(t for text in texts.values() for t in terms_of(text))
+    kept = {t for t, n in held.items() if imatch.LOW * len(texts) <= n <= imatch.HIGH * len(texts)}
+
+    def in_lexicon(term, k):
+        if k == 0:
+            return True
+        seed = xxhash.xxh64(struct.pack("<q", term), seed=42).intdigest()
+        return signed(xxhash.xxh64(struct.pack("<i", k), seed=seed).intdigest()) % 100 >= imatch.LEFT_OUT
+
+    masks = {t: sum(1 << k for k in range(imatch.LEXICONS) if in_lexicon(t, k)) for t in kept}
+
+    def fingerprint(text):
+        own = terms_of(text)
+        # High bits of the term above, the lexicons that hold it below.
+        entries = sorted(((t >> 10) << 10) | masks[t] for t in own if t in kept)
+        hashes = []
+        for k in range(imatch.LEXICONS):
+            chosen = [e for e in entries if e >> k & 1]
+            hashes.append(chained(chosen) if chosen else chained(own))
+        return "-".join(f"{h % (1 << 64):016X}" for h in hashes)
+
+    rows = {r["doc_id"]: r for r in QUERIES["op8_imatch"](spark, sf_dir).collect()}
+    for place, number in enumerate(numbers):
+        text, other = texts[number], texts[numbers[(place + 1) % len(numbers)]]
+        half = len(text) // 2
+        assert rows[number]["fingerprint"] == fingerprint(text)
+        assert rows[number]["edited_fingerprint"] == fingerprint(text[: len(text) - half] + other[:half])
+
+
 def test_imatch_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(imatch, "SLICE_ROWS", 2)
     rows = [(9, "alpha beta gamma"), (7, "Gamma, beta; ALPHA!"), (7, None), (5, ""), (None, "delta " * 30_000), (3, "x"), (3, "x")]

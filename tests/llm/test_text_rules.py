@@ -7,6 +7,7 @@ import re
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from compare import connect, difference
@@ -98,6 +99,30 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_by_hand(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    learned = language_id.train(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
+    rows = {r["doc_id"]: r for r in QUERIES["op1_language_id"](spark, sf_dir).collect()}
+    assert rows.keys() == texts.keys()
+    packers = {}
+    for language, content in learned.items():
+        words = zstandard.ZstdCompressionDict(content.ljust(8, b" "), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        words.precompute_compress(level=language_id.LEVEL)
+        packers[language] = zstandard.ZstdCompressor(dict_data=words, write_content_size=False, write_dict_id=False)
+    for number, text in texts.items():
+        row, data = rows[number], (text or "").lower().encode()
+        if not any(map(str.isalpha, text or "")):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        parts = [data[at : at + language_id.BLOCK_BYTES] for at in range(0, len(data), language_id.BLOCK_BYTES)]
+        sizes = {language: sum(len(p.compress(part)) for part in parts) for language, p in packers.items()}
+        best, second = sorted(sizes.values())[:2]
+        assert row["lang_pred"] == min(sizes, key=lambda language: (sizes[language], language))
+        assert row["score"] == pytest.approx(1 / sum(2.0 ** -(size - best) for size in sizes.values()))
+        assert row["accepted"] == ((second - best) / second >= language_id.MIN_MARGIN)
+
+
 def test_language_edge_cases(spark):
     rows = [("the cat and the dog went over the hill together " * 3, "en")] * 5 + [
         ("der Hund und die Katze gingen über den Berg zusammen " * 3, "de"), (None, "fr"), ("bonjour", None)]
