@@ -114,6 +114,25 @@ def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of all batches; one at a time is held as Python objects."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct value, by value, and the number of each place's value."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    del ordered
+    of = np.empty(len(values), np.uint32)
+    of[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+    return order[new], of
+
+
 class _Block:
     """A stored block: tokens, predecessors, and distinct keys of tokens and pairs."""
 
@@ -123,14 +142,22 @@ class _Block:
         self.ends = np.cumsum(lengths)
         before = np.concatenate([[np.uint32(0)], self.tokens[:-1]])
         with np.errstate(over="ignore"):
-            pairs = mix(mix(words)[before] * np.uint64(3) + words[self.tokens])
-        self.pair_keys, first, self.pair_of = np.unique(pairs, return_index=True, return_inverse=True)
+            pairs = (mix(words) * np.uint64(3))[before]
+            pairs += words[self.tokens]
+            pairs = mix(pairs)
+        first, self.pair_of = _groups(pairs)
+        self.pair_keys = pairs[first]
         #: Word numbers of the predecessor and the token of each distinct pair.
         self.pair_words = before[first], self.tokens[first]
-        order = np.argsort(words)
-        self.word_keys = words[order]
-        self.word_place = np.empty(len(words), np.int64)
-        self.word_place[order] = np.arange(len(words))
+        #: Word numbers by key.
+        self.word_order = np.argsort(words)
+        self.word_keys = words[self.word_order]
+
+    def ask(self, parts: list[np.ndarray]) -> list[tuple[int, np.ndarray, list[np.ndarray]]]:
+        """The distinct keys of each kind with their counts in parts of the tokens."""
+        words = [np.bincount(self.tokens[part], minlength=len(self.word_keys))[self.word_order] for part in parts]
+        pairs = [np.bincount(self.pair_of[part], minlength=len(self.pair_keys)) for part in parts]
+        return [(1, self.word_keys, words), (2, self.pair_keys, pairs)]
 
 
 _REQUEST_TYPES = pa.schema([
@@ -142,24 +169,24 @@ _ANSWER_TYPES = pa.schema([
 ])
 
 
+def _block_requests(row: dict, bits: int) -> pa.RecordBatch:
+    parts = [np.repeat(row[name], row["lengths"]) for name in ("train", "deleted")]
+    kinds = _Block(row["tokens"], row["hashes"], row["lengths"]).ask(parts)
+    edges = np.array([i << (64 - bits) for i in range(1, 1 << bits)], np.uint64)
+    rows = []
+    for kind, keys, counts in kinds:
+        cuts = [0, *np.searchsorted(keys, edges), len(keys)]
+        rows += [
+            (i, row["block"], kind, _keys_out(keys[a:b]), _shrink(np.concatenate([c[a:b] for c in counts])))
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
+        ]
+    return _record(rows, _REQUEST_TYPES)
+
+
 def _requests(bits: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row["tokens"], row["hashes"], row["lengths"])
-                train, deleted = (np.repeat(row[name], row["lengths"]) for name in ("train", "deleted"))
-                edges = [np.uint64(i << (64 - bits)) for i in range(1, 1 << bits)]
-                for kind, keys, of in (
-                    (1, block.word_keys, block.word_place[block.tokens]), (2, block.pair_keys, block.pair_of)
-                ):
-                    counts = [np.bincount(of, part, len(keys)).astype(np.uint64) for part in (train, deleted)]
-                    cuts = [0, *np.searchsorted(keys, np.array(edges, np.uint64)), len(keys)]
-                    rows = [
-                        (i, row["block"], kind, _keys_out(keys[a:b]),
-                         _shrink(np.concatenate([c[a:b] for c in counts])))
-                        for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
-                    ]
-                    yield _record(rows, _REQUEST_TYPES)
+        for row in _rows(batches):
+            yield _block_requests(row, bits)
 
     return ask
 
@@ -183,50 +210,60 @@ def _answer(requests: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_record(rows, _ANSWER_TYPES)])
 
 
-def _distinct(triples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns of a table of counts, and the number of each column's one."""
-    code = np.zeros(triples.shape[1], np.int64)
-    for row in triples:
+def _distinct(rows: Iterator[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct column of a table of counts, and the number of each column's one."""
+    code = np.zeros(size, np.int64)
+    for row in rows:
         if (int(code.max(initial=0)) + 1) * (int(row.max(initial=0)) + 1) >= 1 << 62:
-            code = np.unique(code, return_inverse=True)[1]
-            row = np.unique(row, return_inverse=True)[1]
-        code = code * (int(row.max(initial=0)) + 1) + row
-    _, first, of = np.unique(code, return_index=True, return_inverse=True)
-    return triples[:, first], of
+            code, row = (_groups(values)[1].astype(np.int64) for values in (code, row))
+        code *= int(row.max(initial=0)) + 1
+        code += row
+    return _groups(code)
+
+
+def _answered(answers: list[dict], kind: int) -> list[np.ndarray]:
+    """Counts of all training and of deleted tokens, for a block's keys of one kind in order."""
+    own = sorted((a for a in answers if a["kind"] == kind), key=lambda a: a["bucket"])
+    pieces = [_grow(a["counts"]).view(np.int64).reshape(2, -1) for a in own]
+    return [np.concatenate([piece[part] for piece in pieces]) for part in (0, 1)]
+
+
+def _triples(before: np.ndarray, after: np.ndarray, word: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct counts of predecessor, token and pair, and the number of each pair's triple."""
+    at, of = _distinct((pair if words is None else word[words] for words in (before, after, None)), len(pair))
+    return np.stack([word[before[at]], word[after[at]], pair[at]]), of
+
+
+def _block_cells(row: dict, schema: pa.Schema, types: int, tokens: int) -> pa.RecordBatch:
+    block = _Block(row["tokens"], row["hashes"], row["lengths"])
+    del block.pair_keys
+    word, less = np.empty((2, len(block.word_keys)), np.int64)
+    word[block.word_order], less[block.word_order] = _answered(row["answers"], 1)
+    pair, pair_less = _answered(row["answers"], 2)
+    before, after = block.pair_words
+    held_of = block.pair_of[np.repeat(row["deleted"], row["lengths"])]
+    times = np.bincount(held_of, minlength=len(pair))
+    held = np.flatnonzero(times)
+    kept, kept_of = _triples(before[held], after[held], word - less, pair[held] - pair_less[held])
+    kept_times = np.bincount(kept_of, times[held], kept.shape[1]).astype(np.int64)
+    deleted_cells = _shrink(np.concatenate([kept, kept_times[None]]).ravel())
+    del pair_less, held_of, times, held, kept, kept_of
+    cells, cell_of_pair = _triples(before, after, word, pair)
+    cell_of = zstandard.compress(cell_of_pair.astype("<u4", copy=False)[block.pair_of].tobytes(), 1)
+    starts = np.concatenate([[0], block.ends[:-1]])
+    base = np.add.reduceat(np.log10((word + 1) / (tokens + types + 1))[block.tokens], starts)
+    known = np.add.reduceat((word > 0)[block.tokens], starts, dtype=np.int64)
+    return _record([(
+        row["doc_ids"], block.ends.tolist(), known.tolist(), base.tolist(), cell_of, _shrink(cells.ravel()), deleted_cells,
+    )], schema)
 
 
 def _cells(schema: pa.Schema, types: int, tokens: int):
     """Per block, the distinct count triples (predecessor, token, pair) and where they occur."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row["tokens"], row["hashes"], row["lengths"])
-                by_kind = {
-                    kind: np.concatenate([
-                        _grow(a["counts"]).reshape(2, -1)
-                        for a in sorted(row["answers"], key=lambda a: a["bucket"]) if a["kind"] == kind
-                    ], axis=1).astype(np.int64)
-                    for kind in (1, 2)
-                }
-                words = by_kind[1][:, block.word_place]
-                before, after = block.pair_words
-                starts = np.concatenate([[0], block.ends[:-1]])
-                total = np.stack([words[0][before], words[0][after], by_kind[2][0]])
-                less = np.stack([words[1][before], words[1][after], by_kind[2][1]])
-                cells, cell_of_pair = _distinct(total)
-                base = np.log10((total[1] + 1) / (tokens + types + 1))[block.pair_of]
-                known = (total[1] > 0)[block.pair_of]
-                times = np.bincount(block.pair_of, np.repeat(row["deleted"], row["lengths"]), len(block.pair_keys))
-                held = times > 0
-                kept, kept_of = _distinct((total - less)[:, held])
-                kept_times = np.bincount(kept_of, times[held], kept.shape[1]).astype(np.int64)
-                yield _record([(
-                    row["doc_ids"], block.ends.tolist(), np.add.reduceat(known, starts, dtype=np.int64).tolist(),
-                    np.add.reduceat(base, starts).tolist(),
-                    zstandard.compress(cell_of_pair.astype("<u4")[block.pair_of].tobytes(), 1),
-                    _shrink(cells.ravel()), _shrink(np.concatenate([kept, kept_times[None]]).ravel()),
-                )], schema)
+        for row in _rows(batches):
+            yield _block_cells(row, schema, types, tokens)
 
     return join
 
@@ -257,8 +294,8 @@ def _expect(weights: dict[int, list[float]], types: int, tokens: int):
                 table = _grow(data.as_py()).astype(np.int64).reshape(4, -1)
                 cells, times = table[:3], table[3]
                 buckets = context_bucket(cells[0])
-                lambdas = np.array([weights.get(b, START) for b in buckets.tolist()]).reshape(-1, 3).T
-                parts = lambdas * estimates(cells, types, tokens)
+                parts = estimates(cells, types, tokens)
+                parts *= mixtures(weights)[:, buckets]
                 total = parts.sum(axis=0)
                 found = np.stack([*(parts / total * times), np.log10(total) * times, times.astype(float)])
                 for bucket in np.unique(buckets):
@@ -271,6 +308,11 @@ def _expect(weights: dict[int, list[float]], types: int, tokens: int):
 START = [0.4, 0.3, 0.3]
 
 
+def mixtures(weights: dict[int, list[float]]) -> np.ndarray:
+    """The weights of the three estimates, a column for each context bucket of a 64-bit count."""
+    return np.array([weights.get(bucket, START) for bucket in range(65)]).T
+
+
 def learn_weights(scored: DataFrame, types: int, tokens: int, rounds: int = ROUNDS) -> dict[int, list[float]]:
     """Mixture weights per context bucket; one pass over the deleted counts per round."""
     weights: dict[int, list[float]] = {}
@@ -302,20 +344,25 @@ def _scores(weights: dict[int, list[float]], types: int, tokens: int, id_type: p
         ("score", pa.float64()),
     ])
 
+    def of_block(row: dict) -> pa.RecordBatch:
+        cells = _grow(row["cell_counts"]).astype(np.int64).reshape(3, -1)
+        logs = np.zeros(cells.shape[1])
+        if tokens:
+            parts = estimates(cells, types, tokens)
+            parts *= mixtures(weights)[:, context_bucket(cells[0])]
+            logs = np.log10(parts.sum(axis=0))
+        each = logs[np.frombuffer(zstandard.decompress(row["cells"]), "<u4")]
+        ends = np.array(row["ends"])
+        starts = np.concatenate([[0], ends[:-1]])
+        return pa.RecordBatch.from_arrays([
+            pa.array(row["doc_ids"], id_type), pa.array(ends - starts, pa.int64()),
+            pa.array(row["known"], pa.int64()), pa.array(row["base"], pa.float64()),
+            pa.array(np.add.reduceat(each, starts), pa.float64()),
+        ], schema=schema)
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                cells = _grow(row["cell_counts"]).astype(np.int64).reshape(3, -1)
-                lambdas = np.array([weights.get(b, START) for b in context_bucket(cells[0]).tolist()]).T
-                logs = np.log10((lambdas * estimates(cells, types, tokens)).sum(axis=0)) if tokens else np.zeros(cells.shape[1])
-                each = logs[np.frombuffer(zstandard.decompress(row["cells"]), "<u4")]
-                ends = np.array(row["ends"])
-                starts = np.concatenate([[0], ends[:-1]])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(row["doc_ids"], id_type), pa.array(ends - starts, pa.int64()),
-                    pa.array(row["known"], pa.int64()), pa.array(row["base"], pa.float64()),
-                    pa.array(np.add.reduceat(each, starts), pa.float64()),
-                ], schema=schema)
+        for row in _rows(batches):
+            yield of_block(row)
 
     return score
 

@@ -8,10 +8,12 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import regex
 import xxhash
@@ -96,6 +98,52 @@ def test_lm_against_counts_by_hand(spark):
     assert lm_scoring.score(docs.limit(0), F.lit(True), F.lit(True)).count() == 0
 
 
+def test_lm_blocks_are_worked_on_one_at_a_time_in_little_memory():
+    rng, rows, of_text = np.random.default_rng(4), [], 100
+    for block in range(3):
+        builder = lm_scoring._BlockBuilder()
+        for i in range(1000):
+            words = (rng.zipf(1.3, of_text - 1) % 20_000).tolist()
+            builder.add(block * 1000 + i, " ".join(map(str, words)), i % 7 != 2, i % 7 == 3)
+        rows.append(builder.row(block))
+    tokens = 1000 * of_text
+    schema = pa.schema([
+        ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
+        ("train", pa.list_(pa.bool_())), ("deleted", pa.list_(pa.bool_())), ("tokens", pa.binary()), ("hashes", pa.binary()),
+    ])
+    blocks = lm_scoring._record(rows, schema)
+
+    def run(step, batch):
+        """What a step gives, and the most bytes of Python and numpy that it held for a token of a block."""
+        found = []
+        tracemalloc.start()
+        for record in step(iter([batch])):
+            found.append(record)
+            del record
+        most = tracemalloc.get_traced_memory()[1] / tokens
+        tracemalloc.stop()
+        return pa.Table.from_batches(found), most
+
+    requests, asking = run(lm_scoring._requests(2), blocks)
+    groups = {(r["kind"], r["bucket"]) for r in requests.select(["kind", "bucket"]).to_pylist()}
+    answers = pa.concat_tables(
+        lm_scoring._answer(requests.filter((pc.field("kind") == kind) & (pc.field("bucket") == bucket)))
+        for kind, bucket in sorted(groups)
+    ).to_pylist()
+    totals = [sum(a[name] for a in answers if a["kind"] == 1) for name in ("types", "tokens")]
+    answered = pa.RecordBatch.from_pylist(
+        [b | {"answers": [{k: a[k] for k in ("kind", "bucket", "counts")} for a in answers if a["block"] == b["block"]]}
+         for b in blocks.to_pylist()]
+    )
+    cells, joining = run(lm_scoring._cells(pa.schema([
+        ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32())), ("known", pa.list_(pa.int32())),
+        ("base", pa.list_(pa.float64())), ("cells", pa.binary()), ("cell_counts", pa.binary()), ("deleted_cells", pa.binary()),
+    ]), *totals), answered)
+    assert cells.num_rows == 3 and [len(row) for row in cells["doc_ids"].to_pylist()] == [1000] * 3
+    assert totals[1] == sum(i % 7 != 2 for i in range(1000)) * of_text * 3
+    assert max(asking, joining) < 70, (asking, joining)
+
+
 @pytest.mark.parametrize("alphabet", [b"ab", b"abc\xff", b"a"])
 def test_suffix_array(alphabet):
     draw = random.Random(3)
